@@ -58,3 +58,32 @@ def is_life_cycle() -> Column:
 def survives_destruct(is_same_tx: str = "is_same_tx") -> Column:
     """A late-rules destruct kills only an account created in the same transaction."""
     return ~F.coalesce(F.col(is_same_tx), F.lit(False))
+
+
+def life_code(
+    block_number: str = "block_number",
+    transaction_index: str = "transaction_index",
+    is_alive: str = "is_alive",
+) -> Column:
+    """(block, index, dead) as one ordered bigint.
+
+    A maximum over a number stays a hash aggregate, a maximum over a struct
+    needs a sort. The block takes 32 bits, the index 31, the dead flag 1; a value
+    outside of that fails the query instead of being misplaced.
+    """
+    block, index = F.col(block_number), F.col(transaction_index)
+    dead = F.when(F.col(is_alive), 0).otherwise(1)
+    code = (block - 2**31) * F.lit(2**32).cast("long") + index * 2 + dead
+    fits = block.between(0, MAX_BLOCK) & index.between(0, 2**31 - 1)
+    return F.when(fits, code).otherwise(
+        F.raise_error(F.lit("block number or transaction index out of range")).cast("long")
+    )
+
+
+def decoded_life(code: str) -> tuple[Column, Column]:
+    """``block_number`` and ``is_alive`` of a life code."""
+    block = F.shiftright(code, 32) + F.lit(2**31).cast("long")
+    return (
+        block.alias("block_number"),
+        (F.col(code).bitwiseAND(F.lit(1).cast("long")) == 0).alias("is_alive"),
+    )

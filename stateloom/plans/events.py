@@ -48,36 +48,42 @@ def tx_index(inputs: Inputs, start: Block, end: Block) -> DataFrame:
 
 
 def address_events(
-    inputs: Inputs, name: str, start: Block, end: Block, address: str = "address"
+    inputs: Inputs, name: str, start: Block, end: Block, address: str = "address", merged: bool = False
 ) -> DataFrame:
-    """Address, block and transaction of one access log."""
-    return inputs.scan(name, start, end).select(
-        normalize_hex(address).alias("address"), "block_number", _hash()
-    )
+    """Address, block and transaction of one access log.
+
+    ``merged`` drops repeated copies of a row first. Plans that only ask for
+    distinct transactions or the first or last block leave that shuffle out.
+    """
+    columns = (address, "block_number", "transaction_hash")
+    rows = inputs.latest(name, start, end, *columns) if merged else inputs.scan(name, start, end)
+    return rows.select(normalize_hex(address).alias("address"), "block_number", _hash())
 
 
-def union_diffs(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+def union_diffs(inputs: Inputs, start: Block, end: Block, merged: bool = False) -> DataFrame:
     """Everything that changed an account."""
     return union_all(
-        address_events(inputs, "balance_diffs", start, end),
-        address_events(inputs, "storage_diffs", start, end),
-        address_events(inputs, "nonce_diffs", start, end),
-        address_events(inputs, "contracts", start, end, "contract_address"),
+        address_events(inputs, "balance_diffs", start, end, merged=merged),
+        address_events(inputs, "storage_diffs", start, end, merged=merged),
+        address_events(inputs, "nonce_diffs", start, end, merged=merged),
+        address_events(inputs, "contracts", start, end, "contract_address", merged),
     )
 
 
-def union_reads(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+def union_reads(inputs: Inputs, start: Block, end: Block, merged: bool = False) -> DataFrame:
     """Everything that read an account."""
     return union_all(
-        address_events(inputs, "balance_reads", start, end),
-        address_events(inputs, "nonce_reads", start, end),
-        address_events(inputs, "storage_reads", start, end, "contract_address"),
+        address_events(inputs, "balance_reads", start, end, merged=merged),
+        address_events(inputs, "nonce_reads", start, end, merged=merged),
+        address_events(inputs, "storage_reads", start, end, "contract_address", merged),
     )
 
 
-def union_accesses(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+def union_accesses(inputs: Inputs, start: Block, end: Block, merged: bool = False) -> DataFrame:
     """Everything that touched an account."""
-    return union_all(union_diffs(inputs, start, end), union_reads(inputs, start, end))
+    return union_all(
+        union_diffs(inputs, start, end, merged), union_reads(inputs, start, end, merged)
+    )
 
 
 def slot_writes(inputs: Inputs, start: Block, end: Block) -> DataFrame:

@@ -153,19 +153,36 @@ def slot_last_access_success(
 
 
 def slot_changes(inputs: Inputs, start: Block = None, end: Block = None) -> DataFrame:
-    """Storage writes of successful transactions, each once, as set / cleared / neither.
+    """Storage writes of successful transactions, each once, with what they did.
 
-    The merge of copies carries a one-digit transition instead of two words of
-    text. The semi join comes after it: Spark moves it below the merge exactly
-    when the transactions are small enough to broadcast.
+    The newest copy of a write decides. Only the newest version of each outcome
+    travels through the merge, not the two words of text, and plain maxima of
+    numbers keep it a hash aggregate. The semi join comes after the merge: Spark
+    moves it below exactly when the transactions are small enough to broadcast.
     """
-    writes = inputs.latest(
-        "storage_diffs", start, end, derived={"transition": ex.slot_transition()}
-    ).select(
-        ex.normalize_hex("address").alias("address"),
-        "block_number",
-        ex.normalize_hex("transaction_hash").alias("transaction_hash"),
-        "transition",
+    version = inputs.versions.get("storage_diffs")
+    copies = inputs.scan("storage_diffs", start, end).withColumns(
+        {
+            "transition": ex.slot_transition(),
+            "copy": F.col(version) if version else F.lit(0),
+        }
+    )
+    writes = (
+        copies.groupBy(*inputs.keys["storage_diffs"])
+        .agg(
+            F.max("copy").alias("newest"),
+            F.max(F.when(F.col("transition") == 1, F.col("copy"))).alias("newest_set"),
+            F.max(F.when(F.col("transition") == -1, F.col("copy"))).alias("newest_cleared"),
+        )
+        .select(
+            ex.normalize_hex("address").alias("address"),
+            "block_number",
+            ex.normalize_hex("transaction_hash").alias("transaction_hash"),
+            F.when(F.col("newest_set") == F.col("newest"), 1)
+            .when(F.col("newest_cleared") == F.col("newest"), -1)
+            .otherwise(0)
+            .alias("transition"),
+        )
     )
     return semi_tx_success(writes, ev.tx_hashes(inputs, start, end)).drop("transaction_hash")
 
@@ -289,12 +306,10 @@ def union_life_events(inputs: Inputs, start: Block = None, end: Block = None) ->
 
 
 def accounts_alive(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
-    """Latest life status of every address."""
+    """Latest life status of every address; dead wins a tie."""
     return (
         union_life_events(inputs, start, end)
         .groupBy("address")
-        .agg(
-            F.max("block_number").alias("block_number"),
-            agg.alive_at_last("is_alive", "block_number", "transaction_index").alias("is_alive"),
-        )
+        .agg(F.max(ex.life_code()).alias("code"))
+        .select("address", *ex.decoded_life("code"))
     )

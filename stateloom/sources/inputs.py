@@ -112,23 +112,12 @@ class Inputs:
         )
 
     def latest(
-        self,
-        name: str,
-        start: int | None = None,
-        end: int | None = None,
-        *columns: str,
-        derived: Mapping[str, object] | None = None,
+        self, name: str, start: int | None = None, end: int | None = None, *columns: str
     ) -> DataFrame:
-        """The newest copy of every row of a range.
-
-        ``derived`` adds columns computed from the stored ones before the
-        shuffle, so that a small code can travel instead of wide text. Only the
-        keys, ``columns`` and ``derived`` come out.
-        """
-        rows = self.scan(name, start, end).withColumns(dict(derived or {}))
+        """The newest copy of every row of a range: its keys and the named columns."""
         keys = self.keys[name]
-        values = [c for c in (*columns, *(derived or {})) if c not in keys]
-        return latest_per_key(rows, keys, self.versions.get(name), values)
+        values = [c for c in columns or self.table(name).columns if c not in keys]
+        return latest_per_key(self.scan(name, start, end), keys, self.versions.get(name), values)
 
     def current(
         self, name: str, start: int | None = None, end: int | None = None, *columns: str

@@ -152,13 +152,16 @@ VIEWS: dict[str, View] = {
 VERSIONS = {"storage_diffs": "ver"}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spec = VIEWS[name]
-    rows = spark.read.parquet(f"{sf_dir}/{spec.table}.parquet")
-    if spec.where:
-        rows = rows.where(spec.where)
-    return rows.selectExpr(*(f"{expr} AS {column}" for column, expr in spec.columns.items()))
-
-
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs({name: view(spark, sf_dir, name) for name in SOURCES}, versions=VERSIONS)
+    given = {
+        table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        for table in sorted({view.table for view in VIEWS.values()})
+    }
+
+    def derived(view: View) -> DataFrame:
+        rows = given[view.table]
+        if view.where:
+            rows = rows.where(view.where)
+        return rows.selectExpr(*(f"{expr} AS {name}" for name, expr in view.columns.items()))
+
+    return Inputs({name: derived(VIEWS[name]) for name in SOURCES}, versions=VERSIONS)
