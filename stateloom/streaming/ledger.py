@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from stateloom.sources import files
 
-SCHEMA = (
-    "table string, lower bigint, upper bigint, status string, rows bigint, seconds double,"
-    " note string, error string, attempt int, run_id bigint"
-)
+COLUMNS = {
+    "table": "string",
+    "lower": "bigint",
+    "upper": "bigint",
+    "status": "string",
+    "rows": "bigint",
+    "seconds": "double",
+    "note": "string",
+    "error": "string",
+    "attempt": "int",
+    "run_id": "bigint",
+}
+SCHEMA = ", ".join(f"{name} {kind}" for name, kind in COLUMNS.items())
 DONE, FAILED = "done", "failed"
 
 # Error texts after which another try may succeed.
@@ -22,8 +31,10 @@ class Ledger:
         self.spark, self.path = spark, path
 
     def record(self, **entry) -> None:
-        row = self.spark.createDataFrame([entry], SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        row = self.spark.range(1, numPartitions=1).select(
+            *(F.lit(entry[name]).cast(kind).alias(name) for name, kind in COLUMNS.items())
+        )
+        row.write.mode("append").parquet(self.path)
 
     def entries(self) -> DataFrame:
         if not files.exists(self.spark, self.path):
