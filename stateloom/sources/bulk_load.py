@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stateloom.schemas import PLAIN_ACCOUNTS
+from stateloom.sources.files import SPARK_ERRORS
 
 ROWS_PER_FILE = 1_000_000
 # A valid file without rows is little more than its schema.
@@ -139,7 +139,7 @@ def load_parquet_folder(
     """
     try:
         _write(_reader(spark, schema, False).parquet(folder), target, mode)
-    except PySparkException:
+    except SPARK_ERRORS:
         sound = load_report(spark, folder, schema).where(F.col("status") == "loaded").select("file")
         rows = _reader(spark, schema, True).parquet(folder)
         kept = (

@@ -5,8 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
+# What a failed analysis or job may raise.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 
 def _open(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

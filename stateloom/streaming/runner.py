@@ -12,7 +12,6 @@ import re
 import time
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,7 +113,7 @@ class Warehouse:
                 log.warning("cannot read %s: no such table", name)
         try:
             return source_coverage({name: self.inputs.max_block(name) for name in stored}, known)
-        except PySparkException:
+        except files.SPARK_ERRORS:
             return source_coverage({}, known | self._readable_maxima(stored))
 
     def _readable_maxima(self, names: Iterable[str]) -> dict[str, int]:
@@ -122,7 +121,7 @@ class Warehouse:
         for name in names:
             try:
                 found[name] = self.inputs.max_block(name).first()[0]
-            except PySparkException as error:
+            except files.SPARK_ERRORS as error:
                 log.warning("cannot read %s: %s", name, error)
         return found
 
