@@ -58,16 +58,15 @@ def load_report(spark: SparkSession, folder: str, schema: StructType = PLAIN_ACC
     columns = [F.col(name) for name in schema.fieldNames()]
     rows = _reader(spark, schema, True).parquet(folder).select("*", "_metadata.file_name")
     announced = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("announced"))
-    # Hashing the columns forces them to be decoded; the maximum is not reported.
-    decoded = rows.groupBy("file_name").agg(
+    # The digest is used, so the columns have to be decoded to count a row.
+    digested = rows.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("decoded"), F.max(F.xxhash64(*columns)).alias("digest")
     )
-    counted = (
-        listing.join(
-            announced.withColumnRenamed("file_name", "file"), "file", "left"
-        )
-        .join(decoded.withColumnRenamed("file_name", "file"), "file", "left")
-        .withColumn("digest", F.col("digest").isNotNull())
+    decoded = digested.select(
+        "file_name", F.when(F.col("digest").isNotNull(), F.col("decoded")).alias("decoded")
+    )
+    counted = listing.join(announced.withColumnRenamed("file_name", "file"), "file", "left").join(
+        decoded.withColumnRenamed("file_name", "file"), "file", "left"
     )
     suspects = counted.where(F.coalesce("announced", F.lit(0)) == 0).select("path")
     contents = (
