@@ -11,6 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.functions.expressions import normalize_hex
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of a frame is within its broadcast threshold.
+
+    Reads the optimizer's statistics; no job runs.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= threshold
+
 
 def join_tx_index(events: DataFrame, tx_index: DataFrame) -> DataFrame:
     """Events of the given transactions, with the transaction index.
@@ -20,9 +32,18 @@ def join_tx_index(events: DataFrame, tx_index: DataFrame) -> DataFrame:
     return events.join(tx_index, "transaction_hash")
 
 
-def semi_tx_success(events: DataFrame, tx_hashes: DataFrame) -> DataFrame:
-    """Events of the given transactions; repeated hashes do not repeat events."""
-    return events.join(tx_hashes, "transaction_hash", "left_semi")
+def semi_tx_success(events: DataFrame, tx_hashes: DataFrame, raw: bool = False) -> DataFrame:
+    """Events of the given transactions; repeated hashes do not repeat events.
+
+    ``raw`` events still carry the hash as stored. Comparing it normalised here,
+    on a stored column, is what lets Spark move the join below a grouping by it.
+    """
+    if not raw:
+        return events.join(tx_hashes, "transaction_hash", "left_semi")
+    successful = tx_hashes.select(F.col("transaction_hash").alias("successful"))
+    return events.join(
+        successful, normalize_hex("transaction_hash") == F.col("successful"), "left_semi"
+    )
 
 
 def left_join_creation(destructs: DataFrame, creations: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from stateloom import schemas
 from stateloom.functions import aggregates as agg
 from stateloom.functions import expressions as ex
 from stateloom.operators.blocks import fork_window
-from stateloom.operators.joins import join_tx_index, left_join_creation, semi_tx_success
+from stateloom.operators.joins import fits_broadcast, join_tx_index, left_join_creation, semi_tx_success
 from stateloom.operators.unions import union_all
 from stateloom.plans import events as ev
 from stateloom.plans.events import Block
@@ -54,34 +54,34 @@ def address_reads(inputs: Inputs, start: Block = None, end: Block = None, forks:
     )
 
 
-def _successful_accesses(inputs: Inputs, start: Block, end: Block) -> DataFrame:
-    return semi_tx_success(
-        ev.union_accesses(inputs, start, end), ev.tx_hashes(inputs, start, end)
-    )
+def _block_per_address(inputs: Inputs, start: Block, end: Block, pick) -> DataFrame:
+    """The first or last block of every address over the successful transactions.
+
+    Transactions small enough to broadcast filter every log where it is read,
+    and only one partial result per address leaves a task. Beyond that size the
+    logs are first reduced to one row per address and transaction, so that this
+    and not every single access travels to the join.
+    """
+    events = ev.union_accesses(inputs, start, end)
+    hashes = ev.tx_hashes(inputs, start, end)
+    block = pick("block_number").alias("block_number")
+    if not fits_broadcast(hashes):
+        events = events.groupBy("address", "transaction_hash").agg(block)
+    return semi_tx_success(events, hashes).groupBy("address").agg(block)
 
 
 def address_first_access(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """First block in which a successful transaction touched an address."""
-    return (
-        _successful_accesses(inputs, start, end)
-        .groupBy("address")
-        .agg(F.min("block_number").alias("block_number"))
-        .withColumn("version", ex.inverse_version())
-    )
+    return _block_per_address(inputs, start, end, F.min).withColumn("version", ex.inverse_version())
 
 
 def address_last_access(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """Last block in which a successful transaction touched an address."""
-    return (
-        _successful_accesses(inputs, start, end)
-        .groupBy("address")
-        .agg(F.max("block_number").alias("block_number"))
-        .withColumn("is_deleted", F.lit(False))
-    )
+    return _block_per_address(inputs, start, end, F.max).withColumn("is_deleted", F.lit(False))
 
 
 def _positioned_accesses(inputs: Inputs, start: Block, end: Block, first: bool) -> DataFrame:
@@ -167,24 +167,19 @@ def slot_changes(inputs: Inputs, start: Block = None, end: Block = None) -> Data
             "copy": F.col(version) if version else F.lit(0),
         }
     )
-    writes = (
-        copies.groupBy(*inputs.keys["storage_diffs"])
-        .agg(
-            F.max("copy").alias("newest"),
-            F.max(F.when(F.col("transition") == 1, F.col("copy"))).alias("newest_set"),
-            F.max(F.when(F.col("transition") == -1, F.col("copy"))).alias("newest_cleared"),
-        )
-        .select(
-            ex.normalize_hex("address").alias("address"),
-            "block_number",
-            ex.normalize_hex("transaction_hash").alias("transaction_hash"),
-            F.when(F.col("newest_set") == F.col("newest"), 1)
-            .when(F.col("newest_cleared") == F.col("newest"), -1)
-            .otherwise(0)
-            .alias("transition"),
-        )
+    writes = copies.groupBy(*inputs.keys["storage_diffs"]).agg(
+        F.max("copy").alias("newest"),
+        F.max(F.when(F.col("transition") == 1, F.col("copy"))).alias("newest_set"),
+        F.max(F.when(F.col("transition") == -1, F.col("copy"))).alias("newest_cleared"),
+    )
+    return semi_tx_success(writes, ev.tx_hashes(inputs, start, end), raw=True).select(
+        ex.normalize_hex("address").alias("address"),
+        "block_number",
+        F.when(F.col("newest_set") == F.col("newest"), 1)
+        .when(F.col("newest_cleared") == F.col("newest"), -1)
+        .otherwise(0)
+        .alias("transition"),
     )
-    return semi_tx_success(writes, ev.tx_hashes(inputs, start, end)).drop("transaction_hash")
 
 
 def _with_net(counts: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("stateloom-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
