@@ -14,16 +14,6 @@ from pyspark.sql import functions as F
 from stateloom.functions.expressions import normalize_hex
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of a frame is within its broadcast threshold.
-
-    Reads the optimizer's statistics; no job runs.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(plan.stats().sizeInBytes())) <= threshold
-
-
 def join_tx_index(events: DataFrame, tx_index: DataFrame) -> DataFrame:
     """Events of the given transactions, with the transaction index.
 

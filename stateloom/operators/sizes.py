@@ -1,0 +1,16 @@
+"""Size checks that pick a plan. They read the optimizer's statistics and run no job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame as the optimizer estimates it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of a frame is within its broadcast threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= threshold

@@ -13,7 +13,8 @@ from stateloom import schemas
 from stateloom.functions import aggregates as agg
 from stateloom.functions import expressions as ex
 from stateloom.operators.blocks import fork_window
-from stateloom.operators.joins import fits_broadcast, join_tx_index, left_join_creation, semi_tx_success
+from stateloom.operators.joins import join_tx_index, left_join_creation, semi_tx_success
+from stateloom.operators.sizes import fits_broadcast
 from stateloom.operators.unions import union_all
 from stateloom.plans import events as ev
 from stateloom.plans.events import Block

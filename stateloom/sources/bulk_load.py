@@ -14,7 +14,7 @@ from stateloom.sources.files import SPARK_ERRORS
 
 ROWS_PER_FILE = 1_000_000
 # A valid file without rows is little more than its schema.
-EMPTY_FILE_BYTES = 16 * 1024 * 1024
+EMPTY_FILE_BYTES = 1024 * 1024
 
 
 def _reader(spark: SparkSession, schema: StructType, skip_unreadable: bool):
@@ -42,7 +42,7 @@ def _footer_problem(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def load_report(spark: SparkSession, folder: str, schema: StructType = PLAIN_ACCOUNTS) -> DataFrame:
-    """One row per file: name, rows, status and error.
+    """One row per file: path, name, rows, status and error.
 
     A file is loaded when all rows its footer announces can be decoded. Both
     counts come from Spark scans that skip broken files: one reads no column
@@ -96,6 +96,7 @@ def load_report(spark: SparkSession, folder: str, schema: StructType = PLAIN_ACC
         counted.join(opened, "path", "left")
         .withColumn("error", error)
         .select(
+            "path",
             "file",
             F.when(F.col("error").isNull(), F.coalesce("decoded", F.lit(0)))
             .otherwise(0)
@@ -139,12 +140,12 @@ def load_parquet_folder(
     try:
         _write(_reader(spark, schema, False).parquet(folder), target, mode)
     except SPARK_ERRORS:
-        sound = load_report(spark, folder, schema).where(F.col("status") == "loaded").select("file")
-        rows = _reader(spark, schema, True).parquet(folder)
-        kept = (
-            rows.withColumn("file", F.col("_metadata.file_name"))
-            .join(sound, "file", "left_semi")
-            .drop("file")
-        )
-        _write(kept, target, mode)
+        report = load_report(spark, folder, schema).where(F.col("status") == "loaded")
+        # Names of files, as the driver lists them for any scan of the folder.
+        sound = [row["path"] for row in report.select("path").toLocalIterator()]
+        if sound:
+            rows = _reader(spark, schema, False).parquet(*sound)
+        else:
+            rows = spark.createDataFrame([], schema)
+        _write(rows, target, mode)
     return spark.read.schema(schema).parquet(target)

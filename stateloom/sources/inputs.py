@@ -65,16 +65,10 @@ class Inputs:
 
     @classmethod
     def from_catalog(
-        cls,
-        spark: SparkSession,
-        database: str = "default",
-        prefix: str = "canonical_execution_",
-        names: Sequence[str] | None = None,
-        **known,
+        cls, spark: SparkSession, prefix: str = "", names: Sequence[str] | None = None, **known
     ) -> "Inputs":
-        """Use the tables ``database.<prefix><name>`` of the session's catalog."""
-        tables = {name: spark.table(f"{database}.{prefix}{name}") for name in names or SOURCES}
-        return cls(tables, **known)
+        """Use the session's tables ``<prefix><name>``; the prefix may name a database."""
+        return cls({name: spark.table(f"{prefix}{name}") for name in names or SOURCES}, **known)
 
     def with_tables(
         self, tables: Mapping[str, DataFrame], bucket_widths: Mapping[str, int] | None = None

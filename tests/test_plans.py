@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from stateloom.operators.blocks import BUCKET, fork_window
 from stateloom.operators.dedup import latest_per_key
-from stateloom.operators.joins import fits_broadcast
+from stateloom.operators.layout import block_bucket_layout, hash_layout
+from stateloom.operators.sizes import fits_broadcast
 from stateloom.plans import tables
 from stateloom.plans.registry import TABLES
 from stateloom.sources.inputs import Inputs
@@ -223,9 +224,14 @@ def test_fork_window():
 
 
 def test_tables_from_a_catalog(spark, stored):
-    tx = stored.table("transaction")
-    tx.createOrReplaceTempView("canonical_execution_transaction_view")
-    inputs = Inputs({"transaction": spark.table("canonical_execution_transaction_view")})
+    stored.table("transaction").createOrReplaceTempView("chain_transaction")
+    inputs = Inputs.from_catalog(spark, "chain_", ["transaction"])
     assert inputs.max_block("transaction").first()[0] == 149
     with pytest.raises(KeyError):
         inputs.table("no_such_table")
+
+
+@pytest.mark.parametrize("placed, column", [(hash_layout, "address_part"), (block_bucket_layout, BUCKET)])
+def test_writes_are_rebalanced(stored, placed, column):
+    text = plan(placed(build("address_reads", stored)))
+    assert re.search(rf"hashpartitioning\({column}#.*REBALANCE_PARTITIONS_BY_COL", text)

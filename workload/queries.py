@@ -397,11 +397,12 @@ def _(i: Inputs) -> DataFrame:
 @query("agg_mergeable")
 def _(i: Inputs) -> DataFrame:
     """Partial results of block ranges, merged, stand for the whole range."""
+    halves = chunks(0, _last_block(i), _last_block(i) // 2 + 1)
 
     def merged(name: str, source: Inputs, version: str) -> DataFrame:
         parts = [
             getattr(tables, name)(source, lower, upper, FORKS)
-            for lower, upper in chunks(0, _last_block(i), _step(i))
+            for lower, upper in halves
         ]
         return merge_state(parts[0], union_all(*parts[1:]), ["address"], version)
 
