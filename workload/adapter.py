@@ -16,6 +16,8 @@ from stateloom.schemas import SOURCES, ZERO_WORD, Forks
 from stateloom.sources.inputs import Inputs
 
 FORKS = Forks(state_clearing=20, same_tx_destruct=50)
+# Into how many chunks the incremental queries cut the range of the data.
+CHUNKS = 3
 
 
 def _padded(key: str, width: int) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stateloom.schemas import MAX_BLOCK, SOURCES, ZERO_WORD
-from workload.adapter import FORKS, VERSIONS, VIEWS
+from workload.adapter import CHUNKS, FORKS, VERSIONS, VIEWS
 
 ORACLE: dict[str, str] = {}
 
@@ -149,7 +149,7 @@ _CTES: dict[str, str] = {
     "accounts_alive": "SELECT address, max(block_number) AS block_number,"
     " max_by(is_alive, row(block_number, transaction_index, NOT is_alive)) AS is_alive"
     " FROM life_events GROUP BY address",
-    "last_block": "SELECT max(block_number) AS last_block, max(block_number) // 4 + 1 AS step"
+    "last_block": f"SELECT max(block_number) AS last_block, max(block_number) // {CHUNKS} + 1 AS step"
     " FROM c_transaction",
     "reads_per_block": " UNION ALL ".join(
         f"SELECT block_number, '{name}' AS source, count(*) AS reads FROM c_{name}"

@@ -30,14 +30,12 @@ from stateloom.sources.files import shared_dir
 from stateloom.sources.inputs import Inputs, scan_block_range
 from stateloom.streaming.logs import extract_failed_units
 from stateloom.streaming.runner import Warehouse, chunks
-from workload.adapter import FORKS, inputs
+from workload.adapter import CHUNKS, FORKS, inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-CHUNKS = 4
-
 
 def query(name: str) -> Callable:
     """Register a query over the canonical inputs."""
