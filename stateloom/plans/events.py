@@ -38,12 +38,15 @@ def tx_hashes(inputs: Inputs, start: Block, end: Block) -> DataFrame:
 def tx_index(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     """Index per hash, each hash once, so that an inner join never repeats an event.
 
-    The grouping is by the join key: a shuffle join reuses its partitioning.
+    The second grouping key follows from the first. It keeps the partitioning of
+    this step from being taken over by a shuffle join: only a join side that is
+    shuffled for the join can be cut up when one hash has most of the events.
     """
     return (
         filter_tx_success(inputs, start, end)
-        .groupBy("transaction_hash")
+        .groupBy("transaction_hash", F.xxhash64("transaction_hash").alias("spread"))
         .agg(F.max("transaction_index").alias("transaction_index"))
+        .drop("spread")
     )
 
 
