@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from stateloom.llm import token_files
+from stateloom.llm.decontamination import without_contamination
 from stateloom.llm.jaccard import jaccard_components
 from stateloom.llm.labelled import table
+from stateloom.llm.mixing import mixed_documents
+from stateloom.llm.queries import tokenizer
 from stateloom.llm.storage import stored
 from stateloom.llm.toxicity import toxicity
+from stateloom.ship import ship
 from stateloom.sources.files import shared_dir
 
 
@@ -21,19 +25,43 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id."""
-    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of linked ones, that with the smallest id; all rows of a null id.
+
+    Rows that repeat the id that stays are one document and become one row.
+    """
+    linked = jaccard_components(docs)
+    kept = linked.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return without_contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, its text cut and repeated accordingly."""
+    return mixed_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document, read back from its token files."""
+    return token_files.contract(docs, tokenizer("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("ngram_jaccard_join", drop_near_copies),
+    ("decontamination", drop_benchmark_passages),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written to the shared folder and read again."""
+    ship(spark)
     folder = shared_dir(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
@@ -41,4 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: Classifiers, fuzzy windows and tokenizers have no counterpart in SQL.
 ORACLE_SQL: str | None = None

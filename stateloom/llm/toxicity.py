@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from stateloom.llm.labelled import crc_mod, labelled_sample
 from stateloom.llm.words import ALNUM, Words, pieces
@@ -228,17 +229,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, thresh
     spark = docs.sparkSession
     model = train(docs, labels, rows)
     sent = spark.sparkContext.broadcast(model)
+    added = ["tox_score", "tox_predicted"]
+    docs = docs.drop(*added)
     names = docs.columns
-    schema = docs.drop("tox_score", "tox_predicted").schema.add("tox_score", "double").add("tox_predicted", "integer")
-    kept = [c for c in names if c not in ("tox_score", "tox_predicted")]
+    schema = StructType([*docs.schema.fields, StructField(added[0], DoubleType()), StructField(added[1], IntegerType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             s = np.zeros(len(texts)) if sent.value is None else sent.value.score(texts)
-            columns = [batch.column(c) for c in kept] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "tox_score", "tox_predicted"])
+            columns = [*batch.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
 
-    return docs.select(*kept).mapInArrow(score, schema)
+    return docs.mapInArrow(score, schema)
 
 
 def contract(docs: DataFrame, labels: DataFrame) -> DataFrame:
