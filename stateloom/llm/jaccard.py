@@ -10,8 +10,8 @@ of two sets within k, one group has at most one difference, so one subset is equ
 Equal sets are collapsed first. Sets that share a signature are compared in rounds:
 with one pivot of the signature's members, then with others, and at last with all
 members, but only where they are not yet connected, since a link within a component
-changes nothing. A pair is compared by its profile (a bound on the difference that
-cannot miss), then by the shingles of both whole texts. No link is lost.
+changes nothing. A pair is compared by its sketches, a bound on the difference that
+cannot miss, and then by the shingles of both whole texts. No link is lost.
 
 A null or empty text has an empty set, size 0, and is linked with nothing; fewer
 words than a shingle are one shingle. Rows of a null id are never linked with others.
@@ -34,10 +34,10 @@ from stateloom.sources.files import shared_dir
 
 WORDS = 3
 PERCENT = 90
-#: Cells of the domain by which two sets are compared before their texts are.
-PROFILE = 32
+#: 64-bit words of a set's sketch.
+SKETCH = 16
 #: Rounds with one pivot a signature before all unconnected members are compared.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 #: Bits of a shingle's hash that count.
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
@@ -92,29 +92,45 @@ def signatures(f: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int
     return np.concatenate(out), np.concatenate(whose)
 
 
-def _set_columns(texts: list[bytes], n: int, percent: int) -> dict:
-    f, owner = distinct_shingles(texts, n)
-    count = len(texts)
-    sizes = np.bincount(owner, minlength=count)
+def _identities(f: np.ndarray, owner: np.ndarray, count: int) -> list[np.ndarray]:
+    """Two hashes of each set, 128 bits together."""
     sums = [np.zeros(count, np.uint64) for _ in range(2)]
     for k in (0, 1):
         np.add.at(sums[k], owner, mix(f + np.uint64(11 + k)))
-    profile = np.bincount(owner * PROFILE + (f % np.uint64(PROFILE)).astype(np.int64), minlength=count * PROFILE)
+    return [x.view(np.int64) for x in sums]
+
+
+def _sketches(f: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """For each set and each of the cells of the domain, whether it has an odd number of shingles there.
+
+    One shingle more or less changes one cell, so two sets differ in as many shingles
+    at least as their sketches do in bits.
+    """
+    cell = mix(f + np.uint64(23)) % np.uint64(64 * SKETCH)
+    out = np.zeros(count * SKETCH, np.uint64)
+    np.bitwise_xor.at(out, owner * SKETCH + (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63)))
+    return out.view(np.int64)
+
+
+def _described(texts: list[bytes], n: int, percent: int) -> dict:
+    f, owner = distinct_shingles(texts, n)
+    count = len(texts)
+    sizes = np.bincount(owner, minlength=count)
+    set_a, set_b = _identities(f, owner, count)
     sig, whose = signatures(f, owner, sizes, percent)
     order = np.argsort(whose, kind="stable")
     bounds = np.concatenate(([0], np.cumsum(np.bincount(whose, minlength=count)))).astype(np.int32)
+    even = np.arange(0, (count + 1) * SKETCH, SKETCH, dtype=np.int32)
     return {
         "size": sizes.astype(np.int64),
-        "set_a": sums[0].view(np.int64),
-        "set_b": sums[1].view(np.int64),
-        "profile": pa.ListArray.from_arrays(
-            np.arange(0, (count + 1) * PROFILE, PROFILE, dtype=np.int32), profile.astype(np.int32)
-        ),
+        "set_a": set_a,
+        "set_b": set_b,
+        "sketch": pa.ListArray.from_arrays(even, _sketches(f, owner, count)),
         "signatures": pa.ListArray.from_arrays(bounds, sig[order].view(np.int64)),
     }
 
 
-_SETS = "doc_id long, size long, set_a long, set_b long, profile array<int>, signatures array<long>"
+_SETS = "doc_id long, size long, set_a long, set_b long, sketch array<long>, signatures array<long>"
 
 
 def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,15 +159,20 @@ def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"signature": sig[keep], "one": one[keep]})
 
 
-def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (u, v of doc_id) that are links, by profile, then by whole texts."""
-    for side in "uv":
-        pairs = pairs.join(sets.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("size", "profile"))), side)
-    apart = F.aggregate(F.zip_with("profile_u", "profile_v", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    total = F.col("size_u") + F.col("size_v")
-    likely = pairs.where(apart * (100 + percent) <= total * (100 - percent)).select("u", "v")
+def _likely(percent: int) -> Column:
+    """Whether sketches leave room for a link between a row and one with p before its names.
+
+    It is a condition of the join, so that pairs it rules out are never rows.
+    """
+    apart = sum(F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("p_sketch")[k])) for k in range(SKETCH))
+    total = F.col("size") + F.col("p_size")
+    return apart * (100 + percent) <= total * (100 - percent)
+
+
+def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of the pairs that are links, by the shingles of both whole texts."""
     for side in "uv":
-        likely = likely.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
+        pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, left in pieces(batches, "text_u"):
@@ -162,7 +183,7 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int, percent:
             linked = 100 * both >= percent * (sizes[0] + sizes[1] - both)
             yield batch.select(["u", "v"]).filter(pa.array(linked))
 
-    return likely.select("u", "v", "text_u", "text_v").mapInArrow(compare, "u long, v long")
+    return pairs.select("u", "v", "text_u", "text_v").mapInArrow(compare, "u long, v long")
 
 
 def _ordered(u: str, v: str) -> list[Column]:
@@ -176,14 +197,14 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
-            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), **_set_columns(texts, n, percent)})
+            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), **_described(texts, n, percent)})
 
     rows = stored(docs.select("doc_id", "text").mapInArrow(describe, _SETS), folder, "rows")
     # One row for each different set, under its smallest id.
     sets = stored(
         rows.where("size > 0 and doc_id is not null")
         .groupBy("set_a", "set_b", "size")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("profile").alias("profile")),
+        .agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")),
         folder,
         "sets",
     )
@@ -202,8 +223,8 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     alike = alike.groupBy("members", "x", "y").agg(F.min("signature").alias("signature")).select("signature")
     members = stored(
         shared.join(alike, "signature", "left_semi")
-        .join(sets.select(F.col("set_a").alias("one"), "doc_id"), "one")
-        .select("signature", "doc_id"),
+        .join(sets.select(F.col("set_a").alias("one"), "doc_id", "size", "sketch"), "one")
+        .drop("one"),
         folder,
         "members",
     )
@@ -212,8 +233,8 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows that repeat an id, those with the text that is meant."""
         for batch, texts in pieces(batches):
-            got = _set_columns(texts, n, percent)
-            same = [got[c] == batch.column(c).to_numpy() for c in ("set_a", "set_b")]
+            got = _identities(*distinct_shingles(texts, n), len(texts))
+            same = [x == batch.column(c).to_numpy() for x, c in zip(got, ("set_a", "set_b"))]
             yield batch.select(["doc_id", "text"]).filter(pa.array(same[0] & same[1]))
 
     texts = (
@@ -226,35 +247,35 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
 
     found, tested = None, None  # links between sets as (node, component); pairs compared so far
     for turn in range(PIVOT_ROUNDS + 1):
-        if found is None:
-            now = members.withColumn("component", F.col("doc_id"))
-        else:
+        now = members.withColumn("component", F.col("doc_id"))
+        if found is not None:
             now = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             now = now.withColumn("component", F.coalesce("component", "doc_id"))
-            spread = now.groupBy("signature").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-            now = stored(now.join(spread.where("a <> b").select("signature"), "signature", "left_semi"), folder, f"open-{turn}")
-            if now.isEmpty():
-                break
-        if turn < PIVOT_ROUNDS:
-            best = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component"))
-        else:  # the component with most members stands for the rest
-            count = now.groupBy("signature", "component").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-            best = F.max(F.struct("n", "doc_id", "component"))
-            pivots = count.groupBy("signature").agg(best.alias("best"))
+            spread = now.groupBy("signature").agg(
+                F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
+            )
+            # Two members have been compared with each other in the first turn.
+            spread = spread.where("a <> b and n > 2").select("signature")
+            now = stored(now.join(spread, "signature", "left_semi"), folder, f"open-{turn}")
         if turn < PIVOT_ROUNDS:
-            pivots = now.groupBy("signature").agg(best.alias("best"))
-        pivots = pivots.select("signature", F.col("best.doc_id").alias("p"), F.col("best.component").alias("pc"))
-        if turn < PIVOT_ROUNDS:
-            pairs = now.join(pivots, "signature").where("component <> pc").select(*_ordered("doc_id", "p"))
-        else:
-            outside = now.join(pivots, "signature").where("component <> pc").select("signature", F.col("doc_id").alias("p"), F.col("component").alias("pc"))
-            pairs = now.join(outside, "signature").where("component <> pc").select(*_ordered("doc_id", "p"))
-        pairs = pairs.distinct()
+            best = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("order"), *now.columns[1:]))
+            pivots = now.groupBy("signature").agg(best.alias("best")).select("signature", "best.*").drop("order")
+        else:  # all that are not of the component with most members
+            count = now.groupBy("signature", "component").agg(F.count("*").alias("n"))
+            main = count.groupBy("signature").agg(F.max(F.struct("n", "component")).alias("best"))
+            pivots = now.join(main, "signature").where("component <> best.component").drop("best")
+        pivots = pivots.select(F.col("signature").alias("s"), *(F.col(c).alias(f"p_{c}") for c in now.columns if c != "signature"))
+        match = (F.col("signature") == F.col("s")) & (F.col("component") != F.col("p_component")) & _likely(percent)
+        pairs = now.join(pivots, match).select(*_ordered("doc_id", "p_doc_id")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stored(pairs, folder, f"pairs-{turn}")
+        if pairs.isEmpty():
+            if found is None:
+                found = spark.createDataFrame([], "node long, component long")
+            continue
         tested = pairs if tested is None else tested.union(pairs)
-        links = _links(pairs, sets, texts, n, percent)
+        links = _links(pairs, texts, n, percent)
         if found is not None:
             links = links.union(found.select(F.col("node").alias("u"), F.col("component").alias("v")))
         found = components(links, folder, f"links-{turn}")
