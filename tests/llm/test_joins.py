@@ -1,0 +1,192 @@
+"""Near copies, exact copies and benchmark passages, against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest_llm import ODD, documents, prose
+
+from stateloom.llm.components import components
+from stateloom.llm.content_sort import exact_duplicates
+from stateloom.llm.decontamination import Index, contamination, without_contamination
+from stateloom.llm.jaccard import distinct_shingles, jaccard_components, signatures
+from stateloom.sources.files import shared_dir
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set())
+
+
+def linked(rows):
+    """Smallest reachable id of every id, from all pairs."""
+    sets = [(d, shingle_set(t)) for d, t in rows if d is not None]
+    parent = {d: d for d, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and y and 100 * len(x & y) >= 90 * len(x | y):
+                lo, hi = sorted((root(a), root(b)))
+                parent[hi] = lo
+    return {d: root(d) for d in parent}
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = prose(rng, 1)
+    return " ".join(words)
+
+
+def near_copies(rng):
+    rows, n = [], 100
+    for size in (1, 2, 3, 4, 11, 12, 30, 60, 200):
+        base = prose(rng, size)
+        for edits in (0, 0, 1, 1, 2, 3, 5):
+            rows.append((n, edited(rng, base, min(edits, size) if size > 3 else 0)))
+            n += 1
+            rows.append((n, base + " " + prose(rng, 1 + edits)))
+            n += 1
+    return rows
+
+
+def test_components_match_all_pairs(spark, rng):
+    rows = ODD + near_copies(rng)
+    got = jaccard_components(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    want = linked(rows)
+    for r in got:
+        assert r["component_id"] == want.get(r["doc_id"], r["doc_id"]), r
+    sizes = Counter((r["doc_id"], r["n_shingles"]) for r in got)
+    assert sizes == Counter((d, len(shingle_set(t))) for d, t in rows)
+    assert max(Counter(r["component_id"] for r in got).values()) > 5
+
+
+def test_a_large_group_of_near_copies(spark, rng):
+    base = prose(rng, 60)
+    rows = [(i, edited(rng, base, i % 4)) for i in range(150)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(documents(spark, rows)).collect()}
+    assert got == linked(rows)
+
+
+def test_no_documents(spark):
+    assert jaccard_components(documents(spark, [])).collect() == []
+    assert exact_duplicates(documents(spark, [])).collect() == []
+
+
+def test_similar_sets_share_a_signature():
+    rng = random.Random(1)
+    for size in (*range(1, 40), 75, 150, 400):
+        for _ in range(5):
+            own = [f"w{rng.random()}" for _ in range(size + 2)]
+            most = size * 10 // 19  # far more edits than can be similar
+            for cut in range(min(most, 8)):
+                texts = [" ".join(own).encode(), " ".join(own[: len(own) - cut]).encode()]
+                f, owner = distinct_shingles(texts, 3)
+                sizes = np.bincount(owner, minlength=2)
+                if sizes.min() == 0 or 100 * sizes.min() < 90 * sizes.max():
+                    continue
+                sig, whose = signatures(f, owner, sizes, 90)
+                assert set(sig[whose == 0].tolist()) & set(sig[whose == 1].tolist()), (size, cut)
+
+
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_connected_components(spark, rng, n):
+    links = [(rng.randrange(n * 3), rng.randrange(n * 3)) for _ in range(n * 2)] + [(0, k) for k in range(n)]
+    df = spark.createDataFrame(links, "u long, v long")
+    got = {r["node"]: r["component"] for r in components(df, shared_dir(spark)).collect()}
+    parent = list(range(n * 3))
+    for _ in range(n * 3):
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert got == {k: p for k, p in enumerate(parent) if k != p}
+
+
+def test_exact_copies(spark, rng):
+    rows = ODD + [(100 + i, prose(rng, 5) if i % 3 else "the very same text") for i in range(300)]
+    got = exact_duplicates(documents(spark, rows).withColumnRenamed("lang", "kept")).collect()
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(t or "", []).append(d)
+    want = Counter()
+    for d, t in rows:
+        own = groups[t or ""]
+        keep = max((x for x in own if x is not None), default=None)
+        want[(d, keep, len(own), d == keep, hashlib.sha256((t or "").encode()).hexdigest())] += 1
+    assert Counter(tuple(r) for r in got) == want
+
+
+def test_exact_copies_use_two_shuffles_of_texts(spark, rng):
+    df = exact_duplicates(documents(spark, [(i, prose(rng, 3)) for i in range(50)]))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+ITEMS = [(1, 40), (2, 15), (3, 55), (4, 3)]
+
+
+def benchmark(spark, rng):
+    texts = {i: prose(rng, n) for i, n in ITEMS}
+    rows = [*texts.items(), (5, None), (6, ""), (7, "...")]
+    return texts, spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_passages_are_found_where_they_stand(spark, rng):
+    texts, items = benchmark(spark, rng)
+    rows = list(ODD)
+    want = set()
+    for n, (i, passage) in enumerate(texts.items()):
+        rows.append((100 + n, prose(rng, 70) + " " + passage.upper() + ", " + prose(rng, 50)))
+        want.add((100 + n, i, 70, len(passage.split()), 1.0))
+        rows.append((200 + n, passage))
+        want.add((200 + n, i, 0, len(passage.split()), 1.0))
+        rows.append((300 + n, prose(rng, 120)))
+    # One word in 55 is another: 46 of 56 shingles are common. Two in 15 are too many.
+    words = texts[3].split()
+    rows.append((400, prose(rng, 9) + " " + " ".join([*words[:27], "other", *words[28:]])))
+    words = texts[2].split()
+    rows.append((401, " ".join([*words[:5], "other", *words[6:10], "still", *words[11:]])))
+    docs = documents(spark, rows)
+    got = contamination(docs, items).collect()
+    found = {tuple(r) for r in got if r["doc_id"] < 400}
+    # The item of three words is short enough to stand in prose by chance.
+    assert want <= found and all(f in want or f[1] == 4 for f in found)
+    near = [r for r in got if r["doc_id"] == 400 and r["item_id"] == 3]
+    assert len(near) == 1 and near[0]["first_word"] == 9 and 0.8 <= near[0]["similarity"] < 1
+    assert not [r for r in got if r["doc_id"] == 401 and r["item_id"] == 2]
+    clean = without_contamination(docs, items)
+    dirty = {r["doc_id"] for r in got}
+    assert clean.columns == docs.columns
+    assert Counter(r["doc_id"] for r in clean.collect()) == Counter(d for d, _ in rows if d not in dirty)
+
+
+def test_every_fingerprint_within_the_radius_is_found(rng):
+    index = Index(list(range(30)), [prose(rng, 20).encode() for _ in range(30)])
+    (sized,) = index.sized
+    prints = np.random.default_rng(3).integers(0, 2**64, 400, dtype=np.uint64)
+    flips = np.random.default_rng(4).integers(0, 64, (400, 15))
+    for k in range(300):
+        prints[k] = sized.prints[k % 30]
+        for bit in flips[k, : k % 16]:
+            prints[k] ^= np.uint64(1) << np.uint64(bit)
+    got = set(zip(*(x.tolist() for x in sized.within(prints))))
+    want = {(w, i) for w in range(400) for i in range(30) if int(prints[w] ^ sized.prints[i]).bit_count() <= 19}
+    assert got == want
+
+
+def test_no_benchmark(spark):
+    docs = documents(spark, ODD)
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert contamination(docs, none).collect() == []
+    assert without_contamination(docs, none).count() == len(ODD)
