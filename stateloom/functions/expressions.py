@@ -60,30 +60,68 @@ def survives_destruct(is_same_tx: str = "is_same_tx") -> Column:
     return ~F.coalesce(F.col(is_same_tx), F.lit(False))
 
 
+#: Room for an index and the dead flag in a wide life code.
+_WIDE = "18446744073709551616BD"
+
+
 def life_code(
     block_number: str = "block_number",
     transaction_index: str = "transaction_index",
     is_alive: str = "is_alive",
 ) -> Column:
-    """(block, index, dead) as one ordered bigint.
+    """(block, index, dead) as one ordered bigint, null where that does not fit.
 
     A maximum over a number stays a hash aggregate, a maximum over a struct
-    needs a sort. The block takes 32 bits, the index 31, the dead flag 1; a value
-    outside of that fails the query instead of being misplaced.
+    needs a sort. The block takes 32 bits, the index 31, the dead flag 1. Rows
+    beyond that, or without an index, have a ``wide_life_code``.
     """
     block, index = F.col(block_number), F.col(transaction_index)
-    dead = F.when(F.col(is_alive), 0).otherwise(1)
-    code = (block - 2**31) * F.lit(2**32).cast("long") + index * 2 + dead
+    return F.when(_narrow(block, index), (block - 2**31) * F.lit(2**32).cast("long") + index * 2 + _dead(is_alive))
+
+
+def wide_life_code(
+    block_number: str = "block_number",
+    transaction_index: str = "transaction_index",
+    is_alive: str = "is_alive",
+) -> Column:
+    """The same order for any 64-bit index, as a decimal, where ``life_code`` is null.
+
+    A missing index comes before all others of its block.
+    """
+    block, index = F.col(block_number), F.col(transaction_index)
+    rest = (F.coalesce(index.cast("decimal(20,0)"), F.lit(-1)) + 1) * 2 + _dead(is_alive)
+    code = block.cast("decimal(18,0)") * F.expr(_WIDE) + rest
+    return F.when(~_narrow(block, index) & block.isNotNull(), code.cast("decimal(38,0)"))
+
+
+def _narrow(block: Column, index: Column) -> Column:
     fits = block.between(0, MAX_BLOCK) & index.between(0, 2**31 - 1)
-    return F.when(fits, code).otherwise(
-        F.raise_error(F.lit("block number or transaction index out of range")).cast("long")
-    )
+    return F.coalesce(fits, F.lit(False))
+
 
+def _dead(is_alive: str) -> Column:
+    return F.when(F.col(is_alive), 0).otherwise(1)
 
-def decoded_life(code: str) -> tuple[Column, Column]:
-    """``block_number`` and ``is_alive`` of a life code."""
-    block = F.shiftright(code, 32) + F.lit(2**31).cast("long")
-    return (
-        block.alias("block_number"),
-        (F.col(code).bitwiseAND(F.lit(1).cast("long")) == 0).alias("is_alive"),
+
+def decoded_life(code: str, wide: str) -> tuple[Column, Column]:
+    """``block_number`` and ``is_alive`` of the later of a life code and a wide one."""
+    one = F.lit(1).cast("long")
+    narrow = F.when(
+        F.col(code).isNotNull(),
+        F.struct(
+            (F.shiftright(code, 32) + F.lit(2**31).cast("long")).alias("block"),
+            F.shiftright(F.col(code).bitwiseAND(F.lit(2**32 - 1).cast("long")), 1).cast("decimal(20,0)").alias("index"),
+            (F.col(code).bitwiseAND(one) == 1).alias("dead"),
+        ),
+    )
+    rest = F.expr(f"{wide} % {_WIDE}")
+    far = F.when(
+        F.col(wide).isNotNull(),
+        F.struct(
+            F.expr(f"{wide} div {_WIDE}").cast("long").alias("block"),
+            (F.floor(rest / 2) - 1).cast("decimal(20,0)").alias("index"),
+            (rest % 2 == 1).alias("dead"),
+        ),
     )
+    last = F.greatest(narrow, far)
+    return last["block"].alias("block_number"), (~last["dead"]).alias("is_alive")

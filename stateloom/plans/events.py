@@ -24,8 +24,12 @@ def filter_tx_success(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     rows = inputs.scan("transaction", start, end).withColumn("transaction_hash", _hash())
     version = inputs.versions.get("transaction")
     if version:
+        # The second key follows from the first; see tx_index.
         rows = latest_per_key(
-            rows, ["transaction_hash"], version, ["success", "transaction_index"]
+            rows.withColumn("spread", F.xxhash64("transaction_hash")),
+            ["transaction_hash", "spread"],
+            version,
+            ["success", "transaction_index"],
         )
     return rows.where("success").select("transaction_hash", "transaction_index")
 
@@ -56,10 +60,13 @@ def address_events(
     """Address, block and transaction of one access log.
 
     ``merged`` drops repeated copies of a row first. Plans that only ask for
-    distinct transactions or the first or last block leave that shuffle out.
+    distinct transactions or the first or last block leave that shuffle out, but
+    for tables with a version whose key does not hold all three columns: there an
+    outdated copy may name another block.
     """
     columns = (address, "block_number", "transaction_hash")
-    rows = inputs.latest(name, start, end, *columns) if merged else inputs.scan(name, start, end)
+    pick = inputs.latest if merged else inputs.current
+    rows = pick(name, start, end, *columns)
     return rows.select(normalize_hex(address).alias("address"), "block_number", _hash())
 
 

@@ -256,14 +256,15 @@ def in_dependency_order(registry: Mapping[str, TableSpec], keys) -> list[TableSp
     ordered: dict[str, TableSpec] = {}
 
     def visit(key: str) -> None:
-        if key in wanted and key not in ordered:
+        # Also through tables that were not asked for: they still set the order.
+        if key in registry and key not in ordered:
             for name in registry[key].inputs:
                 visit(name)
             ordered[key] = registry[key]
 
     for spec in registry.values():
         visit(spec.key)
-    return list(ordered.values())
+    return [spec for key, spec in ordered.items() if key in wanted]
 
 
 def custom_table(
@@ -274,12 +275,20 @@ def custom_table(
     keys: tuple[str, ...],
     description: str = "",
     kind: str = FACTS,
+    merged: bool = True,
     **options,
 ) -> TableSpec:
-    """A user's own table: ``fn(inputs, start, end)`` over inputs cut to the range."""
+    """A user's own table: ``fn(inputs, start, end)`` over inputs cut to the range.
+
+    Inputs whose keys are known come as the newest copy of every row; with
+    ``merged=False`` as stored, copies included.
+    """
 
     def build(inputs: Inputs, start: int, end: int, forks: Forks) -> DataFrame:
-        cut = {name: inputs.scan(name, start, end) for name in sources}
+        cut = {
+            name: inputs.latest(name, start, end) if merged and name in inputs.keys else inputs.scan(name, start, end)
+            for name in sources
+        }
         return fn(cut, start, end).select(*schema.fieldNames())
 
     return TableSpec(key, description or key, tuple(sources), build, schema, kind, tuple(keys), **options)

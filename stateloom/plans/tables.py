@@ -14,7 +14,6 @@ from stateloom.functions import aggregates as agg
 from stateloom.functions import expressions as ex
 from stateloom.operators.blocks import fork_window
 from stateloom.operators.joins import join_tx_index, left_join_creation, semi_tx_success
-from stateloom.operators.sizes import fits_broadcast
 from stateloom.operators.unions import union_all
 from stateloom.plans import events as ev
 from stateloom.plans.events import Block
@@ -58,17 +57,15 @@ def address_reads(inputs: Inputs, start: Block = None, end: Block = None, forks:
 def _block_per_address(inputs: Inputs, start: Block, end: Block, pick) -> DataFrame:
     """The first or last block of every address over the successful transactions.
 
-    Transactions small enough to broadcast filter every log where it is read,
-    and only one partial result per address leaves a task. Beyond that size the
-    logs are first reduced to one row per address and transaction, so that this
-    and not every single access travels to the join.
+    The logs are first reduced to one row per address and transaction, so that this
+    and not every single access travels to the join. Spark moves the semi join below
+    that step exactly when the transactions are small enough to broadcast; then it
+    filters every log where it is read.
     """
     events = ev.union_accesses(inputs, start, end)
-    hashes = ev.tx_hashes(inputs, start, end)
     block = pick("block_number").alias("block_number")
-    if not fits_broadcast(hashes):
-        events = events.groupBy("address", "transaction_hash").agg(block)
-    return semi_tx_success(events, hashes).groupBy("address").agg(block)
+    once = events.groupBy("address", "transaction_hash").agg(block)
+    return semi_tx_success(once, ev.tx_hashes(inputs, start, end)).groupBy("address").agg(block)
 
 
 def address_first_access(
@@ -306,6 +303,6 @@ def accounts_alive(inputs: Inputs, start: Block = None, end: Block = None, forks
     return (
         union_life_events(inputs, start, end)
         .groupBy("address")
-        .agg(F.max(ex.life_code()).alias("code"))
-        .select("address", *ex.decoded_life("code"))
+        .agg(F.max(ex.life_code()).alias("code"), F.max(ex.wide_life_code()).alias("wide"))
+        .select("address", *ex.decoded_life("code", "wide"))
     )

@@ -2,112 +2,143 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+import time
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stateloom.schemas import PLAIN_ACCOUNTS
-from stateloom.sources.files import SPARK_ERRORS
+from stateloom.sources.files import SPARK_ERRORS, shared_dir
+from stateloom.sources.transient import is_transient
+
+log = logging.getLogger(__name__)
 
 ROWS_PER_FILE = 1_000_000
-# A valid file without rows is little more than its schema.
-EMPTY_FILE_BYTES = 1024 * 1024
+ATTEMPTS = 3
+_REPORT = "path string, file string, rows long, status string, error string"
 
 
-def _reader(spark: SparkSession, schema: StructType, skip_unreadable: bool):
-    return (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", str(skip_unreadable).lower())
-    )
+@dataclass
+class Loaded:
+    """A loaded table, and what became of each file."""
 
+    table: DataFrame
+    report: DataFrame
 
-def _footer_problem(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import io
 
-    import pyarrow.parquet as pq
+class PartialLoad(RuntimeError):
+    """Some files could not be read and partial loads were not allowed; ``report`` says which."""
 
-    def problem(content: bytes) -> str | None:
-        try:
-            rows = pq.ParquetFile(io.BytesIO(content)).metadata.num_rows
-        except Exception as error:
-            return f"unreadable footer: {error}"
-        return None if rows == 0 else "no row could be read"
+    def __init__(self, report: DataFrame):
+        failed = [f"{r['path']}: {r['error']}" for r in report.where("status = 'failed'").limit(20).collect()]
+        super().__init__("files that cannot be read: " + "; ".join(failed))
+        self.report = report
 
-    for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "problem": batch["content"].map(problem)})
 
+def _options(reader, skip_unreadable: bool = False):
+    return (
+        reader.option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .option("ignoreCorruptFiles", str(skip_unreadable).lower())
+    )
 
-def load_report(spark: SparkSession, folder: str, schema: StructType = PLAIN_ACCOUNTS) -> DataFrame:
-    """One row per file: path, name, rows, status and error.
 
-    A file is loaded when all rows its footer announces can be decoded. Both
-    counts come from Spark scans that skip broken files: one reads no column
-    (footers only), one decodes the wanted columns. Files without any row are
-    either empty or broken; only those are opened to tell.
-    """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
-        .select("path", "length", F.element_at(F.split("path", "/"), -1).alias("file"))
+def _rows(spark: SparkSession, schema: StructType, paths: list[str], skip_unreadable: bool) -> DataFrame:
+    return _options(spark.read.schema(schema), skip_unreadable).parquet(*paths)
+
+
+def _footer_problem(spark: SparkSession, path: str) -> str | None:
+    """Why a file that yielded no row is broken, or None if it announces none. Reads its footer only."""
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        reader = parquet.ParquetFileReader.open(
+            parquet.util.HadoopInputFile.fromPath(target, spark._jsc.hadoopConfiguration())
+        )
+        try:
+            rows = reader.getRecordCount()
+        finally:
+            reader.close()
+    except SPARK_ERRORS as error:
+        return f"unreadable footer: {str(error).splitlines()[-1] if str(error) else type(error).__name__}"
+    return None if rows == 0 else "no row could be read"
+
+
+def _examine(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """One row per file under the paths: path, file, rows, status and error."""
+    # Files are told apart by their full path, in the one form that all scans have.
+    listing = _options(spark.read.format("binaryFile")).load(paths).select(
+        F.col("_metadata.file_path").alias("uri"),
+        "path",
+        F.element_at(F.split("path", "/"), -1).alias("file"),
     )
     columns = [F.col(name) for name in schema.fieldNames()]
-    rows = _reader(spark, schema, True).parquet(folder).select("*", "_metadata.file_name")
-    announced = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("announced"))
+    rows = _rows(spark, schema, paths, True).select("*", F.col("_metadata.file_path").alias("uri"))
+    announced = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("announced"))
     # The digest is used, so the columns have to be decoded to count a row.
-    digested = rows.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("decoded"), F.max(F.xxhash64(*columns)).alias("digest")
-    )
-    decoded = digested.select(
-        "file_name", F.when(F.col("digest").isNotNull(), F.col("decoded")).alias("decoded")
-    )
-    counted = listing.join(announced.withColumnRenamed("file_name", "file"), "file", "left").join(
-        decoded.withColumnRenamed("file_name", "file"), "file", "left"
+    decoded = (
+        rows.groupBy("uri")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*columns)).alias("digest"))
+        .select("uri", F.when(F.col("digest").isNotNull(), F.col("n")).alias("decoded"))
     )
-    suspects = counted.where(F.coalesce("announced", F.lit(0)) == 0).select("path")
-    contents = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
-        .where(F.col("length") <= EMPTY_FILE_BYTES)
-        .select("path", "content")
-        .join(suspects, "path", "left_semi")
+    zero = F.lit(0)
+    counted = listing.join(announced, "uri", "left").join(decoded, "uri", "left").select(
+        "path", "file", F.coalesce("announced", zero).alias("announced"), F.coalesce("decoded", zero).alias("decoded")
     )
-    problems = contents.mapInPandas(_footer_problem, "path string, problem string")
-    opened = problems.withColumn("opened", F.lit(True))
-    error = (
-        F.when(
-            F.coalesce("announced", F.lit(0)) > 0,
-            F.when(
-                F.coalesce("decoded", F.lit(0)) < F.col("announced"),
-                F.format_string(
-                    "read %d of %d rows", F.coalesce("decoded", F.lit(0)), F.col("announced")
-                ),
-            ),
-        )
-        .when(F.col("opened"), F.col("problem"))
-        .otherwise("unreadable footer")
+    target = f"{shared_dir(spark)}/counted"
+    counted.write.parquet(target)
+    counted = spark.read.schema(counted.schema).parquet(target)
+    # Files without any row are empty or broken; of these alone the footers are opened.
+    suspects = [r["path"] for r in counted.where("announced = 0").select("path").toLocalIterator()]
+    problems = [(p, problem) for p in suspects if (problem := _footer_problem(spark, p))]
+    known = spark.createDataFrame(problems, "path string, problem string")
+    short = F.when(
+        F.col("decoded") < F.col("announced"),
+        F.format_string("read %d of %d rows", "decoded", "announced"),
     )
-    return (
-        counted.join(opened, "path", "left")
-        .withColumn("error", error)
-        .select(
-            "path",
-            "file",
-            F.when(F.col("error").isNull(), F.coalesce("decoded", F.lit(0)))
-            .otherwise(0)
-            .cast("long")
-            .alias("rows"),
-            F.when(F.col("error").isNull(), "loaded").otherwise("failed").alias("status"),
-            "error",
-        )
+    report = counted.join(known, "path", "left").withColumn("error", F.coalesce("problem", short))
+    failed = F.col("error").isNotNull()
+    return report.select(
+        "path",
+        "file",
+        F.when(failed, 0).otherwise(F.col("decoded")).cast("long").alias("rows"),
+        F.when(failed, "failed").otherwise("loaded").alias("status"),
+        "error",
     )
 
 
+def load_report(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType = PLAIN_ACCOUNTS,
+    attempts: int = ATTEMPTS,
+    delay: float = 1.0,
+) -> DataFrame:
+    """One row per file of a folder and its subfolders: path, file, rows, status and error.
+
+    A file is loaded when all rows its footer announces can be decoded. Both
+    counts come from Spark scans that skip what they cannot read: one reads no
+    column (footers only), one decodes the wanted columns. Such a scan also skips
+    a sound file over a passing error, so files that failed are read again, and
+    those alone, before they are called broken. The report is stored.
+    """
+    target = f"{shared_dir(spark)}/report"
+    _examine(spark, [folder], schema).write.parquet(f"{target}/try-1")
+    report = spark.read.schema(_REPORT).parquet(f"{target}/try-1")
+    for attempt in range(2, attempts + 1):
+        failed = [r["path"] for r in report.where("status = 'failed'").select("path").collect()]
+        if not failed:
+            break
+        time.sleep(delay)
+        again = report.where("status = 'loaded'").unionByName(_examine(spark, failed, schema))
+        again.write.parquet(f"{target}/try-{attempt}")
+        report = spark.read.schema(_REPORT).parquet(f"{target}/try-{attempt}")
+    return report
+
+
 def load_summary(report: DataFrame) -> DataFrame:
     """Totals of a report: files, failures, success rate in percent, rows."""
     good = F.count_if(F.col("status") == "loaded")
@@ -120,8 +151,11 @@ def load_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def _write(rows: DataFrame, target: str, mode: str) -> None:
-    rows.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target)
+def _write(rows: DataFrame, target: str, mode: str) -> int:
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target)
+    return seen.get["rows"]
 
 
 def load_parquet_folder(
@@ -130,22 +164,48 @@ def load_parquet_folder(
     target: str,
     schema: StructType = PLAIN_ACCOUNTS,
     mode: str = "append",
-) -> DataFrame:
-    """Copy all rows of a folder's Parquet files into a table and return the table.
-
-    One strict job does it when every file is sound. Only if that job fails are
-    the files examined, and the sound ones loaded; a broken file contributes no
-    row at all. Failed jobs leave nothing behind.
+    allow_partial: bool = False,
+    attempts: int = ATTEMPTS,
+    delay: float = 1.0,
+) -> Loaded:
+    """Copy all rows of a folder's Parquet files into a table; returns it with a report.
+
+    One strict job does it when every file is sound; passing errors are tried
+    again. If it keeps failing, the files are examined. Broken ones raise
+    ``PartialLoad`` before anything is written, unless partial loads are allowed:
+    then the sound files are loaded, a broken file contributes no row at all, and
+    the rows that arrive must be those of the report.
     """
-    try:
-        _write(_reader(spark, schema, False).parquet(folder), target, mode)
-    except SPARK_ERRORS:
-        report = load_report(spark, folder, schema).where(F.col("status") == "loaded")
-        # Names of files, as the driver lists them for any scan of the folder.
-        sound = [row["path"] for row in report.select("path").toLocalIterator()]
-        if sound:
-            rows = _reader(spark, schema, False).parquet(*sound)
-        else:
-            rows = spark.createDataFrame([], schema)
-        _write(rows, target, mode)
-    return spark.read.schema(schema).parquet(target)
+    failure = None
+    for attempt in range(attempts):
+        try:
+            _write(_rows(spark, schema, [folder], False), target, mode)
+            return Loaded(spark.read.schema(schema).parquet(target), load_report(spark, folder, schema))
+        except SPARK_ERRORS as error:
+            failure = error
+            if not is_transient(error) or attempt + 1 == attempts:
+                break
+            time.sleep(delay)
+    if "PATH_NOT_FOUND" in str(failure):
+        raise failure
+    report = load_report(spark, folder, schema, attempts, delay)
+    broken = report.where("status = 'failed'")
+    if broken.isEmpty():
+        raise failure  # every file is sound: the fault lies elsewhere
+    if not allow_partial:
+        raise PartialLoad(report)
+    wanted = report.where("status = 'loaded'").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    for attempt in range(1, attempts + 1):
+        staged = f"{shared_dir(spark)}/staged"
+        sound = _options(spark.read.format("binaryFile")).load(folder).select(
+            F.col("_metadata.file_path").alias("uri"), "path"
+        )
+        sound = sound.join(report.where("status = 'loaded'").select("path"), "path", "left_semi").select("uri")
+        rows = _rows(spark, schema, [folder], True).select("*", F.col("_metadata.file_path").alias("uri"))
+        got = _write(rows.join(sound, "uri", "left_semi").drop("uri"), staged, "errorifexists")
+        if got == wanted:
+            _write(spark.read.schema(schema).parquet(staged), target, mode)
+            return Loaded(spark.read.schema(schema).parquet(target), report)
+        log.warning("%s: %d of %d rows arrived (try %d)", folder, got, wanted, attempt)
+        time.sleep(delay)
+    raise RuntimeError(f"{folder}: sound files cannot be read in full")

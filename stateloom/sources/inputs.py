@@ -118,10 +118,11 @@ class Inputs:
     ) -> DataFrame:
         """Rows of a range with outdated copies removed; exact copies may stay.
 
-        For aggregates that ignore repeats but read value columns: the merge is
-        only needed where the table has a version.
+        For aggregates that ignore repeats: the merge is only needed where the
+        table has a version and a column is read that is not part of its key. Copies
+        are merged within the range, so a row is expected to keep to one range.
         """
-        if name in self.versions:
+        if name in self.versions and set(columns) - set(self.keys[name]):
             return self.latest(name, start, end, *columns).select(*columns)
         return self.scan(name, start, end, *columns)
 
@@ -129,10 +130,30 @@ class Inputs:
         """One row: the last block of a table, 0 when it is empty."""
         return max_block(self.table(name), name in self.bucket_widths)
 
+    def last_block(self, name: str) -> DataFrame:
+        """One row: the last block of a table, null when it is empty."""
+        return last_block(self.table(name), name in self.bucket_widths)
 
-def max_block(df: DataFrame, bucketed: bool = False) -> DataFrame:
-    """One row ``max_block``; a bucketed table is read in its last bucket only."""
+
+def last_block(df: DataFrame, bucketed: bool = False) -> DataFrame:
+    """One row ``last_block``, null for an empty table; a bucketed one is read in its last bucket only.
+
+    The bucket is found in the names of the partitions, which the scan lists anyway.
+    """
     if bucketed:
-        last = df.select(F.max("block_bucket")).scalar()
-        df = df.where(F.col("block_bucket") == last)
-    return df.agg(F.coalesce(F.max("block_number"), F.lit(0)).cast("long").alias("max_block"))
+        last = last_bucket(df)
+        df = df.where(F.lit(False)) if last is None else df.where(F.col("block_bucket") == last)
+    return df.agg(F.max("block_number").cast("long").alias("last_block"))
+
+
+def last_bucket(df: DataFrame) -> int | None:
+    """The largest ``block_bucket`` among the directories of a scan that hold files."""
+    names = [p.split("block_bucket=")[1].split("/")[0] for p in df.inputFiles() if "block_bucket=" in p]
+    if names:
+        return max(int(n) for n in names)
+    return df.agg(F.max("block_bucket")).first()[0]
+
+
+def max_block(df: DataFrame, bucketed: bool = False) -> DataFrame:
+    """One row ``max_block``, 0 for an empty table."""
+    return last_block(df, bucketed).select(F.coalesce("last_block", F.lit(0)).cast("long").alias("max_block"))

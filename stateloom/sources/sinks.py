@@ -15,7 +15,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from stateloom.operators.blocks import BUCKET, in_range
 from stateloom.operators.dedup import merge_state
-from stateloom.operators.layout import ADDRESS_PART, block_bucket_layout, hash_layout
+from stateloom.operators.layout import (
+    ADDRESS_PART,
+    block_bucket_layout,
+    hash_layout,
+    hash_layout_composite,
+)
 from stateloom.sources import files
 
 
@@ -74,8 +79,10 @@ class KeyedState:
     """One row per key; the row with the highest (version, run) wins.
 
     ``generation=N/base`` is a merged snapshot and ``generation=N/ranges`` holds
-    what was computed since. A generation counts once Spark's commit marker is
-    in its base, so an interrupted fold leaves the previous one in force. One
+    what was computed since: ``blocks=a-b/run=R`` for every attempt at a range, of
+    which the newest complete one counts. Bases and attempts count once Spark's
+    commit marker is in them, so an interrupted fold leaves the previous generation
+    in force, and a failed repetition of a range leaves the previous attempt. One
     writer per table is assumed.
     """
 
@@ -88,41 +95,59 @@ class KeyedState:
         self.keys, self.version = list(keys), version
         self.stored = StructType([*schema, StructField(self.RUN, LongType())])
 
-    def _generation(self) -> int:
-        """The newest complete generation, 0 before the first fold."""
-        done = [
+    def _complete(self, path: str) -> bool:
+        return files.exists(self.spark, f"{path}/_SUCCESS")
+
+    def _generations(self) -> list[int]:
+        return [
             int(name.split("=")[1])
             for name in files.children(self.spark, self.path)
             if name.startswith("generation=")
-            and files.exists(self.spark, f"{self.path}/{name}/base/_SUCCESS")
         ]
+
+    def _generation(self) -> int:
+        """The newest complete generation, 0 before the first fold."""
+        done = [n for n in self._generations() if self._complete(f"{self.path}/generation={n}/base")]
         return max(done, default=0)
 
-    def _read(self, part: str) -> DataFrame:
-        path = f"{self.path}/generation={self._generation()}/{part}"
-        if not files.exists(self.spark, path):
+    def _ranges(self) -> list[str]:
+        """The newest complete attempt of every range since the last fold."""
+        root = f"{self.path}/generation={self._generation()}/ranges"
+        found = []
+        for name in files.children(self.spark, root):
+            runs = sorted(
+                (int(r.split("=")[1]) for r in files.children(self.spark, f"{root}/{name}") if r.startswith("run=")),
+                reverse=True,
+            )
+            paths = (f"{root}/{name}/run={run}" for run in runs)
+            found += [p for p in paths if self._complete(p)][:1]
+        return found
+
+    def _read(self, paths: Sequence[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], self.stored)
-        return self.spark.read.schema(self.stored).parquet(path).select(*self.stored.fieldNames())
+        return self.spark.read.schema(self.stored).parquet(*paths).select(*self.stored.fieldNames())
+
+    def _base(self) -> DataFrame:
+        path = f"{self.path}/generation={self._generation()}/base"
+        return self._read([path] if self._complete(path) else [])
 
     def pending(self) -> int:
         """How many ranges were written since the last fold."""
-        return len(
-            [n for n in files.children(self.spark, f"{self.path}/generation={self._generation()}/ranges")
-             if n.startswith("blocks=")]
-        )
+        return len(self._ranges())
 
     def append(self, df: DataFrame, start: int, end: int, run_id: int) -> int:
-        """Store the state of one block range; the same range again replaces it."""
+        """Store the state of one block range; a later run of the same range replaces it."""
         rows, seen = _counted(
             df.select(*self.schema.fieldNames(), F.lit(run_id).cast("long").alias(self.RUN))
         )
-        target = f"{self.path}/generation={self._generation()}/ranges/blocks={start}-{end}"
+        target = f"{self.path}/generation={self._generation()}/ranges/blocks={start}-{end}/run={run_id}"
         rows.write.mode("overwrite").parquet(target)
         return seen.get["rows"]
 
     def _merged(self) -> DataFrame:
         return merge_state(
-            self._read("base"), self._read("ranges"), self.keys, [self.version, self.RUN]
+            self._base(), self._read(self._ranges()), self.keys, [self.version, self.RUN]
         )
 
     def read(self) -> DataFrame:
@@ -133,11 +158,17 @@ class KeyedState:
         """Merge everything into the base of a new generation.
 
         It costs one pass over the whole state, so it belongs at the end of a
-        run and not behind every range. Older generations stay until deleted.
+        run and not behind every range. The previous generation stays for those
+        who still read it; older ones are removed.
         """
         if not self.pending():
             return
-        target = f"{self.path}/generation={self._generation() + 1}/base"
-        hash_layout(self._merged(), sort_by=self.keys).write.mode("overwrite").partitionBy(
-            ADDRESS_PART
-        ).parquet(target)
+        now = self._generation() + 1
+        if len(self.keys) > 1:
+            placed, parts = hash_layout_composite(self._merged(), self.keys), ()
+        else:
+            placed, parts = hash_layout(self._merged(), sort_by=self.keys), (ADDRESS_PART,)
+        placed.write.mode("overwrite").partitionBy(*parts).parquet(f"{self.path}/generation={now}/base")
+        for old in self._generations():
+            if old < now - 1:
+                files.delete(self.spark, f"{self.path}/generation={old}")

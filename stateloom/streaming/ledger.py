@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stateloom.sources import files
+from stateloom.sources.transient import PASSING
 
 COLUMNS = {
     "table": "string",
@@ -22,8 +23,56 @@ COLUMNS = {
 SCHEMA = ", ".join(f"{name} {kind}" for name, kind in COLUMNS.items())
 DONE, FAILED = "done", "failed"
 
-# Error texts after which another try may succeed.
-TRANSIENT = "timeout|timed out|connection|connect timed out|poco_exception"
+#: A stretch of blocks, both ends included, and the run that decided it.
+Interval = tuple[int, int, int]
+
+
+def settle(attempts: list[tuple[int, int, bool, int]]) -> list[Interval]:
+    """Disjoint done stretches of one table, sorted, each with its run.
+
+    ``attempts`` are (lower, upper, done, run), oldest first. For every block the
+    latest attempt decides: one that failed takes its blocks out again.
+    """
+    held: list[Interval] = []
+    for lower, upper, done, run in attempts:
+        rest = []
+        for a, b, r in held:
+            if b < lower or a > upper:
+                rest.append((a, b, r))
+                continue
+            if a < lower:
+                rest.append((a, lower - 1, r))
+            if b > upper:
+                rest.append((upper + 1, b, r))
+        if done:
+            rest.append((lower, upper, run))
+        held = sorted(rest)
+    return held
+
+
+def stretches(intervals: list[Interval]) -> list[tuple[int, int]]:
+    """Intervals without their runs, those that touch as one."""
+    out: list[list[int]] = []
+    for a, b, *_ in sorted(intervals):
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def common(left: list[tuple[int, int]], right: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Blocks that are in both of two lists of stretches."""
+    both = [(max(a, c), min(b, d)) for a, b in left for c, d in right]
+    return sorted((a, b) for a, b in both if a <= b)
+
+
+def without(left: list[tuple[int, int]], right: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Blocks of the first list that are not in the second."""
+    held = [(a, b, 0) for a, b in left]
+    for a, b in right:
+        held = settle([(c, d, True, 0) for c, d, _ in held] + [(a, b, False, 0)])
+    return [(a, b) for a, b, _ in held]
 
 
 class Ledger:
@@ -51,31 +100,32 @@ class Ledger:
         )
         return newest.select(*keys, "last.*").select(*entries.columns)
 
-    def covered(self) -> DataFrame:
-        """Per table: the end of its first gap-free stretch, and the last block done at all.
+    def latest_of_run(self) -> DataFrame:
+        """The last attempt of every run at every range."""
+        entries = self.entries()
+        keys = ["run_id", "table", "lower", "upper"]
+        rest = [c for c in entries.columns if c not in keys]
+        newest = entries.groupBy(*keys).agg(F.max_by(F.struct(*rest), "attempt").alias("last"))
+        return newest.select(*keys, "last.*").select(*entries.columns)
 
-        The record has one row per range, so the window over a table is small.
-        """
-        done = self.entries().where(F.col("status") == DONE)
-        before = Window.partitionBy("table").orderBy("lower", "upper").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        reached = done.withColumn("reached", F.max("upper").over(before))
-        gap = F.col("lower") > F.col("reached") + 1
-        return reached.groupBy("table").agg(
-            F.coalesce(F.min(F.when(gap, F.col("reached"))), F.max("upper")).alias("covered_to"),
-            F.max("upper").alias("last_done"),
-        )
+    def covered(self) -> dict[str, list[Interval]]:
+        """Per table the stretches that are done, by the latest attempt at every block.
 
-    def reached(self) -> dict[str, tuple[int, int]]:
-        """``covered`` as a mapping: table to (covered_to, last_done)."""
-        return {row["table"]: (row["covered_to"], row["last_done"]) for row in self.covered().collect()}
+        The record has one row per chunk and attempt, which the driver reads.
+        """
+        rows = self.entries().select("table", "lower", "upper", "status", "run_id", "attempt")
+        attempts: dict[str, list] = {}
+        for row in rows.orderBy("run_id", "attempt", "lower").toLocalIterator():
+            attempts.setdefault(row["table"], []).append(
+                (row["lower"], row["upper"], row["status"] == DONE, row["run_id"])
+            )
+        return {table: settle(list_) for table, list_ in attempts.items()}
 
     def failed(self, transient_only: bool = False) -> DataFrame:
         """Ranges whose last attempt failed and that no later range made up for."""
         rows = self.latest().where(F.col("status") == FAILED)
         if transient_only:
-            rows = rows.where(F.lower("error").rlike(TRANSIENT))
+            rows = rows.where(F.regexp_like("error", F.lit(f"(?i){PASSING}")))
         done = self.entries().where(F.col("status") == DONE).alias("done")
         made_up = (
             (F.col("done.table") == F.col("failed.table"))
@@ -86,9 +136,21 @@ class Ledger:
         return rows.alias("failed").join(done, made_up, "left_anti")
 
 
+def standing(entries: DataFrame) -> DataFrame:
+    """Attempts that no later run covers: overlapping ranges count once."""
+    later = entries.select("table", "lower", "upper", "run_id").alias("later")
+    covers = (
+        (F.col("later.table") == F.col("own.table"))
+        & (F.col("later.lower") <= F.col("own.lower"))
+        & (F.col("later.upper") >= F.col("own.upper"))
+        & (F.col("later.run_id") > F.col("own.run_id"))
+    )
+    return entries.alias("own").join(later, covers, "left_anti")
+
+
 def range_report(entries: DataFrame) -> DataFrame:
     """Progress per range: blocks, speed, and the share of its table done by then."""
-    rows = entries.withColumn("blocks", F.col("upper") - F.col("lower") + 1)
+    rows = standing(entries).withColumn("blocks", F.col("upper") - F.col("lower") + 1)
     whole = Window.partitionBy("table")
     so_far = whole.orderBy("lower").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     done = F.when(F.col("status") == DONE, F.col("blocks")).otherwise(0)
@@ -107,18 +169,17 @@ def range_report(entries: DataFrame) -> DataFrame:
 
 
 def run_report(entries: DataFrame) -> DataFrame:
-    """Totals per table: ranges, failures, blocks, rows, time and speed."""
-    blocks = F.when(F.col("status") == DONE, F.col("upper") - F.col("lower") + 1).otherwise(0)
+    """Totals per run and table: ranges, failures, blocks, rows, time and speed of that run alone."""
+    done = F.col("status") == DONE
+    blocks = F.when(done, F.col("upper") - F.col("lower") + 1).otherwise(0)
     return (
-        entries.groupBy("table")
+        entries.groupBy("run_id", "table")
         .agg(
             F.count(F.lit(1)).alias("ranges"),
             F.count_if(F.col("status") == FAILED).alias("failed"),
             F.sum(blocks).alias("blocks"),
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
+            F.coalesce(F.sum(F.when(done, F.col("rows"))), F.lit(0)).cast("long").alias("rows"),
             F.round(F.sum("seconds"), 3).alias("seconds"),
         )
-        .withColumn(
-            "blocks_per_second", F.round(F.col("blocks") / F.nullif("seconds", F.lit(0.0)), 2)
-        )
+        .withColumn("blocks_per_second", F.round(F.col("blocks") / F.nullif("seconds", F.lit(0.0)), 2))
     )

@@ -8,7 +8,6 @@ can be repeated at any time.
 from __future__ import annotations
 
 import logging
-import re
 import time
 from collections.abc import Iterable, Mapping
 
@@ -19,9 +18,21 @@ from stateloom.operators.unions import union_all
 from stateloom.plans.registry import FACTS, TABLES, TableSpec, in_dependency_order, resolve
 from stateloom.schemas import DEFAULT_STEP, MAINNET, Forks
 from stateloom.sources import files
-from stateloom.sources.inputs import Inputs, max_block
+from stateloom.sources.inputs import Inputs, last_block
 from stateloom.sources.sinks import KeyedState, read_block_facts, write_block_facts
-from stateloom.streaming.ledger import DONE, FAILED, TRANSIENT, Ledger, range_report, run_report
+from stateloom.sources.transient import described, is_transient
+from stateloom.streaming.ledger import (
+    DONE,
+    FAILED,
+    Interval,
+    Ledger,
+    common,
+    range_report,
+    run_report,
+    standing,
+    stretches,
+    without,
+)
 
 log = logging.getLogger(__name__)
 
@@ -29,17 +40,24 @@ MAX_ATTEMPTS = 3
 RANGES_BEFORE_FOLD = 64
 
 
-def source_coverage(maxima: Mapping[str, DataFrame], known: Mapping[str, int] | None = None) -> int:
-    """The smallest of the last blocks of several tables, 0 when there is none.
+Covered = Mapping[str, list[Interval]]
+Stretch = tuple[int, int]
+
+
+def source_coverage(maxima: Mapping[str, DataFrame], known: Iterable[int | None] = ()) -> int | None:
+    """The smallest of the last blocks of several tables, None if one of them has no block.
 
     ``maxima`` are one-row frames, read in one job; ``known`` are last blocks
-    taken from the ledger.
+    known otherwise.
     """
-    blocks = list((known or {}).values())
+    blocks = list(known)
     if maxima:
-        smallest = union_all(*maxima.values()).agg(F.min("max_block")).first()[0]
-        blocks.append(smallest)
-    return min(blocks, default=0)
+        found = union_all(*(m.select(F.col(m.columns[0]).alias("last")) for m in maxima.values())).agg(
+            F.min("last"), F.count_if(F.col("last").isNull())
+        )
+        smallest, empty = found.first()
+        blocks.append(None if empty else smallest)
+    return None if not blocks or None in blocks else min(blocks)
 
 
 def chunks(start: int, end: int, step: int) -> list[tuple[int, int]]:
@@ -94,71 +112,147 @@ class Warehouse:
             {name: source.bucket_width for name, source in derived.items() if source.kind == FACTS},
         )
 
-    def coverage(self, key: str, reached: Mapping[str, tuple[int, int]] | None = None) -> int:
-        """The last block up to which all sources of a table are there.
-
-        A derived source counts as far as the ledger says it was processed: its
-        own last block says little when it is sparse. A source that cannot be
-        read is skipped with a warning.
-        """
-        spec = resolve(self.registry, key)
-        stored, known = [], {}
+    def _sources(self, spec: TableSpec) -> tuple[list[str], list[str]]:
+        """Stored and derived tables that bound how far a table can be built."""
+        stored, derived = [], []
         for name in spec.coverage_inputs:
             if name in self.inputs:
                 stored.append(name)
             elif name in self.registry:
-                reached = self.ledger.reached() if reached is None else reached
-                known[name] = reached.get(name, (0, 0))[0]
+                derived.append(name)
             else:
                 log.warning("cannot read %s: no such table", name)
+        return stored, derived
+
+    def _stored_coverage(self, names: list[str]) -> int | None:
+        """The last block that all of some stored tables have; one that cannot be read is skipped."""
         try:
-            return source_coverage({name: self.inputs.max_block(name) for name in stored}, known)
+            return source_coverage({name: self.inputs.last_block(name) for name in names})
         except files.SPARK_ERRORS:
-            return source_coverage({}, known | self._readable_maxima(stored))
+            return source_coverage({}, self._readable_maxima(names))
 
-    def _readable_maxima(self, names: Iterable[str]) -> dict[str, int]:
-        found = {}
+    def _readable_maxima(self, names: Iterable[str]) -> list[int | None]:
+        found = []
         for name in names:
             try:
-                found[name] = self.inputs.max_block(name).first()[0]
+                found.append(self.inputs.last_block(name).first()[0])
             except files.SPARK_ERRORS as error:
                 log.warning("cannot read %s: %s", name, error)
         return found
 
+    def available(self, key: str, covered: Covered | None = None) -> list[Stretch]:
+        """The blocks for which all sources of a table are there.
+
+        Stored sources reach from block 0 to their last block. A derived source
+        counts where the ledger says it was processed, and only there: its own last
+        block says little when it is sparse, and nothing about a chunk that failed.
+        """
+        spec = resolve(self.registry, key)
+        stored, derived = self._sources(spec)
+        there = None
+        if stored or not derived:
+            last = self._stored_coverage(stored)
+            there = [] if last is None else [(0, last)]
+        if derived:
+            covered = self.ledger.covered() if covered is None else covered
+            for name in derived:
+                own = stretches(covered.get(name, []))
+                there = own if there is None else common(there, own)
+        return there
+
+    def coverage(self, key: str, covered: Covered | None = None) -> int | None:
+        """The last block for which all sources of a table are there, None if there is none."""
+        there = self.available(key, covered)
+        return there[-1][1] if there else None
+
     def block_range(
         self,
         key: str,
         start: int | None = None,
         end: int | None = None,
-        reached: Mapping[str, tuple[int, int]] | None = None,
-    ) -> tuple[int, int]:
-        """Where to resume and where to stop; either end can be given."""
+        covered: Covered | None = None,
+    ) -> Stretch:
+        """Where to resume and where to stop; either end can be given.
+
+        Without anything to do the end lies one before the start.
+        """
         spec = resolve(self.registry, key)
         if start is None:
-            reached = self.ledger.reached() if reached is None else reached
-            if spec.key in reached:
-                start = reached[spec.key][0] + 1
+            covered = self.ledger.covered() if covered is None else covered
+            own = stretches(covered.get(spec.key, []))
+            if own:
+                start = own[0][1] + 1
             else:
-                start = max_block(self._stored(spec), spec.kind == FACTS).first()[0]
+                start = last_block(self._stored(spec), spec.kind == FACTS).first()[0] or 0
         if end is None:
-            end = self.coverage(key, reached)
+            end = self.coverage(key, covered)
+            end = start - 1 if end is None else end
         return start, end
 
+    def _stale(self, spec: TableSpec, derived: list[str], covered: Covered) -> list[Stretch]:
+        """Stretches that were done before a derived source was last done there."""
+        old = []
+        for a, b, run in covered.get(spec.key, []):
+            for name in derived:
+                newer = [(c, d) for c, d, r in covered.get(name, []) if r > run]
+                old += common([(a, b)], newer)
+        return stretches([(a, b, 0) for a, b in old])
+
+    def _wanted(
+        self, spec: TableSpec, start: int | None, end: int | None, covered: Covered
+    ) -> list[Stretch]:
+        """The stretches a run has to build: what was asked for, as far as derived sources
+        have it, and what became stale where nothing was asked for."""
+        _, derived = self._sources(spec)
+        first, last = self.block_range(spec.key, start, end, covered)
+        asked = [(first, last)] if first <= last else []
+        if not derived:
+            return asked
+        there = self.available(spec.key, covered) if end is None else None
+        if there is None:  # an explicit end is not cut to stored sources
+            for name in derived:
+                own = stretches(covered.get(name, []))
+                there = own if there is None else common(there, own)
+        if start is not None:
+            every = common(asked, there)
+        else:
+            own = stretches(covered.get(spec.key, []))
+            stale = self._stale(spec, derived, covered)
+            every = [*without(there, own), *common(stale, there)]
+            every = stretches([(a, b, 0) for a, b in every])
+            every = every if end is None else common(every, [(0, end)])
+        if spec.kind != FACTS:
+            return every
+        # A bucket is built as a whole: one whose beginning is not there has to wait.
+        width, whole = spec.bucket_width, []
+        for a, b in every:
+            low = a - a % width
+            a = a if any(c <= low and a <= d for c, d in there) else low + width
+            whole += [(a, b)] if a <= b else []
+        return whole
+
     def _plan(
-        self, spec: TableSpec, start: int, end: int, step: int, reached: Mapping[str, tuple[int, int]]
-    ) -> list[tuple[int, int]]:
+        self, spec: TableSpec, start: int, end: int, step: int, covered: Covered
+    ) -> list[Stretch]:
         """Chunks of a range. Facts are replaced by whole buckets: the first chunk
         begins at a bucket, and the last one reaches as far as its bucket was
-        ever filled, so that nothing already stored is lost."""
+        ever filled, so that nothing already stored is lost. A bucket that ends
+        early is a chunk of its own, which a later run replaces as a whole."""
         if end < start:
             return []
         if spec.kind != FACTS:
             return chunks(start, end, step)
         width = spec.bucket_width
         step = max(width, -(-step // width) * width)
+        last_done = max((b for _, b, _ in covered.get(spec.key, [])), default=-1)
         bucket_end = end - end % width + width - 1
-        end = min(bucket_end, max(end, reached.get(spec.key, (0, 0))[1]))
-        return chunks(start - start % width, end, step)
+        end = min(bucket_end, max(end, last_done))
+        planned = chunks(start - start % width, end, step)
+        lower, upper = planned[-1]
+        cut = upper + 1 - (upper + 1) % width
+        if (upper + 1) % width and lower < cut:
+            planned[-1:] = [(lower, cut - 1), (cut, upper)]
+        return planned
 
     def _write(self, spec: TableSpec, lower: int, upper: int, run_id: int) -> int:
         window = spec.window(lower, upper, self.forks)
@@ -187,7 +281,7 @@ class Warehouse:
             rows=rows,
             seconds=time.monotonic() - began,
             note=spec.note(lower, upper, self.forks),
-            error=str(failure) if failure else None,
+            error=described(failure) if failure else None,
             attempt=attempt,
             run_id=run_id,
         )
@@ -204,17 +298,19 @@ class Warehouse:
     ) -> DataFrame:
         """Build a table over a range in chunks; a failed chunk stops it.
 
-        Returns the ledger rows of the run.
+        Where a table reads derived ones, the range is cut to what the ledger has of
+        them; without a given start, gaps and chunks that are older than those they
+        were built from are built too. Returns the ledger rows of the run.
         """
         spec = resolve(self.registry, key)
         run_id = time.time_ns() // 1000
-        reached = self.ledger.reached()
-        start, end = self.block_range(key, start, end, reached)
-        for lower, upper in self._plan(spec, start, end, step, reached):
-            failure = self._attempt(spec, lower, upper, run_id)
-            if failure:
-                raise failure
-            self._fold(spec)
+        covered = self.ledger.covered()
+        for first, last in self._wanted(spec, start, end, covered):
+            for lower, upper in self._plan(spec, first, last, step, covered):
+                failure = self._attempt(spec, lower, upper, run_id)
+                if failure:
+                    raise failure
+                self._fold(spec)
         return self.ledger.entries().where(
             (F.col("table") == spec.key) & (F.col("run_id") == run_id)
         )
@@ -229,7 +325,8 @@ class Warehouse:
         """Build several tables, inputs before dependants; returns the error per table.
 
         Unknown keys are rejected before anything runs. A failed table does not
-        stop the others; its dependants get as far as the ledger covers it.
+        stop the others; its dependants get as far as the ledger covers it, and are
+        completed by the next refresh behind a retry.
         """
         outcome: dict[str, Exception | None] = {}
         for spec in in_dependency_order(self.registry, self.registry if keys is None else keys):
@@ -246,6 +343,8 @@ class Warehouse:
 
         A chunk is tried up to three times in all while its error is transient
         (timeouts, lost connections); other errors are final after one more try.
+        The failed ranges, one row each, are read by the driver. Tables that read
+        a repaired chunk are rebuilt there by the next run without a given start.
         """
         wanted = {resolve(self.registry, key).key for key in keys} if keys is not None else None
         failed = [
@@ -253,13 +352,11 @@ class Warehouse:
             if wanted is None or row["table"] in wanted
         ]
         run_id = time.time_ns() // 1000
-        reached = self.ledger.reached()
+        covered = self.ledger.covered()
         for row in failed:
             spec = resolve(self.registry, row["table"])
             span = row["upper"] - row["lower"] + 1
-            for lower, upper in self._plan(
-                spec, row["lower"], row["upper"], span, reached
-            ):
+            for lower, upper in self._plan(spec, row["lower"], row["upper"], span, covered):
                 self._retry(spec, lower, upper, run_id, delay)
             self._fold(spec)
         return retry_summary(self.ledger.latest().where(F.col("run_id") == run_id))
@@ -275,17 +372,19 @@ class Warehouse:
     def range_report(self) -> DataFrame:
         return range_report(self.ledger.latest())
 
-    def run_report(self) -> DataFrame:
-        return run_report(self.ledger.latest())
+    def run_report(self, run_id: int | None = None) -> DataFrame:
+        """Totals of each run and table, or of one run."""
+        entries = self.ledger.latest_of_run()
+        return run_report(entries if run_id is None else entries.where(F.col("run_id") == run_id))
+
+    def table_report(self) -> DataFrame:
+        """Totals of each table over all runs; overlapping ranges count once."""
+        return run_report(standing(self.ledger.latest()).withColumn("run_id", F.lit(None).cast("long"))).drop("run_id")
 
     def exists(self, key: str) -> bool:
         return files.exists(self.spark, self.path(key))
 
 
-def is_transient(error: Exception) -> bool:
-    return re.search(TRANSIENT, str(error).lower()) is not None
-
-
 def retry_summary(retried: DataFrame) -> DataFrame:
     """Success rate per table of a retry, in percent."""
     good = F.count_if(F.col("status") == DONE)

@@ -12,7 +12,9 @@ from stateloom.plans import tables
 from stateloom.plans.registry import TABLES, custom_table, fork_note, in_dependency_order, resolve
 from stateloom.schemas import BLOCK_SLOTS_STAT
 from stateloom.sources.inputs import Inputs
-from stateloom.streaming.runner import Warehouse, chunks, is_transient
+from stateloom.sources.transient import is_transient
+from stateloom.streaming.ledger import common, settle, stretches, without
+from stateloom.streaming.runner import Warehouse, chunks
 
 
 def life(spark) -> Inputs:
@@ -103,13 +105,14 @@ def test_resume_without_a_ledger(spark, tmp_path):
 def test_coverage(spark, tmp_path, caplog):
     inputs = make(spark, transaction=[tx(9, 0)], balance_reads=[diff("0xa", 7)], nonce_reads=[diff("0xa", 8)])
     w = warehouse(spark, tmp_path, inputs, 10)
-    assert w.coverage("address_reads") == 0
-    assert w.block_range("address_reads") == (0, 0)
+    assert w.coverage("address_reads") is None
+    assert w.block_range("address_reads") == (0, -1)
+    assert w.run_incremental("address_reads").count() == 0
     missing = Inputs({n: df for n, df in inputs.tables.items() if n != "storage_reads"})
     w = warehouse(spark, tmp_path, missing, 10)
     assert w.coverage("address_reads") == 7
     assert "storage_reads" in caplog.text
-    assert warehouse(spark, tmp_path, Inputs({}), 10).coverage("address_reads") == 0
+    assert warehouse(spark, tmp_path, Inputs({}), 10).coverage("address_reads") is None
 
 
 def test_coverage_skips_a_source_that_breaks(spark, tmp_path, caplog):
@@ -163,9 +166,106 @@ def test_custom_table(spark, tmp_path):
     assert rows(w.run_report(), "table", "ranges", "failed", "blocks", "rows") == [("reads", 3, 0, 30, 29)]
 
 
+def test_reports_count_overlaps_once(spark, tmp_path):
+    w = warehouse(spark, tmp_path, life(spark), 10)
+    w.register(counted())
+    w.run_incremental("reads", 0, 14, 10)
+    w.run_incremental("reads", step=10)
+    assert rows(w.table_report(), "table", "blocks", "rows") == [("reads", 30, 29)]
+    assert sum(r["blocks"] for r in w.range_report().collect()) == 30
+    assert sorted(rows(w.run_report(), "blocks", "rows")) == [(15, 14), (20, 20)]
+    assert w.read("reads").count() == 29
+
+
+def failing(w, key, at):
+    """Let the plan of a table fail once for the chunk that begins at a block."""
+    spec, left = w.registry[key], [at]
+
+    def build(inputs, start, end, forks):
+        if start in left:
+            left.remove(start)
+            raise RuntimeError("broken")
+        return spec.build(inputs, start, end, forks)
+
+    w.registry[key] = replace(spec, build=build)
+
+
+LIFE = ["address_diffs", "pre_fork_destructs", "post_fork_destructs", "accounts_alive"]
+
+
+@pytest.mark.parametrize("at", [0, 10])
+@pytest.mark.parametrize("given", [(), (0, 29)])
+def test_a_failed_input_leaves_no_wrong_dependant(spark, tmp_path, at, given):
+    inputs = life(spark)
+    inputs = inputs.with_tables(
+        {"balance_diffs": inputs.table("balance_diffs").union(make(spark, balance_diffs=[diff("0xzero", 0)]).table("balance_diffs")),
+         "transaction": inputs.table("transaction").union(make(spark, transaction=[tx(0, 0), tx(0, 1)]).table("transaction"))}
+    )
+    w = warehouse(spark, tmp_path, inputs, 10)
+    failing(w, "address_diffs", at)
+    outcome = w.refresh(LIFE, *given, step=10)
+    assert outcome["address_diffs"] is not None
+    done = stretches(w.ledger.covered().get("accounts_alive", []))
+    assert done == ([(0, at - 1)] if at else [])
+    w.retry_failed_chunks(delay=0)
+    assert not any(w.refresh(LIFE, step=10).values())
+    assert rows(w.read("accounts_alive")) == rows(whole(inputs, "accounts_alive"))
+    assert "0xzero" in {r["address"] for r in w.read("accounts_alive").collect()}
+
+
+def test_a_rebuilt_input_makes_its_dependants_stale(spark, tmp_path):
+    w = warehouse(spark, tmp_path, life(spark), 10)
+    w.refresh(LIFE, step=10)
+    assert w.run_incremental("accounts_alive", step=10).count() == 0
+    w.run_incremental("address_diffs", 10, 19, 10)
+    again = w.run_incremental("accounts_alive", step=10)
+    assert rows(again, "lower", "upper") == [(10, 19)]
+
+
+def test_only_what_is_there_is_built(spark, tmp_path):
+    w = warehouse(spark, tmp_path, life(spark), 10)
+    for key in LIFE[:3]:
+        w.run_incremental(key, 10, 19, 10)
+    assert w.available("accounts_alive") == [(10, 19)]
+    w.run_incremental("accounts_alive", 0, 29, 10)
+    assert stretches(w.ledger.covered()["accounts_alive"]) == [(10, 19)]
+
+
+def test_a_failed_repetition_keeps_the_state(spark, tmp_path):
+    inputs = life(spark)
+    w = warehouse(spark, tmp_path, inputs, 30)
+    w.run_incremental("address_last_access", 0, 29, 30)
+    before = rows(w.read("address_last_access"))
+    spec = w.registry["address_last_access"]
+    broken = F.when(F.col("block_number") > 20, F.raise_error(F.lit("broken"))).otherwise(F.col("block_number")).cast("long")
+    w.registry["address_last_access"] = replace(spec, build=lambda *a: spec.build(*a).withColumn("block_number", broken))
+    with pytest.raises(Exception, match="broken"):
+        w.run_incremental("address_last_access", 0, 29, 30)
+    assert rows(w.read("address_last_access")) == before
+    assert w.ledger.covered()["address_last_access"] == []
+    w.registry["address_last_access"] = spec
+    w.retry_failed_chunks(delay=0)
+    assert rows(w.read("address_last_access")) == before
+
+
+def test_old_generations_are_removed(spark, tmp_path):
+    w = warehouse(spark, tmp_path, life(spark), 5, ranges_before_fold=1)
+    w.run_incremental("address_last_access", 0, 24, 5)
+    assert sorted(p.name for p in (tmp_path / "address_last_access").iterdir()) == ["generation=4", "generation=5"]
+    assert rows(w.read("address_last_access")) == rows(tables.address_last_access(w.inputs, 0, 24))
+
+
+def test_settled_stretches():
+    assert settle([(0, 9, True, 1), (5, 14, False, 2)]) == [(0, 4, 1)]
+    assert settle([(0, 29, True, 1), (10, 19, True, 2)]) == [(0, 9, 1), (10, 19, 2), (20, 29, 1)]
+    assert stretches([(0, 9, 1), (10, 19, 2), (30, 39, 1)]) == [(0, 19), (30, 39)]
+    assert common([(0, 9), (20, 29)], [(5, 24)]) == [(5, 9), (20, 24)]
+    assert without([(0, 29)], [(10, 19), (25, 40)]) == [(0, 9), (20, 24)]
+
+
 def test_failure_stops_the_table_and_retry_completes_it(spark, tmp_path):
     w = warehouse(spark, tmp_path, life(spark), 10)
-    w.register(counted(fails_at=[10], error="Connection reset"))
+    w.register(counted(fails_at=[10], error="java.net.SocketException: Connection reset"))
     with pytest.raises(RuntimeError):
         w.run_incremental("reads", step=10)
     assert rows(w.ledger.failed(transient_only=True), "lower", "upper") == [(10, 19)]
@@ -190,7 +290,7 @@ def test_a_later_run_makes_up_for_a_failure(spark, tmp_path):
 
 def test_transient_errors_get_three_tries_and_others_one(spark, tmp_path):
     w = warehouse(spark, tmp_path, life(spark), 10)
-    w.register(counted(fails_at=[0] * 5, error="read timeout"))
+    w.register(counted(fails_at=[0] * 5, error="java.net.SocketTimeoutException: Read timed out"))
     with pytest.raises(RuntimeError):
         w.run_incremental("reads", step=10)
     assert rows(w.retry_failed_chunks(["reads"], delay=0)) == [("reads", 1, 0, 1, 0.0, 3)]
@@ -199,7 +299,9 @@ def test_transient_errors_get_three_tries_and_others_one(spark, tmp_path):
     with pytest.raises(RuntimeError):
         w.run_incremental("reads", step=10)
     assert rows(w.retry_failed_chunks(["reads"], delay=0)) == [("reads", 1, 0, 1, 0.0, 1)]
-    assert is_transient(RuntimeError("POCO_exception")) and not is_transient(RuntimeError("x"))
+    assert is_transient(TimeoutError("x")) and not is_transient(RuntimeError("x"))
+    assert is_transient("org.apache.spark.shuffle.FetchFailedException: gone")
+    assert not is_transient("[TABLE_OR_VIEW_NOT_FOUND] no connection table")
 
 
 def test_one_failure_does_not_stop_the_rest(spark, tmp_path):

@@ -247,18 +247,30 @@ def test_newest_version_replaces_older_ones(spark):
         assert got == [("0xa", "s", ZERO), ("0xb", "s", "z")], name
 
 
-def test_life_code_refuses_what_does_not_fit(spark):
-    i = make(spark)
-    events = spark.createDataFrame([("0xa", 1, 1, 2**31)], "address string, block_number long, tx_count long, last_tx_index long")
-    i = i.with_tables(
+def test_life_beyond_the_narrow_code(spark):
+    """Indexes of 64 bits, missing ones and late blocks keep their order."""
+    far, late = 2**62, 2**32 + 5
+    i = make(spark).with_tables(
         {
-            "address_diffs": events,
-            "pre_fork_destructs": tables.pre_fork_destructs(i, forks=FORKS),
-            "post_fork_destructs": tables.post_fork_destructs(i, forks=FORKS),
+            "address_diffs": spark.createDataFrame(
+                [("0xa", 1, 1, 2**31), ("0xb", 1, 1, far), ("0xc", 1, 1, None), ("0xd", late, 1, 1), ("0xe", 9, 1, 1), ("0xf", 1, 1, far)],
+                "address string, block_number long, tx_count long, last_tx_index long",
+            ),
+            "pre_fork_destructs": spark.createDataFrame(
+                [("0xb", 1, "h", far - 1), ("0xc", 1, "h", 0), ("0xd", 7, "h", 1), ("0xe", 8, "h", far), ("0xf", 1, "h", far)],
+                "address string, block_number long, transaction_hash string, transaction_index long",
+            ),
+            "post_fork_destructs": tables.post_fork_destructs(make(spark), forks=FORKS),
         }
-    )
-    with pytest.raises(Exception, match="out of range"):
-        tables.accounts_alive(i).collect()
+    )
+    assert rows(tables.accounts_alive(i)) == [
+        ("0xa", 1, True),
+        ("0xb", 1, True),
+        ("0xc", 1, False),
+        ("0xd", late, True),
+        ("0xe", 9, True),
+        ("0xf", 1, False),
+    ]
 
 
 def test_life_code_at_its_limits(spark):
@@ -285,3 +297,28 @@ def test_life_code_at_its_limits(spark):
         ("0xb", 0, True),
         ("0xc", MAX_BLOCK, False),
     ]
+
+
+def test_moved_copies_count_once(spark):
+    """Tables whose key does not hold the block: only the newest copy says where a row is."""
+    i = make(
+        spark,
+        versions={"contracts": "v", "storage_reads": "v"},
+        transaction=[tx(5, 0), tx(6, 0)],
+        contracts=[
+            contract("0xa", 5) | {"transaction_hash": "0xt1", "v": 1},
+            contract("0xa", 6) | {"transaction_hash": "0xt1", "v": 2},
+        ],
+        storage_reads=[
+            read("0xb", "s", 5) | {"transaction_hash": "0xt1", "v": 1},
+            read("0xb", "s", 6) | {"transaction_hash": "0xt1", "v": 2},
+        ],
+    )
+    assert {r["block_number"] for r in ev_rows(i, "contracts", "contract_address")} == {6}
+    assert {r["block_number"] for r in ev_rows(i, "storage_reads", "contract_address")} == {6}
+
+
+def ev_rows(i, name, address):
+    from stateloom.plans.events import address_events
+
+    return address_events(i, name, None, None, address).collect()

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from stateloom.operators.blocks import BUCKET, fork_window
 from stateloom.operators.dedup import latest_per_key
 from stateloom.operators.layout import block_bucket_layout, hash_layout
-from stateloom.operators.sizes import fits_broadcast
 from stateloom.plans import tables
 from stateloom.plans.registry import TABLES
 from stateloom.sources.inputs import Inputs
@@ -98,13 +97,6 @@ def test_shuffle_joins_give_the_same(spark, stored, key):
     assert want
 
 
-def test_size_check_follows_the_threshold(spark, stored):
-    tx = stored.scan("transaction")
-    assert fits_broadcast(tx)
-    with no_broadcast(spark):
-        assert not fits_broadcast(tx)
-
-
 def test_the_semi_join_moves_below_the_merge_only_when_broadcast(spark, stored):
     small = plan(tables.slot_changes(stored))
     assert small.index("BroadcastHashJoin") > small.index("Exchange hashpartitioning(address")
@@ -238,17 +230,18 @@ def test_writes_are_rebalanced(stored, placed, column):
     assert re.search(rf"hashpartitioning\({column}#.*REBALANCE_PARTITIONS_BY_COL", text)
 
 
-def test_a_hot_transaction_is_split_in_shuffle_joins(spark, tmp_path):
+@pytest.mark.parametrize("versions", [None, {"transaction": "v"}])
+def test_a_hot_transaction_is_split_in_shuffle_joins(spark, versions):
     """Adaptive execution may cut the partition of a hot hash: no step behind the join needs it whole."""
     from micro import make
 
     n = 40_000
     hot = "concat('0xt', CASE WHEN id % 3 = 0 THEN 7 ELSE id % 500 END) AS transaction_hash"
-    i = make(spark).with_tables(
+    i = make(spark, versions=versions).with_tables(
         {
             "transaction": spark.range(500).selectExpr(
                 "concat('0xt', id) AS transaction_hash", "id AS transaction_index",
-                "0L AS block_number", "true AS success",
+                "0L AS block_number", "true AS success", "1L AS v",
             ),
             "balance_diffs": spark.range(n, numPartitions=8).selectExpr(
                 "concat('0x', id) AS address", "0L AS block_number", hot

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from micro import rows
@@ -143,6 +144,12 @@ def folder(spark, tmp_path):
     accounts = spark.range(30000).selectExpr("sha2(cast(id AS string), 256) AS address")
     file(accounts.where("id < 10"), "1")
     file(accounts.where("id BETWEEN 10 AND 29"), "2")
+    file(accounts.where("id BETWEEN 30 AND 32"), "with space")
+    file(accounts.where("id BETWEEN 33 AND 34"), "d#1")
+    file(accounts.where("id = 35"), "50%")
+    for n, sub in enumerate(("d=1", "d=2"), 36):
+        (path / sub).mkdir()
+        file(accounts.where(f"id = {n}"), f"{sub}/same")
     file(accounts.where("id < 0"), "3")
     (path / "4.parquet").write_bytes(b"this is no parquet file")
     pq.write_table(accounts.toArrow(), path / "5.parquet", row_group_size=10000)
@@ -155,28 +162,50 @@ def folder(spark, tmp_path):
 
 
 def test_report_lists_every_file(spark, folder):
-    report = bulk_load.load_report(spark, folder)
+    report = bulk_load.load_report(spark, folder, delay=0)
     assert rows(report, "file", "rows", "status") == [
         ("1.parquet", 10, "loaded"),
         ("2.parquet", 20, "loaded"),
         ("3.parquet", 0, "loaded"),
         ("4.parquet", 0, "failed"),
         ("5.parquet", 0, "failed"),
+        ("50%.parquet", 1, "loaded"),
+        ("d#1.parquet", 2, "loaded"),
+        ("same.parquet", 1, "loaded"),
+        ("same.parquet", 1, "loaded"),
+        ("with space.parquet", 3, "loaded"),
     ]
     assert all((r["error"] is None) == (r["status"] == "loaded") for r in report.collect())
-    assert rows(bulk_load.load_summary(report)) == [(5, 3, 2, 60.0, 30)]
+    assert rows(bulk_load.load_summary(report)) == [(10, 8, 2, 80.0, 38)]
+
+
+def test_a_large_empty_file_is_sound(spark, tmp_path):
+    schema = pa.schema([("address", pa.string())], metadata={"note": "x" * 3_500_000})
+    (tmp_path / "in").mkdir()
+    pq.write_table(schema.empty_table(), tmp_path / "in" / "empty.parquet")
+    report = bulk_load.load_report(spark, str(tmp_path / "in"), delay=0)
+    assert rows(report, "status", "rows", "error") == [("loaded", 0, None)]
+
+
+def test_a_partial_load_has_to_be_allowed(spark, folder, tmp_path):
+    with pytest.raises(bulk_load.PartialLoad, match="4.parquet") as failure:
+        bulk_load.load_parquet_folder(spark, folder, str(tmp_path / "out"), delay=0)
+    assert failure.value.report.where("status = 'failed'").count() == 2
+    assert not list((tmp_path / "out").glob("part-*"))
 
 
 def test_broken_files_contribute_nothing(spark, folder, tmp_path):
-    got = bulk_load.load_parquet_folder(spark, folder, str(tmp_path / "out"))
-    assert got.count() == 30
-    assert got.distinct().count() == 30
-    assert bulk_load.load_parquet_folder(spark, folder, str(tmp_path / "out")).count() == 60
+    got = bulk_load.load_parquet_folder(spark, folder, str(tmp_path / "out"), allow_partial=True, delay=0)
+    assert got.table.count() == 38
+    assert got.table.distinct().count() == 38
+    assert got.report.where("status = 'failed'").count() == 2
+    again = bulk_load.load_parquet_folder(spark, folder, str(tmp_path / "out"), allow_partial=True, delay=0)
+    assert again.table.count() == 76
 
 
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        bulk_load.load_parquet_folder(spark, str(tmp_path / "none"), str(tmp_path / "out"))
+        bulk_load.load_parquet_folder(spark, str(tmp_path / "none"), str(tmp_path / "out"), delay=0)
 
 
 def test_shared_dir_is_fresh_and_configured(spark):

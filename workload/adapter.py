@@ -11,7 +11,6 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stateloom.operators.sizes import estimated_bytes
 from stateloom.schemas import SOURCES, ZERO_WORD, Forks
 from stateloom.sources.inputs import Inputs
 
@@ -166,24 +165,12 @@ VIEWS: dict[str, View] = {
 VERSIONS = {"storage_diffs": "ver"}
 
 
-# Below this many bytes per core a table arrives in fewer row groups than cores.
-_SPREAD_BYTES = 4 * 1024 * 1024
-
-
-def _given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table; a tiny one, stored as one row group, is dealt out to all cores."""
-    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if estimated_bytes(rows) < cores * _SPREAD_BYTES:
-        return rows.repartition(cores, rows.columns[0])
-    return rows
-
-
 @lru_cache(maxsize=8)
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """The canonical inputs as lazy frames; only their plans are kept between queries."""
     given = {
-        table: _given(spark, sf_dir, table) for table in sorted({v.table for v in VIEWS.values()})
+        table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        for table in sorted({v.table for v in VIEWS.values()})
     }
 
     def derived(view: View) -> DataFrame:

@@ -205,8 +205,8 @@ _add("latest_per_key", "SELECT * FROM c_storage_diffs")
 _add("load_parquet_folder", "SELECT address FROM c_balance_diffs")
 _add(
     "load_report",
-    "SELECT cast(8 AS bigint) AS files, cast(8 AS bigint) AS loaded, cast(0 AS bigint) AS failed,"
-    " cast(100 AS double) AS success_rate, count(*) AS rows FROM c_balance_diffs",
+    "SELECT cast(11 AS bigint) AS files, cast(9 AS bigint) AS loaded, cast(2 AS bigint) AS failed,"
+    " cast(81.8 AS double) AS success_rate, count(*) AS rows FROM c_balance_diffs",
 )
 _add("write_block_facts", "SELECT * FROM address_diffs")
 _add("upsert_keyed_state", "SELECT * FROM address_last_access")
@@ -336,7 +336,8 @@ def _last_blocks(names) -> str:
 _add("max_block", _last_blocks(SOURCES))
 _add(
     "source_coverage",
-    f"SELECT min(max_block) AS coverage FROM ({_last_blocks([n for n, _ in _DIFFS] + ['transaction'])})",
+    f"SELECT min(max_block) AS coverage FROM"
+    f" ({_last_blocks([n for n, _ in _DIFFS if n != 'nonce_diffs'] + ['transaction'])})",
 )
 _add(
     "block_range",
@@ -369,21 +370,38 @@ _EARLY = (
     " THEN 'pre-EIP-161' ELSE '' END AS note,"
 )
 _add(
-    "run_report",
+    "range_report",
     _ledger(
         "address_reads", "address_reads", [n for n, _ in _READS] + ["transaction"], _BLOCKS + " '' AS note,"
     )
     + " UNION ALL BY NAME "
     + _ledger("pre_fork_destructs", "pre_fork_destructs", ["traces", "transaction"], _BLOCKS + _EARLY),
 )
+
+
+def _totals(table: str, sources) -> str:
+    bound = f"(SELECT min(max_block) FROM ({_last_blocks(sources)}))"
+    return (
+        f"SELECT '{table}' AS \"table\", cast(0 AS bigint) AS failed, {bound} + 1 AS blocks,"
+        f" (SELECT count(*) FROM {table} WHERE block_number <= {bound}) AS rows"
+    )
+
+
 _add(
-    "refresh_tables",
-    "SELECT address, max(block_number) AS block_number,"
-    " max_by(is_alive, row(block_number, transaction_index, NOT is_alive)) AS is_alive"
-    " FROM life_events WHERE "
-    + _BOUND.format(_last_blocks([n for n, _ in _DIFFS] + ["traces", "transaction"]))
-    + " GROUP BY address",
+    "run_report",
+    _totals("address_reads", [n for n, _ in _READS] + ["transaction"])
+    + " UNION ALL BY NAME "
+    + _totals("pre_fork_destructs", ["traces", "transaction"]),
 )
+for _name in ("refresh_tables", "refresh_pipeline", "refresh_after_failure"):
+    _add(
+        _name,
+        "SELECT address, max(block_number) AS block_number,"
+        " max_by(is_alive, row(block_number, transaction_index, NOT is_alive)) AS is_alive"
+        " FROM life_events WHERE "
+        + _BOUND.format(_last_blocks([n for n, _ in _DIFFS] + ["traces", "transaction"]))
+        + " GROUP BY address",
+    )
 _add(
     "retry_failed_chunks",
     _ledger(

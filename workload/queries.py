@@ -25,7 +25,7 @@ from stateloom.plans import events as ev
 from stateloom.plans import tables
 from stateloom.plans.registry import TABLES, TableSpec, custom_table
 from stateloom.schemas import MAX_BLOCK
-from stateloom.sources import bulk_load, sinks
+from stateloom.sources import bulk_load, files, sinks
 from stateloom.sources.files import shared_dir
 from stateloom.sources.inputs import Inputs, scan_block_range
 from stateloom.streaming.logs import extract_failed_units
@@ -92,15 +92,46 @@ def _accounts_folder(i: Inputs, files: int | None = None) -> str:
     return folder
 
 
+def _messy_folder(i: Inputs) -> str:
+    """The accounts in eight files whose names need care, and three that are no sound files.
+
+    One is valid and empty but large, one has no footer, and one is broken between
+    its footer and its first rows; the last two are copies, so nothing is missing without them.
+    """
+    spark, folder = _session(i), _accounts_folder(i, files=8)
+    to, names = f"{folder}-messy", ("a", "with space", "d#1", "50%", "x=1/same", "x=2/same", "sub/same", "ünï")
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    parts = [n for n in files.children(spark, folder) if n.endswith(".parquet")]
+    for part, name in zip(parts, names, strict=True):
+        fs.mkdirs(path(f"{to}/{name}").getParent())
+        fs.rename(path(f"{folder}/{part}"), path(f"{to}/{name}.parquet"))
+
+    def create(name: str, content: bytes) -> None:
+        stream = fs.create(path(f"{to}/{name}"))
+        stream.write(content)
+        stream.close()
+
+    sound = spark.read.format("binaryFile").load(f"{to}/a.parquet").first()["content"]
+    create("no-footer.parquet", bytes(sound[: len(sound) // 2]))
+    create("broken.parquet", bytes(sound[:4]) + b"\xff" * (len(sound) // 2) + bytes(sound[4 + len(sound) // 2 :]))
+    wide = StructType([StructField("address", StringType(), metadata={"note": "x" * 3_000_000})])
+    spark.createDataFrame([], wide).coalesce(1).write.parquet(f"{folder}-empty")
+    (empty,) = [n for n in files.children(spark, f"{folder}-empty") if n.endswith(".parquet")]
+    fs.rename(path(f"{folder}-empty/{empty}"), path(f"{to}/large empty.parquet"))
+    return to
+
+
 @query("load_parquet_folder")
 def _(i: Inputs) -> DataFrame:
-    folder = _accounts_folder(i)
-    return bulk_load.load_parquet_folder(_session(i), folder, f"{folder}-loaded")
+    folder = _messy_folder(i)
+    loaded = bulk_load.load_parquet_folder(_session(i), folder, f"{folder}-loaded", allow_partial=True, delay=0)
+    return loaded.table
 
 
 @query("load_report")
 def _(i: Inputs) -> DataFrame:
-    report = bulk_load.load_report(_session(i), _accounts_folder(i, files=8))
+    report = bulk_load.load_report(_session(i), _messy_folder(i), delay=0)
     return bulk_load.load_summary(report)
 
 
@@ -461,10 +492,14 @@ def _(i: Inputs) -> DataFrame:
 
 @query("source_coverage")
 def _(i: Inputs) -> DataFrame:
-    spec = TABLES["address_diffs"]
-    return union_all(*(i.max_block(name) for name in spec.coverage_inputs)).agg(
-        F.min("max_block").alias("coverage")
-    )
+    """Coverage by the warehouse, with one source that cannot be read and is left out."""
+    spark = _session(i)
+    folder = f"{shared_dir(spark)}/unreadable"
+    i.table("nonce_diffs").write.parquet(folder)
+    unreadable = spark.read.parquet(folder)
+    files.delete(spark, folder)
+    warehouse = _warehouse(i.with_tables({"nonce_diffs": unreadable}), _step(i))
+    return spark.createDataFrame([(warehouse.coverage("address_diffs"),)], "coverage bigint")
 
 
 @query("block_range")
@@ -486,6 +521,17 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("run_report")
+def _(i: Inputs) -> DataFrame:
+    """Totals of a table after a first run that ended within a bucket, and of the run that resumed it."""
+    step = _step(i)
+    warehouse = _warehouse(i, step)
+    for key in ("address_reads", "pre_fork_destructs"):
+        warehouse.run_incremental(key, 0, step + step // 2, step)
+        warehouse.run_incremental(key, step=step)
+    return warehouse.table_report().select("table", "failed", "blocks", "rows")
+
+
+@query("range_report")
 def _(i: Inputs) -> DataFrame:
     step = _step(i)
     warehouse = _warehouse(i, step)
@@ -508,6 +554,31 @@ def _(i: Inputs) -> DataFrame:
     return warehouse.read("accounts_alive")
 
 
+QUERIES["refresh_pipeline"] = QUERIES["refresh_tables"]
+
+
+@query("refresh_after_failure")
+def _(i: Inputs) -> DataFrame:
+    """An input fails once; behind a retry and another refresh its dependant is whole."""
+    step = _step(i)
+    warehouse = _warehouse(i, step)
+    spec, left = warehouse.registry["address_diffs"], [1]
+
+    def once(*args) -> DataFrame:
+        if left:
+            left.pop()
+            raise TimeoutError("no answer")
+        return spec.build(*args)
+
+    warehouse.registry["address_diffs"] = replace(spec, build=once)
+    keys = ["accounts_alive", "address_diffs", "pre_fork_destructs", "post_fork_destructs"]
+    warehouse.refresh(keys, step=step)
+    warehouse.retry_failed_chunks(delay=0)
+    for error in filter(None, warehouse.refresh(keys, step=step).values()):
+        raise error
+    return warehouse.read("accounts_alive")
+
+
 READS_PER_BLOCK = StructType(
     [
         StructField("block_number", LongType()),
