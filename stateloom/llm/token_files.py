@@ -12,9 +12,9 @@ A set of files is a folder with three Parquet tables: ``codebook`` (id, bits),
 ``shards`` (shard, start, ids: where each shard begins in the whole) and ``blocks``
 (shard, block, start within the shard, doc_ids, lengths, checkpoints, payload).
 
-Equal words are encoded once for a run of texts, each as a text of its own by the
-tokenizers library; texts where that could differ from encoding the whole (special
-strings, text not in normal form C, a capital sigma) go to the library whole. A null
+Equal words are encoded once for a run of texts by the tokenizers library; texts where
+that could differ from encoding the whole (special strings, text not in normal form C,
+a capital sigma) go to the library whole. A null
 or empty text is its end id alone. Rows that repeat an id are kept, beside each
 other; rows of a null id come first.
 """
@@ -24,6 +24,8 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,66 +42,113 @@ END_ID = 1
 MAX_BITS = 20
 STEP = 256
 BLOCK_IDS = 1 << 16
-#: Different words whose ids a worker keeps.
-KEPT_WORDS = 200_000
+#: Different words whose ids a worker keeps, about.
+KEPT_WORDS = 250_000
 #: The tokenizer's own pattern of words (a fixed value of its file).
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_SPECIAL = regex.compile(r"<\|(?:start|end)oftext\|>")
+#: Texts with one of these go to the library whole: special strings, a letter whose lower
+#: case depends on its neighbours, and separators that only Python counts as white space.
+_WHOLE = ("<|startoftext|>", "<|endoftext|>", "Σ", "\x1c", "\x1d", "\x1e", "\x1f")
+
+
+#: The printable letter that stands for each byte in the model (byte-level BPE's own order).
+_SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker."""
+    return WordEncoder(path)
+
+
+class _Places(dict):
+    """The place of each word; a word not met before gets the next one and is noted."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place
 
 
 class WordEncoder:
-    """Ids of whole texts, by a memory of the ids of their words."""
+    """Ids of whole texts, by a memory of the ids of their words.
+
+    White space always parts pre-tokens and is no part of one, so a word between
+    white space has the same ids in any text.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self._forget()
 
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = [np.zeros(0, np.uint16)]
-        self.lengths: list[int] = []
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > KEPT_WORDS:
-            self._forget()
-        for word, got in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.place[word] = len(self.lengths)
-            self.lengths.append(len(got.ids))
-            self.ids.append(np.array(got.ids, np.uint16))
-        self.flat = np.concatenate(self.ids)
-        self.ids = [self.flat]
-        lengths = np.array(self.lengths, np.int64)
-        self.starts, self.sizes = np.cumsum(lengths) - lengths, lengths
+    def _forget(self, keep: int = 0) -> None:
+        """Keep the words met most often."""
+        old = list(self.place) if keep else []
+        kept = np.argsort(-self.uses, kind="stable")[:keep] if keep else np.zeros(0, np.int64)
+        self.place = _Places()
+        for i in kept.tolist():
+            self.place[old[i]] = len(self.place)
+        if keep:
+            n = self.sizes[kept]
+            ends = np.cumsum(n)
+            self.flat = self.flat[np.repeat(self.starts[kept] - ends + n, n) + np.arange(int(n.sum()))]
+            self.sizes, self.uses = n, self.uses[kept]
+        else:
+            self.flat, self.sizes, self.uses = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, word: str) -> list[int]:
+        """Ids of a word by the library's model, which takes pre-tokens in its byte letters."""
+        out: list[int] = []
+        for part in (word,) if word.isalpha() else _WORDS.findall(word):
+            if not (part.isascii() and part.isprintable()):
+                part = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            out += [token.id for token in self.model.tokenize(part)]
+        return out
+
+    def _learn(self) -> None:
+        """Ids of the words noted."""
+        new = [self._ids(word) for word in self.place.new]
+        self.place.new = []
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(new), np.uint16, int(sizes.sum()))))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(self.place) > KEPT_WORDS:
+            self._forget(KEPT_WORDS // 2)
         words: list[str] = []
         counts, whole = [], {}
         for i, raw in enumerate(texts):
             text = raw.decode()
-            if "Σ" in text or not (text.isascii() or unicodedata.is_normalized("NFC", text)) or _SPECIAL.search(text):
+            if any(s in text for s in _WHOLE) or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
                 counts.append(0)
             else:
-                found = _WORDS.findall(text.lower())
-                counts.append(len(found))
-                words += found
-        out: list[np.ndarray] = []
-        if words:
-            new = list(set(words).difference(self.place))
-            if new:
-                before = len(self.place) + len(new) > KEPT_WORDS
-                self._learn(list(set(words)) if before else new)
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            n = self.sizes[at]
-            ends = np.cumsum(n)
-            flat = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]))]
-            bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-        else:
-            flat, bounds = np.zeros(0, np.uint16), np.zeros(len(texts) + 1, np.int64)
-        for i in range(len(texts)):
-            own = whole[i] if i in whole else flat[bounds[i] : bounds[i + 1]]
-            out.append(np.append(own, np.uint16(END_ID)))
-        return out
+                own = text.lower().split()
+                counts.append(len(own))
+                words += own
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self._learn()
+        met = np.bincount(at, minlength=len(self.sizes))
+        met[: len(self.uses)] += self.uses
+        self.uses = met
+        n = self.sizes[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(total)]
+        # An end id behind each text, in one array that the texts' ids are slices of.
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))] + np.arange(len(texts) + 1)
+        out = np.full(total + len(texts), END_ID, np.uint16)
+        inner = np.ones(len(out), bool)
+        inner[bounds[1:] - 1] = False
+        out[inner] = flat
+        return [np.append(whole[i], np.uint16(END_ID)) if i in whole else out[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
 
 
 def code_lengths(counts: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
@@ -183,9 +232,8 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n and ids (two bytes each) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
         for batch, texts in pieces(batches):
-            ids = encoder.encode(texts)
+            ids = encoder(path).encode(texts)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id").cast(pa.int64()),
@@ -200,11 +248,8 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
 def _counts(encoded: DataFrame, vocabulary: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(ids, "<u2"), minlength=vocabulary) if len(ids) > 20_000 else 0
-            short = b"".join(i for i in batch.column("ids").to_pylist() if len(i) <= 20_000)
-            total += np.bincount(np.frombuffer(short, "<u2"), minlength=vocabulary)
+        for _, ids in pieces(batches, "ids"):
+            total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.record_batch({"id": used, "n": total[used]})
 
@@ -250,8 +295,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
                 }
             )
 
-        for batch in batches:
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+        for batch, every in pieces(batches, "ids"):
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), every):
                 doc_ids.append(doc_id)
                 ids.append(own)
                 held += len(own) // 2

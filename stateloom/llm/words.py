@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once. A longer text is handled alone, and whole.
 PIECE_BYTES = 2 << 20
@@ -127,13 +128,13 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 def pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with their texts, of ``PIECE_BYTES`` or of one longer text."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = column_bytes(batch.column(batch.schema.get_field_index(text)))
+        column = batch.column(batch.schema.get_field_index(text))
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         begin = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > PIECE_BYTES:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i, n in enumerate(sizes.tolist()):
+            if size and size + n > PIECE_BYTES:
+                yield batch.slice(begin, i - begin), column_bytes(column.slice(begin, i - begin))
                 begin, size = i, 0
-            size += len(t) + 1
-        yield batch.slice(begin), texts[begin:]
+            size += n + 1
+        if batch.num_rows:
+            yield batch.slice(begin), column_bytes(column.slice(begin))
