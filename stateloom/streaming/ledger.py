@@ -35,6 +35,9 @@ def settle(attempts: list[tuple[int, int, bool, int]]) -> list[Interval]:
     """
     held: list[Interval] = []
     for lower, upper, done, run in attempts:
+        if not held or lower > held[-1][1]:  # the usual case: behind all others
+            held += [(lower, upper, run)] if done else []
+            continue
         rest = []
         for a, b, r in held:
             if b < lower or a > upper:
@@ -76,19 +79,46 @@ def without(left: list[tuple[int, int]], right: list[tuple[int, int]]) -> list[t
 
 
 class Ledger:
+    """Rows as they were recorded, one file each, behind a compacted base.
+
+    ``base=N`` holds all rows up to a compaction and counts once Spark's commit
+    marker is there; ``since=N`` holds what came behind it.
+    """
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _base(self) -> int:
+        """The newest complete base, 0 before the first compaction."""
+        names = [n for n in files.children(self.spark, self.path) if n.startswith("base=")]
+        done = [n for n in names if files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        return max((int(n.split("=")[1]) for n in done), default=0)
+
     def record(self, **entry) -> None:
         row = self.spark.range(1, numPartitions=1).select(
             *(F.lit(entry[name]).cast(kind).alias(name) for name, kind in COLUMNS.items())
         )
-        row.write.mode("append").parquet(self.path)
+        row.write.mode("append").parquet(f"{self.path}/since={self._base()}")
 
     def entries(self) -> DataFrame:
-        if not files.exists(self.spark, self.path):
+        base = self._base()
+        paths = [f"{self.path}/{part}={base}" for part in ("base", "since")]
+        paths = [p for p in paths if files.exists(self.spark, p)]
+        if not paths:
             return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        return self.spark.read.schema(SCHEMA).parquet(*paths)
+
+    def compact(self, files_at_least: int = 1) -> None:
+        """Put all rows into one file if so many were recorded since the last time."""
+        base = self._base()
+        recorded = [
+            n for n in files.children(self.spark, f"{self.path}/since={base}") if n.startswith("part-")
+        ]
+        if len(recorded) < files_at_least:
+            return
+        self.entries().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/base={base + 1}")
+        for part in ("base", "since"):
+            files.delete(self.spark, f"{self.path}/{part}={base}")
 
     def latest(self) -> DataFrame:
         """The last attempt at every range."""

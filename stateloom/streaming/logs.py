@@ -11,16 +11,17 @@ FAILED_QUERY = r"(?sm)\(query:\s*(.+?)\)\s*$"
 FILE_NAME = r"/(\d+\.parquet)"
 
 
-def extract_failed_units(spark: SparkSession, folder: str) -> DataFrame:
+def extract_failed_units(spark: SparkSession, folder: str, newline: str = "\n") -> DataFrame:
     """The failed queries of all logs in a folder, with the file each one read.
 
     Entries are separated by lines that are exactly ``--``; such a line never
     occurs inside SQL text, unlike the comment marker. The separator is given to
     the reader as its record delimiter, so a large log is split over many tasks
-    and never held as one value. The split by pattern then only has to deal with
-    the first and last line of a file and with other line endings.
+    and never held as one value; give ``newline="\\r\\n"`` for logs with such line
+    endings. The split by pattern then only has to deal with the first and last line
+    of a file, and with files that use other line endings than the rest.
     """
-    records = spark.read.text(folder, lineSep="\n--\n").select(
+    records = spark.read.text(folder, lineSep=f"{newline}--{newline}").select(
         F.col("_metadata.file_name").alias("log"), "value"
     )
     entries = records.select(

@@ -38,6 +38,7 @@ log = logging.getLogger(__name__)
 
 MAX_ATTEMPTS = 3
 RANGES_BEFORE_FOLD = 64
+ROWS_BEFORE_COMPACTION = 200
 
 
 Covered = Mapping[str, list[Interval]]
@@ -304,6 +305,7 @@ class Warehouse:
         """
         spec = resolve(self.registry, key)
         run_id = time.time_ns() // 1000
+        self.ledger.compact(ROWS_BEFORE_COMPACTION)
         covered = self.ledger.covered()
         for first, last in self._wanted(spec, start, end, covered):
             for lower, upper in self._plan(spec, first, last, step, covered):

@@ -341,3 +341,18 @@ def test_fork_notes():
     assert fork_note(0, 49, FORKS) == "pre-EIP-6780"
     assert fork_note(50, 60, FORKS) == "post-EIP-6780"
     assert fork_note(0, 50, FORKS) == "spans EIP-6780"
+
+
+def test_the_ledger_is_compacted(spark, tmp_path):
+    w = warehouse(spark, tmp_path, life(spark), 10)
+    w.register(counted())
+    w.run_incremental("reads", 0, 19, 10)
+    before = rows(w.ledger.entries())
+    w.ledger.compact(3)
+    assert not (tmp_path / "ledger" / "base=1").exists()
+    w.ledger.compact(2)
+    assert sorted(p.name for p in (tmp_path / "ledger").iterdir()) == ["base=1"]
+    assert rows(w.ledger.entries()) == before
+    w.run_incremental("reads", step=10)
+    assert stretches(w.ledger.covered()["reads"]) == [(0, 29)]
+    assert len(list((tmp_path / "ledger" / "base=1").glob("part-*"))) == 1

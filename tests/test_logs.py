@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from micro import rows
 
 from stateloom.streaming.logs import extract_failed_units
@@ -27,14 +28,15 @@ def test_entries_between_separator_lines(spark, tmp_path):
     ]
 
 
-def test_a_large_log_is_read_in_splits(spark, tmp_path):
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_a_large_log_is_read_in_splits(spark, tmp_path, newline):
     entry = "failed {n}\n(query: SELECT * FROM file('/d/{n}.parquet') -- {pad})\n--\n"
-    with open(tmp_path / "big.log", "w") as log:
+    with open(tmp_path / "big.log", "w", newline=newline) as log:
         for n in range(3000):
             log.write(entry.format(n=n, pad="x" * 200))
     spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
     try:
-        got = extract_failed_units(spark, str(tmp_path))
+        got = extract_failed_units(spark, str(tmp_path), newline)
         assert got.rdd.getNumPartitions() > 3
         assert got.count() == 3000
         assert got.select("file_name").distinct().count() == 3000
