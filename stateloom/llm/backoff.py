@@ -1,295 +1,211 @@
-"""Language-model scores by a weighted backoff automaton.
-
-The counts of all words of the training documents are exact and stay distributed.
-N-grams of up to ``ORDER`` words that make up at least ``SHARE`` of the training tokens
-become states of an automaton, which is thus of at most 1 / SHARE states an order, at
-any size of the corpus, and is sent to all tasks. From a state there is an arc for
-each kept n-gram that goes on from it, weighing what absolute discounting leaves of
-its count, and a failure arc to the state of one word less, weighing what the kept
-arcs leave over. The root knows every word: by its smoothed share of all tokens.
-
-A text is traversed once from left to right: each token follows failure arcs from the
-carried state until an arc for it exists, and adds up their log weights. Since a state
-is the longest kept suffix, the states of all tokens of a run of texts are found
-order by order in arrays. Words too rare for the automaton end at the root; their
-counts come by a join of the texts' rare words with the distributed counts.
+"""Language-model scores by interpolated n-grams of up to three words.
+
+Every n-gram of the training documents counts, also those seen once, and the counts
+and weights of all orders stay in distributed tables: no task and not the driver holds
+a part of the model that grows with the corpus. The weight of a word after two others
+is what absolute discounting leaves of its count, and beyond that what the two words
+leave over times the weight after one word; that is made in the same way from its share
+of all tokens. Words never seen before a word leave everything over.
+
+The tables hold the n-grams of all documents, those of held-out ones with the training
+count 0, so that each token finds its weight by one join. A word has its count and the
+number of different words after it; a pair and a triple have their counts, summed in
+each task before they are shuffled. Before a text stand two starts, which are never
+counted: what follows them fails to the shorter n-gram.
 
 A text is its words, split at ASCII white space and without upper case, and one end.
 A null or empty text is an end alone. Rows are scored one by one, by a number given
-when the pass over the texts is stored. Without training documents N and V are 0 and
-every token has the share 1.
+in the pass over the texts. Without training documents N and V are 0 and every token
+has the share 1.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stateloom.llm.labelled import crc_mod
 from stateloom.llm.storage import stored
-from stateloom.llm.words import Words, pieces
+from stateloom.llm.words import Words, ngram_hashes, pieces
 from stateloom.sources.files import shared_dir
 
-ORDER = 3
-#: Least share of all training tokens of an n-gram in the automaton.
-SHARE = 1e-6
-#: Least share of the words that n-grams of two words and more are made of.
-LINKED = 1e-5
 DISCOUNT = 0.75
 ADDED = 0.1
 #: Different n-grams that a task holds before it passes them on.
 HELD = 1_500_000
+START = np.uint64(0x5354415254)  # the hash of a start
 END = np.uint64(0x454E44)  # the hash of the end token
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens with the ends, the text of each, and where each text ends."""
+    """Hashes of all tokens with two starts and the end, the text of each, and where each text begins."""
     words = Words(texts)
-    ends = np.cumsum(words.counts + 1)
-    h = np.full(int(ends[-1]) if len(ends) else 0, END)
+    sizes = words.counts + 3
+    ends = np.cumsum(sizes)
+    h = np.full(int(ends[-1]) if len(ends) else 0, START)
     inner = np.ones(len(h), bool)
+    for k in range(2):
+        inner[ends - sizes + k] = False
     inner[ends - 1] = False
+    h[ends - 1] = END
     h[inner] = words.hashes()
-    return h, np.repeat(np.arange(len(texts)), words.counts + 1), ends
+    return h, np.repeat(np.arange(len(texts)), sizes), ends - sizes
+
+
+class _Grams:
+    """The pair that ends at each token and the one before it, for all tokens of some texts."""
+
+    def __init__(self, texts: list[bytes]):
+        h, owner, begins = tokens(texts)
+        pair = ngram_hashes(h, 2)
+        place = np.arange(len(h)) - begins[owner]
+        at = np.flatnonzero(place >= 2)
+        self.owner, self.place = owner[at], place[at] - 2
+        self.word, self.before = h[at], h[at - 1]
+        self.pair = pair[at - 1]
+        # Two starts go before all texts: the first word is a context of its own, so that no task has all of them.
+        self.context = np.where(self.place == 0, self.pair, pair[at - 2])
 
 
 class _Combiner:
     """Sums of the counts of a task, passed on whenever they are many."""
 
-    def __init__(self) -> None:
-        self.keys, self.counts, self.size = [], [], 0
+    def __init__(self, names: tuple[str, ...]) -> None:
+        self.names, self.parts, self.size = names, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        one, n = np.unique(keys, return_counts=True)
-        self.keys.append(one)
-        self.counts.append(n)
-        self.size += len(one)
+    def add(self, columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = self._sum(columns, n)
+        self.parts.append(part)
+        self.size += len(part[-1])
         if self.size > HELD:
             self._merge()
             if self.size > HELD // 2:
                 yield from self.rest()
 
+    @staticmethod
+    def _sum(columns: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
+        order = np.lexsort(columns[:2][::-1])  # the first two name the n-gram
+        columns = [c[order] for c in columns]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns[:2]], axis=0)
+        first = np.flatnonzero(new)
+        return [*(c[first] for c in columns), np.add.reduceat(n[order], first) if len(first) else n[:0]]
+
     def _merge(self) -> None:
-        one, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        self.keys, self.counts, self.size = [one], [np.bincount(at, np.concatenate(self.counts)).astype(np.int64)], len(one)
+        *columns, n = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts = [self._sum(columns, n)]
+        self.size = len(self.parts[0][-1])
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.keys:
+        if self.parts:
             self._merge()
-            yield pa.record_batch({"key": self.keys[0].view(np.int64), "n": self.counts[0]})
-            self.keys, self.counts, self.size = [], [], 0
+            *columns, n = self.parts[0]
+            yield pa.record_batch({**{k: c.view(np.int64) for k, c in zip(self.names, columns)}, "n": n})
+            self.parts, self.size = [], 0
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted value among the sorted keys, -1 where there is none."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+def _counted(docs: DataFrame, names: tuple[str, ...], least_place: int) -> DataFrame:
+    """Counts in each task of the n-grams that _Grams has under these names.
 
-
-@dataclass
-class Automaton:
-    """States of each order: their keys, the log weight of the arc into each, and of the failure arc out of each.
-
-    The key of a state of one word is the word's hash; that of a longer one pairs the
-    state of its first words and the place of its last word among the words.
+    Those of held-out documents count 0, and so do those that reach back to a start.
     """
 
-    tokens: int
-    kinds: int
-    words: np.ndarray
-    word_counts: np.ndarray
-    linked: np.ndarray  # whether a word may be part of longer states
-    keys: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    arcs: list[np.ndarray] = field(default_factory=list)
-    failures: list[np.ndarray] = field(default_factory=list)
-
-    def share(self, counts: np.ndarray) -> np.ndarray:
-        """Smoothed share of all tokens of words with these counts."""
-        return (counts + ADDED) / (self.tokens + ADDED * (self.kinds + 1))
-
-    def key(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return (state.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
-
-    def states(self, h: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-        """For each order, the state that each token ends, -1 where it is not kept."""
-        word = _find(self.words, h)
-        out = [word]
-        part = np.where(self.linked[word], word, -1) if len(self.words) else word
-        last = part
-        for keys in self.keys:
-            state = np.full(len(h), -1)
-            both = np.flatnonzero((last[:-1] >= 0) & (part[1:] >= 0) & (owner[1:] == owner[:-1]))
-            state[both + 1] = _find(keys, self.key(last[both], part[both + 1]))
-            out.append(state)
-            last = state
-        return out
-
-    def extend(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Add the kept n-grams of the next order, sorted by key."""
-        before = self.counts[-1] if self.counts else self.word_counts
-        state = (keys >> np.uint64(32)).astype(np.int64)
-        arcs = np.bincount(state, minlength=len(before))
-        mass = np.bincount(state, counts, len(before))
-        left = (before - mass + DISCOUNT * arcs) / np.maximum(before, 1)
-        self.failures.append(np.log10(np.where(arcs > 0, np.maximum(left, 1e-12), 1.0)))
-        self.arcs.append((counts - DISCOUNT) / before[state])
-        self.keys.append(keys)
-        self.counts.append(counts)
-
-    def finish(self) -> None:
-        """Interpolate every arc with that of the state reached by failing, from short to long."""
-        suffix = np.arange(len(self.words))  # of each state, the state without its first word; of a word, its place
-        below = self.share(self.word_counts.astype(float))
-        for order, keys in enumerate(self.keys):
-            state, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            # The suffix of a kept n-gram is kept: only such are counted.
-            suffix = word if order == 0 else _find(self.keys[order - 1], self.key(suffix[state], word))
-            self.arcs[order] = self.arcs[order] + 10 ** self.failures[order][state] * below[suffix]
-            below = self.arcs[order]
-        self.arcs = [np.log10(a) for a in self.arcs]
-
-    def traverse(self, h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log weights of all tokens, without that of the root for words it does not hold, and which these are."""
-        states = self.states(h, owner)
-        word = states[0]
-        known = word >= 0
-        total = np.zeros(len(h))
-        if len(self.words):
-            total[known] = np.log10(self.share(self.word_counts[word[known]].astype(float)))
-        done = np.zeros(len(h), bool)
-        failed = np.zeros(len(h))
-        same = np.concatenate(([False], owner[1:] == owner[:-1]))
-        for order in range(len(self.keys) - 1, -1, -1):
-            carried = np.concatenate(([-1], states[order][:-1]))
-            at = (carried >= 0) & same & ~done
-            hit = at & (states[order + 1] >= 0)
-            total[hit] = failed[hit] + self.arcs[order][states[order + 1][hit]]
-            done |= hit
-            miss = at & ~hit
-            failed[miss] += self.failures[order][carried[miss]]
-        total[~done] += failed[~done]
-        return total, ~known
-
-
-def train(docs: DataFrame, held: Column, folder: str, order: int = ORDER) -> tuple[Automaton, DataFrame]:
-    """The automaton of the documents that are not held out, and the counts of all their tokens."""
-    spark = docs.sparkSession
-    training = docs.where(~held).select("text")
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Combiner()
-        for _, texts in pieces(batches):
-            yield from seen.add(tokens(texts)[0])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Combiner(names)
+        for batch, texts in pieces(batches):
+            grams = _Grams(texts)
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            n = (~held[grams.owner] & (grams.place >= least_place)).astype(np.int64)
+            yield from seen.add([getattr(grams, k) for k in names], n)
         yield from seen.rest()
 
-    counts = training.mapInArrow(count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counts = stored(counts, folder, "counts")
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-
-    def kept(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and counts of what makes up its share: at most 1 / SHARE rows."""
-        rows = df.where(F.col("n") >= max(1.0, SHARE * total)).toArrow()
-        keys = rows.column("key").to_numpy().astype(np.int64).view(np.uint64)
-        order_ = np.argsort(keys)
-        return keys[order_], rows.column("n").to_numpy()[order_]
-
-    words, word_counts = kept(counts)
-    automaton = Automaton(total, kinds, words, word_counts, word_counts >= LINKED * total)
-    for _ in range(1, order):
-        sent = spark.sparkContext.broadcast(automaton)
-
-        def count_longer(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            seen, model = _Combiner(), sent.value
-            for _, texts in pieces(batches):
-                h, owner, _ = tokens(texts)
-                states = model.states(h, owner)
-                last, word = states[-1], states[0]
-                part = np.where(model.linked[word], word, -1) if len(model.words) else word
-                if len(states) == 1:
-                    last = part
-                both = np.flatnonzero((last[:-1] >= 0) & (part[1:] >= 0) & (owner[1:] == owner[:-1]))
-                if len(states) > 1:  # what goes on must itself be kept
-                    both = both[states[-1][both + 1] >= 0]
-                if len(both):
-                    yield from seen.add(model.key(last[both], part[both + 1]))
-            yield from seen.rest()
-
-        automaton.extend(*kept(training.mapInArrow(count_longer, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))))
-    automaton.finish()
-    return automaton, counts
+    return docs.select("text", "held_out").mapInArrow(count, ", ".join(f"{k} long" for k in (*names, "n")))
+
+
+def _interpolated(n: str, context: str, after: str, shorter: str) -> Column:
+    """The weight of an n-gram seen n times after a context seen so often and before so many different words."""
+    left = (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(after) * F.col(shorter)) / F.col(context)
+    return F.when(F.col(context) > 0, left).otherwise(F.col(shorter))
+
+
+def weights(docs: DataFrame, folder: str) -> tuple[DataFrame, int]:
+    """Of every token's (context, pair): the weight, and the share and the count of its word; and all training tokens.
+
+    ``docs`` has text and held_out, which is not null.
+    """
+    words = _counted(docs, ("word",), 0).groupBy("word").agg(F.sum("n").alias("n"))
+    words = stored(words, folder, "words")
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    # The end goes on to nothing, so a pair's count is that of the triples it begins.
+    pairs = (
+        _counted(docs, ("before", "word", "pair"), 1)
+        .groupBy("before", "word")
+        .agg(F.first("pair").alias("pair"), F.sum("n").alias("n2"))
+    )
+    pairs = stored(pairs, folder, "pairs")
+    after = pairs.where("n2 > 0").groupBy("before").agg(F.sum("n2").alias("c1"), F.count("*").alias("after1"))
+    share = (F.col("n") + ADDED) / (total + ADDED * (kinds + 1))
+    pairs = (
+        pairs.join(words.select("word", "n", share.alias("share")), "word")
+        .join(after, "before", "left")
+        .select("pair", "n", "share", _interpolated("n2", "c1", "after1", "share").alias("shorter"))
+    )
+    # A context's rows are its different words from each task, not its occurrences.
+    own = Window.partitionBy("context")
+    triples = (
+        _counted(docs, ("context", "pair"), 2)
+        .repartition("context")
+        .groupBy("context", "pair")
+        .agg(F.sum("n").alias("n3"))
+        .withColumn("c2", F.sum("n3").over(own))
+        .withColumn("after2", F.sum((F.col("n3") > 0).cast("long")).over(own))
+    )
+    weight = _interpolated("n3", "c2", "after2", "shorter").alias("weight")
+    return triples.join(pairs, "pair").select("context", "pair", weight, "share", "n"), total
 
 
 def scored(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    spark = docs.sparkSession
-    folder = shared_dir(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"))
-    automaton, counts = train(docs, F.col("held_out"), folder)
-    sent = spark.sparkContext.broadcast(automaton)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+    folder = shared_dir(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held, F.lit(False)).alias("held_out"))
+    model, total = weights(docs, folder)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What names the weight of each token, once in each text, with how often it stands there."""
         for batch, texts in pieces(batches):
-            h, owner, ends = tokens(texts)
-            weight, rare = model.traverse(h, owner)
-            base = np.zeros(len(h))
-            at = _find(model.words, h[~rare])
-            base[~rare] = np.log10(model.share(model.word_counts[at].astype(float)))
-            n = len(texts)
-            lost = np.flatnonzero(rare)
-            # Rare words of a text, each once, with how often it stands there.
-            order = np.lexsort((h[lost], owner[lost]))
-            key, whose = h[lost][order], owner[lost][order]
-            first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (whose[1:] != whose[:-1])))) if len(key) else np.zeros(0, np.int64)
-            times = np.diff(np.append(first, len(key)))
-            bounds = np.concatenate(([0], np.cumsum(np.bincount(whose[first], minlength=n)))).astype(np.int32)
+            grams = _Grams(texts)
+            order = np.lexsort((grams.pair, grams.context, grams.owner))
+            whose, context, pair = grams.owner[order], grams.context[order], grams.pair[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (whose[1:] != whose[:-1]) | (context[1:] != context[:-1]) | (pair[1:] != pair[:-1])
+            first = np.flatnonzero(new)
+            rows = pa.array(whose[first])
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column("doc_id"),
-                    "held_out": batch.column("held_out"),
-                    "n_tokens": np.diff(np.concatenate(([0], ends))),
-                    "common": np.bincount(owner, ~rare, n).astype(np.int64),
-                    "base": np.bincount(owner, base, n),
-                    "weight": np.bincount(owner, weight, n),
-                    "words": pa.ListArray.from_arrays(bounds, pa.array(key[first].view(np.int64))),
-                    "times": pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
+                    **{k: batch.column(k).take(rows) for k in ("row", "doc_id", "held_out")},
+                    "context": context[first].view(np.int64),
+                    "pair": pair[first].view(np.int64),
+                    "times": np.diff(np.append(first, len(order))).astype(np.int64),
                 }
             )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, common long, base double, weight double, words array<long>, times array<int>"
-    passed = docs.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id())
-    passed = stored(passed, folder, "passed")
-    rare = passed.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row", F.col("w.words").alias("key"), F.col("w.times").alias("times")
-    )
-    share = F.log10((F.coalesce("n", F.lit(0)) + ADDED) / (automaton.tokens + ADDED * (automaton.kinds + 1)))
-    # The automaton holds all words above its share.
-    small = counts.where(F.col("n") < max(1.0, SHARE * automaton.tokens))
-    rest = (
-        rare.join(small, "key", "left")
-        .groupBy("row")
+    schema = "row long, doc_id long, held_out boolean, context long, pair long, times long"
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    found = numbered.mapInArrow(places, schema).join(model, ["context", "pair"])
+    return (
+        found.groupBy("row", "doc_id", "held_out")
         .agg(
-            F.sum(F.col("times") * share).alias("rest"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("seen"),
+            F.sum("times").alias("n_tokens"),
+            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_known"),
+            F.lit(total).cast("long").alias("train_tokens"),
+            F.sum(F.col("times") * F.log10("share")).alias("base_score"),
+            F.sum(F.col("times") * F.log10("weight")).alias("score"),
         )
-    )
-    none = F.lit(0.0)
-    return passed.drop("words", "times").join(rest, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("common") + F.coalesce("seen", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(automaton.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", none)).alias("base_score"),
-        (F.col("weight") + F.coalesce("rest", none)).alias("score"),
+        .drop("row")
     )
 
 

@@ -131,6 +131,36 @@ def test_language_model_without_training(spark):
     assert backoff.contract(documents(spark, [])).collect() == []
 
 
+def interpolated(rows):
+    """Score of each row by brute force: every n-gram of the training rows counts."""
+    texts = [t.split() + ["\0"] for _, t in rows]
+    train = [t for (d, _), t in zip(rows, texts) if HELD(d, 10)]
+    c = [Counter(p for t in train for p in zip(*(t[k:] for k in range(n)))) for n in (1, 2, 3)]
+    after = [Counter(p[:-1] for p in c[n]) for n in (1, 2)]
+    total, kinds, cut = sum(c[0].values()), len(c[0]), backoff.DISCOUNT
+
+    def weight(p):
+        if len(p) == 1:
+            return (c[0][p] + 0.1) / (total + 0.1 * (kinds + 1))
+        n, short = c[len(p) - 2][p[:-1]], weight(p[1:])
+        return (max(c[len(p) - 1][p] - cut, 0) + cut * after[len(p) - 2][p[:-1]] * short) / n if n else short
+
+    return {d: sum(math.log10(weight(tuple(t[max(0, k - 2) : k + 1]))) for k in range(len(t))) for (d, _), t in zip(rows, texts)}, total
+
+
+@pytest.mark.parametrize("docs", [800])
+def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark, rng, docs):
+    """Words, pairs and triples seen once count at 0.2 and at 1.1 million training tokens as they do at few."""
+    rows = [(d, prose(rng, 1500)) for d in range(docs)]
+    rows += [(2000 + d, f"name{d % 50} surname{d % 50} joined late " + prose(rng, 4)) for d in range(200)]
+    want, total = interpolated(rows)
+    assert total > (200_000 if docs < 800 else 1_000_000)
+    got = backoff.contract(documents(spark, rows).repartition(8)).collect()
+    assert len(got) == len(rows) and {r["train_tokens"] for r in got} == {total}
+    for r in got:
+        assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9), r
+
+
 NOTICE = "Released under the MIT License"
 
 
