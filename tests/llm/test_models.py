@@ -148,7 +148,7 @@ def interpolated(rows):
     return {d: sum(math.log10(weight(tuple(t[max(0, k - 2) : k + 1]))) for k in range(len(t))) for (d, _), t in zip(rows, texts)}, total
 
 
-@pytest.mark.parametrize("docs", [800])
+@pytest.mark.parametrize("docs", [150, 800])
 def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark, rng, docs):
     """Words, pairs and triples seen once count at 0.2 and at 1.1 million training tokens as they do at few."""
     rows = [(d, prose(rng, 1500)) for d in range(docs)]
