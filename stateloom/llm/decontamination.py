@@ -2,16 +2,19 @@
 
 Words are letters, digits and characters beyond ASCII, without upper case. For each
 benchmark item every document has windows of as many words (a shorter document is
-one window). A window is a weighted set of five-word shingles: a shingle counts as
-often as it stands there, and weighs less the more items it stands in. Its
-fingerprint has 64 bits, each the sign of a weighted vote. Fingerprints are split
-into eight blocks of a byte; within ``RADIUS`` one block differs by ``RADIUS // 8``
-bits at most, so tables of near bytes find every fingerprint within the radius. Each
-one found is then compared exactly, by the weighted Jaccard similarity of both sets.
-
-Windows without a shingle of an item of their size are never fingerprinted: their
-similarity with all such items is 0. The items are sent to all tasks in blocks of at
-most ``ITEMS`` items and about ``ITEM_BYTES`` bytes, whatever the size of the table.
+one window). A window is a weighted set of five-word shingles: a shingle weighs as
+often as it stands there, and the same in every item, so that a pair's similarity
+does not depend on other items. Its fingerprint has 64 bits, each the sign of a
+weighted vote. Fingerprints are split into eight blocks of a byte; within ``RADIUS``
+one block differs by ``RADIUS // 8`` bits at most, so tables of near bytes find every
+fingerprint within the radius. Each one found is then compared exactly, by the
+weighted Jaccard similarity of both sets.
+
+Windows with too few shingles of items of their size to be similar to any are never
+fingerprinted. Of the others, some similar ones have fingerprints beyond any radius,
+so each is also compared with all items that share enough of its shingles. The items
+are sent to all tasks in blocks of at most ``ITEMS`` items and about ``ITEM_BYTES``
+bytes, whatever the size of the table; how they are divided does not change a result.
 
 A null or empty text is clean, an item without words finds nothing, and an item of
 fewer than five words is one shingle. Repeated rows are found each.
@@ -43,7 +46,7 @@ _NEAR = [
 ]
 
 
-def _fingerprints(h: np.ndarray, weight: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _fingerprints(h: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Of windows of consecutive shingles, each [start, start + count) in h."""
     needed = np.zeros(len(h) + 1, np.int64)
     np.add.at(needed, starts, 1)
@@ -51,7 +54,7 @@ def _fingerprints(h: np.ndarray, weight: np.ndarray, starts: np.ndarray, counts:
     inside = np.cumsum(needed[:-1]) > 0
     place = np.cumsum(inside) - inside  # windows are inside, so consecutive there too
     g = h[inside]
-    votes = np.where((g[:, None] >> _SHIFTS) & np.uint64(1), 1, -1) * weight[inside][:, None]
+    votes = np.where((g[:, None] >> _SHIFTS) & np.uint64(1), 1, -1)
     sums = np.concatenate((np.zeros((1, 64), np.int64), np.cumsum(votes, axis=0, dtype=np.int64)))
     first = place[starts]
     bits = sums[first + counts] - sums[first] > 0
@@ -61,7 +64,7 @@ def _fingerprints(h: np.ndarray, weight: np.ndarray, starts: np.ndarray, counts:
 class _Sized:
     """Items of one size: their shingles and the tables of their fingerprints."""
 
-    def __init__(self, words: int, items: list[int], sets: list[np.ndarray], index: "Index"):
+    def __init__(self, words: int, items: list[int], sets: list[np.ndarray]):
         self.words, self.order = words, min(words, SHINGLE)
         self.items = np.array(items)
         self.shingles = np.unique(np.concatenate(sets))
@@ -70,7 +73,14 @@ class _Sized:
         self.prefix[self.shingles >> np.uint64(64 - _PREFIX)] = True
         flat = np.concatenate(sets)
         starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
-        self.prints = _fingerprints(flat, index.weights(flat), starts, np.array([len(s) for s in sets]))
+        self.prints = _fingerprints(flat, starts, np.array([len(s) for s in sets]))
+        # The items of each shingle, and how often it stands there.
+        pair, often = np.unique(
+            np.searchsorted(self.shingles, flat) * len(sets) + np.repeat(np.arange(len(sets)), [len(s) for s in sets]),
+            return_counts=True,
+        )
+        shingle, self.holder = np.divmod(pair, len(sets))
+        self.often, self.bounds = often, np.searchsorted(shingle, np.arange(len(self.shingles) + 1))
         blocks = self.prints.view(np.uint8).reshape(-1, _BLOCKS)
         self.tables = []
         for b in range(_BLOCKS):
@@ -91,6 +101,22 @@ class _Sized:
         near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
         return window[near], item[near]
 
+    def sharing(self, window: np.ndarray, least: int) -> np.ndarray:
+        """The items that share at least so many shingles with a window, a shingle as often as it stands in both."""
+        own, times = np.unique(window, return_counts=True)
+        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
+        known = self.shingles[at] == own
+        at, times = at[known], times[known]
+        n = self.bounds[at + 1] - self.bounds[at]
+        places = np.repeat(self.bounds[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        both = np.bincount(self.holder[places], np.minimum(self.often[places], np.repeat(times, n)), len(self.items))
+        return np.flatnonzero(both >= least)
+
+
+def _least_shared(sizes: np.ndarray | int) -> np.ndarray | int:
+    """Shingles that two sets of so many together share at least if they are similar: four ninths."""
+    return -(-4 * sizes // 9)
+
 
 class Index:
     """The items of a benchmark, grouped by their number of words."""
@@ -104,26 +130,16 @@ class Index:
             if n:
                 own = h[words.first[i] : words.first[i + 1]]
                 grouped.setdefault(int(n), []).append((i, ngram_hashes(own, min(int(n), SHINGLE))))
-        every = [np.unique(s) for rows in grouped.values() for _, s in rows]
-        self.known, df = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.uint64), np.zeros(0))
-        # 16 for a shingle of one item (and for one of none), down to 1 for the commonest.
-        self.weight = np.maximum(1, 16 - np.floor(4 * np.log2(np.maximum(df, 1)))).astype(np.int64)
-        self.sized = [_Sized(n, [i for i, _ in rows], [s for _, s in rows], self) for n, rows in sorted(grouped.items())]
+        every = [s for rows in grouped.values() for _, s in rows]
+        self.known = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
+        self.sized = [_Sized(n, [i for i, _ in rows], [s for _, s in rows]) for n, rows in sorted(grouped.items())]
         self.prefix = np.zeros(1 << _PREFIX, bool)
         self.prefix[self.known >> np.uint64(64 - _PREFIX)] = True
 
-    def weights(self, g: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, g), len(self.known) - 1)
-        return np.where(self.known[at] == g, self.weight[at], 16)
-
-    def similarity(self, window: np.ndarray, item: Counter) -> float:
-        both = total = 0
-        own = Counter(window.tolist())
-        keys = np.array(list(own.keys() | item.keys()), np.uint64)
-        for k, w in zip(keys.tolist(), self.weights(keys).tolist()):
-            both += w * min(own[k], item[k])
-            total += w * max(own[k], item[k])
-        return both / total
+    @staticmethod
+    def similarity(window: np.ndarray, item: Counter) -> float:
+        both = (Counter(window.tolist()) & item).total()
+        return both / (len(window) + item.total() - both)
 
     def find(self, texts: list[bytes]) -> list[tuple[int, int, int, int, float]]:
         """text, item, first word, words and similarity of the best window of each text and item."""
@@ -147,7 +163,7 @@ class Index:
         return [(t, i, *found) for (t, i), found in best.items()]
 
     def _compare(self, sized: _Sized, g: np.ndarray, words: Words, owner: np.ndarray, hit: np.ndarray, best: dict) -> None:
-        """Fingerprint every window of the item size over a hit, and compare those within the radius."""
+        """Compare every window of the item size that has enough hits with the items that may be similar."""
         m = sized.words - sized.order + 1
         low, high = words.first[owner[hit]], words.first[owner[hit] + 1] - sized.order  # its text's first and last shingle
         begin = np.maximum(hit - m + 1, low)
@@ -155,8 +171,15 @@ class Index:
         n = end - begin + 1
         starts = np.unique(np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum())))
         counts = np.minimum(m, words.first[owner[starts] + 1] - sized.order + 1 - starts)
-        window, item = sized.within(_fingerprints(g, self.weights(g), starts, counts))
-        for w, i in zip(window.tolist(), item.tolist()):
+        hits = np.searchsorted(hit, starts + counts) - np.searchsorted(hit, starts)
+        enough = hits >= _least_shared(counts + m)
+        starts, counts = starts[enough], counts[enough]
+        if not len(starts):
+            return
+        pairs = set(zip(*(x.tolist() for x in sized.within(_fingerprints(g, starts, counts)))))
+        for w, (start, count) in enumerate(zip(starts.tolist(), counts.tolist())):
+            pairs.update((w, i) for i in sized.sharing(g[start : start + count], int(_least_shared(count + m))).tolist())
+        for w, i in sorted(pairs):
             start, count = int(starts[w]), int(counts[w])
             similarity = self.similarity(g[start : start + count], sized.sets[i])
             text = int(owner[start])

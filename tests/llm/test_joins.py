@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from conftest_llm import ODD, documents, prose
 
+from stateloom.llm import decontamination
 from stateloom.llm.components import components
 from stateloom.llm.content_sort import exact_duplicates
 from stateloom.llm.decontamination import Index, contamination, without_contamination
@@ -185,6 +186,50 @@ def test_every_fingerprint_within_the_radius_is_found(rng):
     assert got == want
 
 
+def test_similarity_does_not_depend_on_other_items(spark, rng, monkeypatch):
+    """Repeated rows, a family of items with a common passage, and items in many blocks: the same rows."""
+    own = [prose(rng, 55).split() for _ in range(4)]
+    common = prose(rng, 290)
+    twice = " ".join(own[0])
+    family = [(10 + k, f"{common} {prose(rng, 10)}") for k in range(15)]
+    items = [(1, twice), (2, twice + " " + prose(rng, 20)), *((3, " ".join(own[1])) for _ in range(14)), (4, " ".join(own[2])), *family]
+    replaced = lambda words, at: " ".join([*words[:at], "another", *words[at + 1 :]])
+    rows = [(d, prose(rng, 5) + " " + replaced(own[d], 27) + " " + prose(rng, 5)) for d in range(3)]
+    rows += [(3, replaced(family[4][1].split(), 150)), (4, prose(rng, 60)), (5, replaced(replaced(own[2], 10).split(), 40))]
+    docs = documents(spark, rows)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def plain(a, b):
+        x, y = (Counter(zip(*(t.split()[k:] for k in range(5)))) for t in (a, b))
+        return (x & y).total() / (x | y).total()
+
+    want = Counter()
+    for d, text in rows:
+        words = text.split()
+        for i, item in items:
+            m = len(item.split())
+            best = max(plain(" ".join(words[k : k + m]), item) for k in range(max(1, len(words) - m + 1)))
+            if best >= 0.8:
+                want[d, i, round(best, 9)] += 1
+    assert {d for d, *_ in want} == {0, 1, 2, 3} and sum(n for (d, *_), n in want.items() if d == 3) == 15
+    for most in (20_000, 7):
+        monkeypatch.setattr(decontamination, "ITEMS", most)
+        got = contamination(docs, benchmark).collect()
+        assert Counter((r["doc_id"], r["item_id"], round(r["similarity"], 9)) for r in got) == want
+        assert sorted(r["doc_id"] for r in without_contamination(docs, benchmark).collect()) == [4, 5]
+
+
+def test_no_similar_window_is_lost_to_its_fingerprint(rng):
+    """Of many copies at the threshold some differ in more bits than the radius."""
+    found = 0
+    for n in range(2000):
+        words = prose(rng, 21).split()
+        index = Index([1], [" ".join(words).encode()])
+        # One word of 21 is gone and another has come: 16 of 18 shingles are common.
+        found += len(index.find([" ".join([*words[1:], "foreign"]).encode()]))
+    assert found == 2000
+
+
 def test_no_benchmark(spark):
     docs = documents(spark, ODD)
     none = spark.createDataFrame([], "item_id long, text string")
