@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from conftest_llm import ODD, documents, prose
 
+import corpus_pipeline
 from stateloom.llm import decontamination
 from stateloom.llm.components import components
 from stateloom.llm.content_sort import exact_duplicates
@@ -80,6 +81,17 @@ def test_a_large_group_of_near_copies(spark, rng):
     assert got == linked(rows)
 
 
+def test_near_copies_of_the_pipeline(spark, rng):
+    """Two separate words of 100 are replaced: 86 of 106 five-word shingles are common. Three are too many."""
+    base = [prose(rng, 100).split() for _ in range(2)]
+    rows = []
+    for k, places in enumerate(([30, 60], [20, 50, 80])):
+        other = [f"other{n}" if n in places else w for n, w in enumerate(base[k])]
+        rows += [(10 * k, " ".join(base[k])), (10 * k + 1, " ".join(other))]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 10, 11]
+
+
 def test_no_documents(spark):
     assert jaccard_components(documents(spark, [])).collect() == []
     assert exact_duplicates(documents(spark, [])).collect() == []
