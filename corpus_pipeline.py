@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stateloom.llm import token_files
 from stateloom.llm.decontamination import without_contamination
-from stateloom.llm.jaccard import jaccard_components
+from stateloom.llm.jaccard import without_near_copies
 from stateloom.llm.labelled import table
 from stateloom.llm.mixing import mixed_documents
 from stateloom.llm.queries import tokenizer
@@ -29,12 +29,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Near copies share five-word shingles by a Jaccard of 0.8, as benchmark passages do.
 
-    Rows that repeat the id that stays are one document and become one row.
+    Rows that repeat an id with the same shingles become one row; other texts of the
+    id are documents of their own.
     """
-    linked = jaccard_components(docs, n=5, percent=80)
-    kept = linked.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where("doc_id is null"))
+    return without_near_copies(docs, n=5, percent=80)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

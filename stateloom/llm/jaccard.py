@@ -15,7 +15,8 @@ cannot miss, and then by the shingles of both whole texts. No link is lost.
 
 A null or empty text has an empty set, size 0, and is linked with nothing; fewer
 words than a shingle are one shingle. Rows of a null id are never linked with others.
-Repeated rows are repeated in the result.
+Repeated rows are repeated in the result. Rows that repeat an id with different sets
+are linked by their own sets: a set has a number, its node, and ids come at the end.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stateloom.llm.components import components
 from stateloom.llm.storage import stored
@@ -172,7 +174,7 @@ def _likely(percent: int) -> Column:
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of the pairs that are links, by the shingles of both whole texts."""
     for side in "uv":
-        pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
+        pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, left in pieces(batches, "text_u"):
@@ -190,8 +192,20 @@ def _ordered(u: str, v: str) -> list[Column]:
     return [F.greatest(u, v).alias("u"), F.least(u, v).alias("v")]
 
 
-def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest linked doc_id, directly or not) of every row."""
+def with_sets(docs: DataFrame, n: int) -> DataFrame:
+    """The same rows with the two hashes of each text's set."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches):
+            set_a, set_b = _identities(*distinct_shingles(texts, n), len(texts))
+            yield batch.append_column("set_a", pa.array(set_a)).append_column("set_b", pa.array(set_b))
+
+    schema = StructType([*docs.schema.fields, *(StructField(c, LongType()) for c in ("set_a", "set_b"))])
+    return docs.mapInArrow(add, schema)
+
+
+def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows with their sets, and of each set that has an id, the first (doc_id, set_a, set_b) of its component."""
     spark = docs.sparkSession
     folder = shared_dir(spark)
 
@@ -204,7 +218,8 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     sets = stored(
         rows.where("size > 0 and doc_id is not null")
         .groupBy("set_a", "set_b", "size")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+        .withColumn("node", F.monotonically_increasing_id()),
         folder,
         "sets",
     )
@@ -223,34 +238,25 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     alike = alike.groupBy("members", "x", "y").agg(F.min("signature").alias("signature")).select("signature")
     members = stored(
         shared.join(alike, "signature", "left_semi")
-        .join(sets.select(F.col("set_a").alias("one"), "doc_id", "size", "sketch"), "one")
+        .join(sets.select(F.col("set_a").alias("one"), "node", "size", "sketch"), "one")
         .drop("one"),
         folder,
         "members",
     )
-    wanted = members.select("doc_id").distinct().join(sets.select("doc_id", "set_a", "set_b"), "doc_id")
-
-    def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows that repeat an id, those with the text that is meant."""
-        for batch, texts in pieces(batches):
-            got = _identities(*distinct_shingles(texts, n), len(texts))
-            same = [x == batch.column(c).to_numpy() for x, c in zip(got, ("set_a", "set_b"))]
-            yield batch.select(["doc_id", "text"]).filter(pa.array(same[0] & same[1]))
-
+    wanted = members.select("node").distinct().join(sets.select("node", "doc_id", "set_a", "set_b"), "node")
     texts = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .join(wanted, "doc_id")
-        .mapInArrow(own_text, "doc_id long, text string")
-        .dropDuplicates(["doc_id"])
+        with_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n)
+        .join(wanted, ["doc_id", "set_a", "set_b"])
+        .select("node", "text")
+        .dropDuplicates(["node"])
     )
     texts = stored(texts, folder, "texts")
 
     found, tested = None, None  # links between sets as (node, component); pairs compared so far
     for turn in range(PIVOT_ROUNDS + 1):
-        now = members.withColumn("component", F.col("doc_id"))
+        now = members.withColumn("component", F.col("node"))
         if found is not None:
-            now = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            now = now.withColumn("component", F.coalesce("component", "doc_id"))
+            now = members.join(found, "node", "left").select(*members.columns, F.coalesce("component", "node").alias("component"))
             spread = now.groupBy("signature").agg(
                 F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
             )
@@ -258,7 +264,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
             spread = spread.where("a <> b and n > 2").select("signature")
             now = stored(now.join(spread, "signature", "left_semi"), folder, f"open-{turn}")
         if turn < PIVOT_ROUNDS:
-            best = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("order"), *now.columns[1:]))
+            best = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), *(c for c in now.columns if c != "signature")))
             pivots = now.groupBy("signature").agg(best.alias("best")).select("signature", "best.*").drop("order")
         else:  # all that are not of the component with most members
             count = now.groupBy("signature", "component").agg(F.count("*").alias("n"))
@@ -266,7 +272,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
             pivots = now.join(main, "signature").where("component <> best.component").drop("best")
         pivots = pivots.select(F.col("signature").alias("s"), *(F.col(c).alias(f"p_{c}") for c in now.columns if c != "signature"))
         match = (F.col("signature") == F.col("s")) & (F.col("component") != F.col("p_component")) & _likely(percent)
-        pairs = now.join(pivots, match).select(*_ordered("doc_id", "p_doc_id")).distinct()
+        pairs = now.join(pivots, match).select(*_ordered("node", "p_node")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stored(pairs, folder, f"pairs-{turn}")
@@ -280,12 +286,29 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
             links = links.union(found.select(F.col("node").alias("u"), F.col("component").alias("v")))
         found = components(links, folder, f"links-{turn}")
 
-    least = sets.select("set_a", "set_b", "size", F.col("doc_id").alias("node"))
-    least = least.join(found, "node", "left").select(
-        "set_a", "set_b", "size", F.coalesce("component", "node").alias("component")
+    named = sets.join(found, "node", "left").select(
+        "set_a", "set_b", "size", "doc_id", F.coalesce("component", "node").alias("component")
     )
-    return rows.select("doc_id", "size", "set_a", "set_b").join(least, ["set_a", "set_b", "size"], "left").select(
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "set_a", "set_b")).alias("first"))
+    return rows.select("doc_id", "size", "set_a", "set_b"), named.join(first, "component").select("set_a", "set_b", "size", "first")
+
+
+def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest linked doc_id, directly or not) of every row."""
+    rows, least = _linked(docs, n, percent)
+    named = (F.col("size") > 0) & F.col("doc_id").isNotNull()
+    return rows.join(least, ["set_a", "set_b", "size"], "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
-        F.when((F.col("size") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(named, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def without_near_copies(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row of each component, that of the smallest id and set; all rows of a null id, one of an id's empty sets."""
+    rows, least = _linked(docs, n, percent)
+    empty = rows.where("size = 0 and doc_id is not null").select("doc_id", "set_a", "set_b")
+    kept = least.select("first.*").union(empty).distinct()
+    named = with_sets(docs.where("doc_id is not null"), n).join(kept, ["doc_id", "set_a", "set_b"], "left_semi")
+    named = named.dropDuplicates(["doc_id", "set_a", "set_b"])
+    return named.select(*docs.columns).union(docs.where("doc_id is null"))

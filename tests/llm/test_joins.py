@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest_llm import ODD, documents, prose
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stateloom.llm import decontamination
@@ -81,6 +82,21 @@ def test_a_large_group_of_near_copies(spark, rng):
     assert got == linked(rows)
 
 
+def test_ids_repeated_with_different_texts(spark, rng):
+    """Each row is linked by its own text, and an id's other texts stay."""
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    end = " " + prose(rng, 1)
+    rows = [(1, a), (1, b), (1, c), (2, a + end), (3, b + end), (4, c + end), (0, b + end + end), (5, c), (5, prose(rng, 80)), (6, ""), (6, a)]
+    docs = documents(spark, rows).withColumn("source", F.substring("text", 1, 30))
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_components(docs).collect())
+    pairs = [(1, 1), (1, 0), (1, 1), (2, 1), (3, 0), (4, 1), (0, 0), (5, 1), (5, 5), (6, 6), (6, 1)]
+    assert got == Counter(pairs)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, a), (1, c), (0, b + end + end), (5, rows[8][1]), (6, "")]
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted(want)
+
+
 def test_near_copies_of_the_pipeline(spark, rng):
     """Two separate words of 100 are replaced: 86 of 106 five-word shingles are common. Three are too many."""
     base = [prose(rng, 100).split() for _ in range(2)]
