@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over the whole of its tables."""
+"""Registered queries of the operators, each over the whole of its tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stateloom.llm import backoff, content_sort, license_scan, mixing, quality, token_counts, token_files, toxicity
+from stateloom.llm import (
+    backoff,
+    content_sort,
+    license_scan,
+    mixing,
+    periodic_runs,
+    quality,
+    reputation,
+    token_counts,
+    token_files,
+    toxicity,
+    whitening,
+)
 from stateloom.llm.decontamination import contamination
 from stateloom.llm.jaccard import jaccard_components
 from stateloom.llm.labelled import table
@@ -62,13 +74,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.contract(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.contract(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_lm_scoring, op3_decontamination, op4_quality, op5_token_counts,
         op6_token_files, op7_exact_dedup, op8_mixing, op9_toxicity, op10_jaccard_join,
+        op11_periodic_runs, op12_whitening, op13_url_filter,
     )
 }
 
 #: DuckDB statements of the same results, where SQL can express them.
-LLM_ORACLE: dict[str, str] = {"op7_exact_dedup": content_sort.ORACLE}
+LLM_ORACLE: dict[str, str] = {"op7_exact_dedup": content_sort.ORACLE, "op13_url_filter": reputation.ORACLE}

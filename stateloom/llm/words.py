@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once. A longer text is handled alone, and whole.
 PIECE_BYTES = 2 << 20
+#: Texts handled at once, so that 16 bits always name one of them.
+PIECE_ROWS = 32_768
 
 _BYTES = np.arange(256)
 #: Fixed classes: letters, digits and everything beyond ASCII; everything but white space.
@@ -41,6 +43,11 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def powers(n: int) -> np.ndarray:
+    """The first n powers of the base modulo 2**64."""
+    return _power_tables(n)[0]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread all bits of a 64-bit hash."""
     h = h ^ (h >> np.uint64(32))
@@ -126,13 +133,13 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts, of ``PIECE_BYTES`` or of one longer text."""
+    """Slices of the batches with their texts, of ``PIECE_BYTES`` and ``PIECE_ROWS`` at most, or of one longer text."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         begin = size = 0
         for i, n in enumerate(sizes.tolist()):
-            if size and size + n > PIECE_BYTES:
+            if size and (size + n > PIECE_BYTES or i - begin >= PIECE_ROWS):
                 yield batch.slice(begin, i - begin), column_bytes(column.slice(begin, i - begin))
                 begin, size = i, 0
             size += n + 1

@@ -10,11 +10,11 @@ from stateloom.llm.queries import LLM_ORACLE, LLM_QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 NAMES = [*LLM_QUERIES, "pipeline"]
-PER_DOCUMENT = [n for n in LLM_QUERIES if n != "op3_decontamination"]
+PER_DOCUMENT = [n for n in LLM_QUERIES if n not in ("op3_decontamination", "op12_whitening", "op13_url_filter")]
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(NAMES) <= set(contract.queries())
 
 
