@@ -106,7 +106,9 @@ def _shrunk(level: DataFrame) -> DataFrame:
     return level.withColumn("weight", F.lit(1 / rho - 1))
 
 
-_MEAN = (F.col("good") + F.col("weight") * F.col("mean")) / (F.col("n") + F.col("weight"))
+def _posterior() -> Column:
+    """The mean of a share between its own outcomes and its parent's mean."""
+    return (F.col("good") + F.col("weight") * F.col("mean")) / (F.col("n") + F.col("weight"))
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -134,13 +136,13 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
     n, good = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
     top = _shrunk(suffixes.withColumn("mean", F.lit((good + 1) / (n + 2))))
-    top = stored(top.select("suffix", _MEAN.alias("mean")), folder, "suffix_means")
+    top = stored(top.select("suffix", _posterior().alias("mean")), folder, "suffix_means")
     middle = _shrunk(domains.join(top, "suffix"))
-    middle = stored(middle.select("domain", "suffix", _MEAN.alias("mean")), folder, "domain_means")
+    middle = stored(middle.select("domain", "suffix", _posterior().alias("mean")), folder, "domain_means")
     mass = F.col("n") + F.col("weight")
     return (
         _shrunk(hosts.join(middle, ["domain", "suffix"]))
-        .withColumn("share", _MEAN)
+        .withColumn("share", _posterior())
         .withColumn("upper", F.col("share") + Z * F.sqrt(F.col("share") * (1 - F.col("share")) / (mass + 1)))
         .select("host", "domain", "suffix", "n", "good", "share", "upper")
     )

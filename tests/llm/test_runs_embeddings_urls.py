@@ -198,7 +198,7 @@ def test_rules_match_brute_force(spark):
 
 def test_reputation_shrinks_towards_the_parent(spark):
     rows, good, k = [], [], 0
-    for host, n, bad in (("bad.a.test", 60, 58), ("good.a.test", 60, 1), ("few.a.test", 2, 2), ("b.test", 300, 6), ("new.a.test", 0, 0)):
+    for host, n, bad in (("bad.a.test", 60, 58), ("good.a.test", 60, 1), ("few.a.test", 1, 1), ("b.test", 300, 6), ("new.a.test", 0, 0)):
         for i in range(n):
             rows.append((k, f"http://{host}/{i}", None))
             good.append((k, 0 if i < bad else 1))
@@ -209,7 +209,8 @@ def test_reputation_shrinks_towards_the_parent(spark):
     found = {r["host"]: r for r in reputation.host_reputation(pages, outcomes).collect()}
     assert (found["bad.a.test"]["n"], found["bad.a.test"]["good"]) == (61, 2)
     assert (found["new.a.test"]["n"], found["new.a.test"]["domain"], found["new.a.test"]["suffix"]) == (0, "a.test", "test")
-    assert 2 / 60 < found["bad.a.test"]["share"] < 0.3 < found["few.a.test"]["share"] < found["good.a.test"]["share"]
+    assert 2 / 61 < found["bad.a.test"]["share"] < 0.1 < found["few.a.test"]["share"] < found["new.a.test"]["share"]
+    assert found["new.a.test"]["share"] < found["good.a.test"]["share"] < 59 / 60
     verdicts = {(r["host"], r["verdict"]) for r in reputation.judged(pages, outcomes, ()).collect()}
     assert ("bad.a.test", "block") in verdicts and ("few.a.test", "allow") in verdicts and len(verdicts) == 5
 
