@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stateloom.operators.stretches import Interval, Stretch, common, stretches, without
 from stateloom.operators.unions import union_all
 from stateloom.plans.registry import FACTS, TABLES, TableSpec, in_dependency_order, resolve
 from stateloom.schemas import DEFAULT_STEP, MAINNET, Forks
@@ -24,14 +25,10 @@ from stateloom.sources.transient import described, is_transient
 from stateloom.streaming.ledger import (
     DONE,
     FAILED,
-    Interval,
     Ledger,
-    common,
     range_report,
     run_report,
     standing,
-    stretches,
-    without,
 )
 
 log = logging.getLogger(__name__)
@@ -42,7 +39,6 @@ ROWS_BEFORE_COMPACTION = 200
 
 
 Covered = Mapping[str, list[Interval]]
-Stretch = tuple[int, int]
 
 
 def source_coverage(maxima: Mapping[str, DataFrame], known: Iterable[int | None] = ()) -> int | None:
@@ -233,16 +229,20 @@ class Warehouse:
         return whole
 
     def _plan(
-        self, spec: TableSpec, start: int, end: int, step: int, covered: Covered
+        self, spec: TableSpec, start: int, end: int, step: int, covered: Covered, run_id: int
     ) -> list[Stretch]:
         """Chunks of a range. Facts are replaced by whole buckets: the first chunk
         begins at a bucket, and the last one reaches as far as its bucket was
         ever filled, so that nothing already stored is lost. A bucket that ends
-        early is a chunk of its own, which a later run replaces as a whole."""
+        early is a chunk of its own, which a later run replaces as a whole.
+
+        A stored range of a state keeps one row of a key only. Where the request
+        takes back a part of one, what is left of it is built first, so that rows
+        that were second there are found again and none is missing in between."""
         if end < start:
             return []
         if spec.kind != FACTS:
-            return chunks(start, end, step)
+            return [*self._state(spec).remainders(start, end, run_id), *chunks(start, end, step)]
         width = spec.bucket_width
         step = max(width, -(-step // width) * width)
         last_done = max((b for _, b, _ in covered.get(spec.key, [])), default=-1)
@@ -308,7 +308,7 @@ class Warehouse:
         self.ledger.compact(ROWS_BEFORE_COMPACTION)
         covered = self.ledger.covered()
         for first, last in self._wanted(spec, start, end, covered):
-            for lower, upper in self._plan(spec, first, last, step, covered):
+            for lower, upper in self._plan(spec, first, last, step, covered, run_id):
                 failure = self._attempt(spec, lower, upper, run_id)
                 if failure:
                     raise failure
@@ -358,7 +358,7 @@ class Warehouse:
         for row in failed:
             spec = resolve(self.registry, row["table"])
             span = row["upper"] - row["lower"] + 1
-            for lower, upper in self._plan(spec, row["lower"], row["upper"], span, covered):
+            for lower, upper in self._plan(spec, row["lower"], row["upper"], span, covered, run_id):
                 self._retry(spec, lower, upper, run_id, delay)
             self._fold(spec)
         return retry_summary(self.ledger.latest().where(F.col("run_id") == run_id))

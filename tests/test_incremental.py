@@ -8,12 +8,12 @@ import pytest
 from micro import FORKS, ONE, ZERO, contract, destruct, diff, make, read, rows, tx, write
 from pyspark.sql import functions as F
 
+from stateloom.operators.stretches import common, settle, stretches, without
 from stateloom.plans import tables
 from stateloom.plans.registry import TABLES, custom_table, fork_note, in_dependency_order, resolve
 from stateloom.schemas import BLOCK_SLOTS_STAT
 from stateloom.sources.inputs import Inputs
 from stateloom.sources.transient import is_transient
-from stateloom.streaming.ledger import common, settle, stretches, without
 from stateloom.streaming.runner import Warehouse, chunks
 
 
@@ -251,7 +251,7 @@ def test_a_failed_repetition_keeps_the_state(spark, tmp_path):
 def test_old_generations_are_removed(spark, tmp_path):
     w = warehouse(spark, tmp_path, life(spark), 5, ranges_before_fold=1)
     w.run_incremental("address_last_access", 0, 24, 5)
-    assert sorted(p.name for p in (tmp_path / "address_last_access").iterdir()) == ["generation=4", "generation=5"]
+    assert sorted(p.name for p in (tmp_path / "address_last_access").iterdir()) == ["generation=4", "generation=5", "ranges"]
     assert rows(w.read("address_last_access")) == rows(tables.address_last_access(w.inputs, 0, 24))
 
 
