@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stateloom.sources.files import shared_dir
+from stateloom.sources.files import delete, shared_dir
 
 
 def stored(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
@@ -13,3 +13,8 @@ def stored(df: DataFrame, path: str | None = None, name: str = "table") -> DataF
     target = f"{path or shared_dir(spark)}/{name}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def dropped(spark: SparkSession, path: str, name: str) -> None:
+    """Remove a table whose successor is stored."""
+    delete(spark, f"{path}/{name}")
