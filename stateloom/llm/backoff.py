@@ -1,211 +1,488 @@
-"""Language-model scores by interpolated n-grams of up to three words.
-
-Every n-gram of the training documents counts, also those seen once, and the counts
-and weights of all orders stay in distributed tables: no task and not the driver holds
-a part of the model that grows with the corpus. The weight of a word after two others
-is what absolute discounting leaves of its count, and beyond that what the two words
-leave over times the weight after one word; that is made in the same way from its share
-of all tokens. Words never seen before a word leave everything over.
-
-The tables hold the n-grams of all documents, those of held-out ones with the training
-count 0, so that each token finds its weight by one join. A word has its count and the
-number of different words after it; a pair and a triple have their counts, summed in
-each task before they are shuffled. Before a text stand two starts, which are never
-counted: what follows them fails to the shorter n-gram.
+"""Language-model scores by a backoff automaton over n-grams of up to three words.
+
+Every n-gram of the training documents counts, also those seen once. The model is
+interpolated by absolute discounting: the weight of a word after two others is what a
+discount leaves of its count, and beyond that what the two words leave over times the
+weight after one word, which is made in the same way from the word's share of all tokens.
+Words never seen before a word leave everything over.
+
+Counts travel packed. A task cuts its texts into slices of tokens and makes a trie of
+each: every token begins one triple of words, so that the counts of triples are the
+leaves, and pairs and words their sums. A trie goes to the buckets of its first words as
+sorted hashes, five bytes for a second or third word. A bucket adds up what all slices
+sent, counts how many different words follow each word and pair, and answers each
+slice in the order in which it asked. A word so frequent that its n-grams would not fit
+one bucket goes to several, by its second words, and its sums are added afterwards.
+
+With its answers a slice builds an automaton of its own n-grams. A state is what was read
+last, two words, one or none; an arc is an n-gram that the training documents hold, and
+a failure arc leads from a state to the shorter one at the weight it leaves over. The
+texts are read from left to right with their state, all at once, a token of each at a
+time; very long ones in stretches that begin two tokens early, where the state is the same.
+
+The texts are read twice, to ask and to be scored, and the slices have to be the same
+ones: a digest goes with each, and a difference is an error. Documents that come out of
+a shuffle are stored first.
 
 A text is its words, split at ASCII white space and without upper case, and one end.
 A null or empty text is an end alone. Rows are scored one by one, by a number given
 in the pass over the texts. Without training documents N and V are 0 and every token
-has the share 1.
+has the share 1. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.llm.labelled import crc_mod
 from stateloom.llm.storage import stored
-from stateloom.llm.words import Words, ngram_hashes, pieces
+from stateloom.llm.words import Words, mix, pieces
 from stateloom.sources.files import shared_dir
 
 DISCOUNT = 0.75
 ADDED = 0.1
-#: Different n-grams that a task holds before it passes them on.
-HELD = 1_500_000
-START = np.uint64(0x5354415254)  # the hash of a start
+#: Tokens of a slice; a longer text is cut.
+SLICE = 1 << 20
+#: Tokens of which a bucket holds the n-grams, about; beyond it a word goes to several buckets.
+BUCKET = 1 << 21
+#: Tokens of a text that are read in one go.
+STRETCH = 4096
+#: Bytes of text for a token, to choose the number of buckets by.
+TOKEN_BYTES = 6
 END = np.uint64(0x454E44)  # the hash of the end token
-
-
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens with two starts and the end, the text of each, and where each text begins."""
+#: What stands for a word behind the end, as a number within a slice and as a hash of 40 bits.
+_BITS = 21
+_NONE = (1 << _BITS) - 1
+_NO_HASH = (1 << 40) - 1
+_SHORT = np.uint64(24)  # what a hash of 64 bits loses as a second or third word
+
+_COLUMNS = "bucket long, slice long, body binary, n long, v long, word long, c1 long, after1 long"
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers by planes of bytes, as many as the largest needs, compressed together."""
+    out = [len(arrays).to_bytes(1, "little")]
+    for a in arrays:
+        a = np.ascontiguousarray(a).astype(np.uint64)
+        width = (int(a.max(initial=0)).bit_length() + 7) // 8
+        out.append(len(a).to_bytes(8, "little") + width.to_bytes(1, "little"))
+        out.append(a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def _unpacked(body: bytes) -> list[np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(body)
+    out, at = [], 1
+    for _ in range(data[0]):
+        n, width = int.from_bytes(data[at : at + 8], "little"), data[at + 8]
+        at += 9
+        full = np.zeros((n, 8), np.uint8)
+        if n * width:
+            full[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
+        out.append(full.reshape(-1).view(np.uint64))
+        at += n * width
+    return out
+
+
+@dataclass
+class Slice:
+    """Tokens of some texts, or of a part of one with two tokens more on each side."""
+
+    number: int
+    rows: np.ndarray  # of each text: its row's number, and what follows
+    doc_ids: list
+    held: np.ndarray
+    sizes: np.ndarray  # tokens of each text here
+    before: int  # tokens at the beginning and at the end that belong to other slices
+    behind: int
+    words: np.ndarray  # the different hashes, sorted
+    ids: np.ndarray  # each token as a place among them
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def body(self) -> bytes:
+        return _packed(self.rows, self.held, self.sizes, np.array([self.before, self.behind]), self.words, self.ids)
+
+    @classmethod
+    def of(cls, number: int, doc_ids: list, body: bytes) -> "Slice":
+        rows, held, sizes, cut, words, ids = _unpacked(body)
+        sizes, ids = sizes.astype(np.int64), ids.astype(np.int64)
+        return cls(number, rows.astype(np.int64), doc_ids, held.astype(bool), sizes, int(cut[0]), int(cut[1]), words, ids)
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, an end behind the words of each text, and how many tokens each text has."""
     words = Words(texts)
-    sizes = words.counts + 3
-    ends = np.cumsum(sizes)
-    h = np.full(int(ends[-1]) if len(ends) else 0, START)
+    sizes = words.counts + 1
+    h = np.full(int(sizes.sum()), END)
     inner = np.ones(len(h), bool)
-    for k in range(2):
-        inner[ends - sizes + k] = False
-    inner[ends - 1] = False
-    h[ends - 1] = END
+    inner[np.cumsum(sizes) - 1] = False
     h[inner] = words.hashes()
-    return h, np.repeat(np.arange(len(texts)), sizes), ends - sizes
-
-
-class _Grams:
-    """The pair that ends at each token and the one before it, for all tokens of some texts."""
-
-    def __init__(self, texts: list[bytes]):
-        h, owner, begins = tokens(texts)
-        pair = ngram_hashes(h, 2)
-        place = np.arange(len(h)) - begins[owner]
-        at = np.flatnonzero(place >= 2)
-        self.owner, self.place = owner[at], place[at] - 2
-        self.word, self.before = h[at], h[at - 1]
-        self.pair = pair[at - 1]
-        # Two starts go before all texts: the first word is a context of its own, so that no task has all of them.
-        self.context = np.where(self.place == 0, self.pair, pair[at - 2])
-
-
-class _Combiner:
-    """Sums of the counts of a task, passed on whenever they are many."""
-
-    def __init__(self, names: tuple[str, ...]) -> None:
-        self.names, self.parts, self.size = names, [], 0
-
-    def add(self, columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        part = self._sum(columns, n)
-        self.parts.append(part)
-        self.size += len(part[-1])
-        if self.size > HELD:
-            self._merge()
-            if self.size > HELD // 2:
-                yield from self.rest()
-
-    @staticmethod
-    def _sum(columns: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
-        order = np.lexsort(columns[:2][::-1])  # the first two name the n-gram
-        columns = [c[order] for c in columns]
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([c[1:] != c[:-1] for c in columns[:2]], axis=0)
-        first = np.flatnonzero(new)
-        return [*(c[first] for c in columns), np.add.reduceat(n[order], first) if len(first) else n[:0]]
-
-    def _merge(self) -> None:
-        *columns, n = (np.concatenate(c) for c in zip(*self.parts))
-        self.parts = [self._sum(columns, n)]
-        self.size = len(self.parts[0][-1])
-
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            self._merge()
-            *columns, n = self.parts[0]
-            yield pa.record_batch({**{k: c.view(np.int64) for k, c in zip(self.names, columns)}, "n": n})
-            self.parts, self.size = [], 0
-
-
-def _counted(docs: DataFrame, names: tuple[str, ...], least_place: int) -> DataFrame:
-    """Counts in each task of the n-grams that _Grams has under these names.
-
-    Those of held-out documents count 0, and so do those that reach back to a start.
+    return h, sizes
+
+
+def slices(batches: Iterable[pa.RecordBatch], partition: int) -> Iterator[Slice]:
+    """The slices of a partition, in order."""
+    number, row = partition << 33, partition << 33
+    parts: list[tuple] = []
+    held_back = 0
+
+    def made(parts: list[tuple], before: int = 0, behind: int = 0) -> Slice:
+        nonlocal number
+        rows, doc_ids, held, h, sizes = zip(*parts)
+        words, ids = np.unique(np.concatenate(h), return_inverse=True)
+        out = Slice(number, np.concatenate(rows), sum(doc_ids, []), np.concatenate(held), np.concatenate(sizes), before, behind, words, ids)
+        number += 1
+        return out
+
+    for batch, texts in pieces(batches):
+        h, sizes = _tokens(texts)
+        held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        part = (np.arange(row, row + len(texts)), batch.column("doc_id").to_pylist(), held, h, sizes)
+        row += len(texts)
+        if parts and held_back + len(h) > SLICE:
+            yield made(parts)
+            parts, held_back = [], 0
+        if len(h) > SLICE and len(texts) == 1:
+            for a in range(0, len(h), SLICE):
+                low, high = max(0, a - 2), min(len(h), a + SLICE + 2)
+                piece = (*part[:3], h[low:high], np.array([high - low]))
+                yield made([piece], a - low, max(0, high - a - SLICE))
+            continue
+        parts.append(part)
+        held_back += len(h)
+    if parts:
+        yield made(parts)
+
+
+class Trie:
+    """The different triples that begin at the tokens of a slice, with the pairs and words above them.
+
+    Nodes are sorted by the numbers of their words within the slice, and so by hash.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Combiner(names)
-        for batch, texts in pieces(batches):
-            grams = _Grams(texts)
-            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            n = (~held[grams.owner] & (grams.place >= least_place)).astype(np.int64)
-            yield from seen.add([getattr(grams, k) for k in names], n)
-        yield from seen.rest()
-
-    return docs.select("text", "held_out").mapInArrow(count, ", ".join(f"{k} long" for k in (*names, "n")))
-
-
-def _interpolated(n: str, context: str, after: str, shorter: str) -> Column:
-    """The weight of an n-gram seen n times after a context seen so often and before so many different words."""
-    left = (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(after) * F.col(shorter)) / F.col(context)
-    return F.when(F.col(context) > 0, left).otherwise(F.col(shorter))
+    def __init__(self, s: Slice):
+        owner, n = s.owner(), len(s.ids)
+        same = np.concatenate((owner[1:] == owner[:-1], [False, False]))[: n + 1]
+        one = np.where(same[:n], np.append(s.ids, 0)[1 : n + 1], _NONE)
+        two = np.where(same[:n] & np.append(same, False)[1 : n + 1], np.append(s.ids, [0, 0])[2 : n + 2], _NONE)
+        begins = np.arange(n) < n - s.behind
+        self.own = begins & (np.arange(n) >= s.before)
+        key = (s.ids << (2 * _BITS)) | (one << _BITS) | two
+        self.triples, place = np.unique(key[begins], return_inverse=True)
+        #: Of each token: the triple, the pair and the word that begin there; -1 behind the end of a cut text's part.
+        self.triple = np.full(n, -1)
+        self.triple[begins] = place
+        trained = (self.own & ~s.held[owner])[begins]
+        self.count = np.bincount(place, weights=trained, minlength=len(self.triples)).astype(np.int64)
+        pair = self.triples >> _BITS
+        first = np.concatenate(([True], pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, bool)
+        self.pair_of = np.cumsum(first) - 1
+        self.pairs = pair[first]
+        word = self.pairs >> _BITS
+        first = np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.zeros(0, bool)
+        self.word_of = np.cumsum(first) - 1
+        self.heads = word[first]
+        self.head_hash = s.words[self.heads]
+        hashes = np.append(s.words, np.uint64(0))
+        short = lambda ids: np.where(ids == _NONE, np.uint64(_NO_HASH), hashes[np.minimum(ids, len(s.words))] >> _SHORT)
+        self.second = short(self.pairs & _NONE)
+        self.third = short(self.triples & _NONE)
+
+    def digest(self) -> int:
+        return int(mix(self.head_hash).sum(dtype=np.uint64) ^ mix(self.triples.view(np.uint64) + np.uint64(len(self.pairs))).sum(dtype=np.uint64)) >> 1
+
+    def buckets(self, many: int, hot: np.ndarray, spread: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each bucket's number, its pairs and its triples, both in order.
+
+        ``hot`` are hashes of frequent words, sorted, and ``spread`` how many buckets each goes to.
+        """
+        home = mix(self.head_hash) % np.uint64(many)
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, self.head_hash), len(hot) - 1)
+            parts = np.where(hot[at] == self.head_hash, spread[at], 1).astype(np.uint64)
+        else:
+            parts = np.ones(len(home), np.uint64)
+        # Parts of a word beyond the number of buckets would meet again.
+        further = mix(self.second) % np.minimum(parts, np.uint64(many))[self.word_of]
+        bucket = ((home[self.word_of] + further) % np.uint64(many)).astype(np.int64)
+        by_pair = np.argsort(bucket, kind="stable")
+        of_triple = bucket[self.pair_of]
+        by_triple = np.argsort(of_triple, kind="stable")
+        numbers = np.unique(bucket)
+        p = np.searchsorted(bucket[by_pair], np.append(numbers, many))
+        t = np.searchsorted(of_triple[by_triple], np.append(numbers, many))
+        for k, b in enumerate(numbers.tolist()):
+            yield b, by_pair[p[k] : p[k + 1]], by_triple[t[k] : t[k + 1]]
+
+    def message(self, pairs: np.ndarray, triples: np.ndarray) -> bytes:
+        """What a bucket has to know: hashes of words, pairs and triples, children of each, and counts of triples."""
+        word = self.word_of[pairs]
+        first = np.concatenate(([True], word[1:] != word[:-1]))
+        starts = np.flatnonzero(first)
+        pairs_each = np.diff(np.append(starts, len(pairs)))
+        triples_each = np.bincount(np.searchsorted(pairs, self.pair_of[triples]), minlength=len(pairs))
+        return _packed(
+            self.head_hash[word[first]], pairs_each, self.second[pairs], triples_each, self.third[triples], self.count[triples],
+            np.array([self.digest()]),
+        )
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and the place of each key among them."""
+    return np.unique(key, return_inverse=True)
+
+
+def _bucket_answers(bucket: int, messages: list[tuple[int, bytes]], hot: np.ndarray) -> Iterator[dict]:
+    """Sums over all slices, for each slice in its own order; the bucket's totals; and parts of frequent words."""
+    read = [(number, _unpacked(body)) for number, body in messages]
+    heads, head = _groups(np.concatenate([m[0] for _, m in read]))
+    pair_head = np.repeat(head, np.concatenate([m[1] for _, m in read]).astype(np.int64)).astype(np.uint64)
+    second = np.concatenate([m[2] for _, m in read])
+    triples_each = np.concatenate([m[3] for _, m in read]).astype(np.int64)
+    # Hashes of 40 bits below the 24 bits of what they follow.
+    pairs, pair = _groups((pair_head << np.uint64(40)) | second)
+    third = np.concatenate([m[4] for _, m in read])
+    triples, triple = _groups((np.repeat(pair, triples_each).astype(np.uint64) << np.uint64(40)) | third)
+    c3 = np.bincount(triple, weights=np.concatenate([m[5] for _, m in read]).astype(np.float64), minlength=len(triples)).astype(np.int64)
+    above = (triples >> np.uint64(40)).astype(np.int64)
+    follows = (c3 > 0) & (triples & np.uint64(_NO_HASH) != np.uint64(_NO_HASH))
+    c2 = np.bincount(above, weights=c3, minlength=len(pairs)).astype(np.int64)
+    after2 = np.bincount(above, weights=follows, minlength=len(pairs)).astype(np.int64)
+    above = (pairs >> np.uint64(40)).astype(np.int64)
+    follows = (c2 > 0) & (pairs & np.uint64(_NO_HASH) != np.uint64(_NO_HASH))
+    c1 = np.bincount(above, weights=c2, minlength=len(heads)).astype(np.int64)
+    after1 = np.bincount(above, weights=follows, minlength=len(heads)).astype(np.int64)
+    split = np.isin(heads, hot)
+    empty = {"bucket": bucket, "slice": -1, "body": None, "n": None, "v": None, "word": None, "c1": None, "after1": None}
+    yield empty | {"n": int(c1.sum()), "v": int((c1[~split] > 0).sum())}
+    for k in np.flatnonzero(split):
+        yield empty | {"word": int(heads[k : k + 1].view(np.int64)[0]), "c1": int(c1[k]), "after1": int(after1[k])}
+    a = b = c = 0
+    for number, m in read:
+        x, y, z = head[a : a + len(m[0])], pair[b : b + len(m[2])], triple[c : c + len(m[4])]
+        a, b, c = a + len(x), b + len(y), c + len(z)
+        yield empty | {"slice": number, "body": _packed(c1[x], after1[x], c2[y], after2[y], c3[z], m[6])}
+
+
+def _by_key(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows of batches sorted by a key, those of one key at a time."""
+    last, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row[key] != last and rows:
+                yield last, rows
+                rows = []
+            last = row[key]
+            rows.append(row)
+    if rows:
+        yield last, rows
+
+
+class Automaton:
+    """The states, arcs and failure arcs of a slice's n-grams, with weights as logarithms.
+
+    An arc of a state of two words is a triple of the trie, one of a state of one word a
+    pair, and the state without words has an arc for every word. Where the training
+    documents do not hold the n-gram there is no arc, and the failure arc is taken.
+    """
 
+    def __init__(self, trie: Trie, answers: list[tuple], total: int, kinds: int, ends: int):
+        """``answers`` are those of words (count, words after), pairs (the same) and triples (count)."""
+        (c1, after1), (c2, after2), c3 = answers
+        self.trie = trie
+        share = np.log10((c1 + ADDED) / (total + ADDED * (kinds + 1)))
+        place = np.full(ends + 1, -1)
+        place[trie.heads] = np.arange(len(trie.heads))
+        place = np.append(place, -1)
+        # The word and the pair that a pair and a triple end with; none behind an end.
+        last_word = place[np.minimum(trie.pairs & _NONE, ends)]
+        end_pair = trie.triples & ((1 << (2 * _BITS)) - 1)
+        at = np.minimum(np.searchsorted(trie.pairs, end_pair), len(trie.pairs) - 1)
+        last_pair = np.where(trie.pairs[at] == end_pair, at, -1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.word_fails = np.log10(DISCOUNT * after1 / c1)
+            self.pair_fails = np.log10(DISCOUNT * after2 / c2)
+            one = 10 ** np.where(last_word >= 0, share[last_word], 0)
+            two = (np.maximum(c2 - DISCOUNT, 0) + DISCOUNT * after1[trie.word_of] * one) / c1[trie.word_of]
+            shorter = np.where(last_pair >= 0, two[last_pair], 0)
+            three = (np.maximum(c3 - DISCOUNT, 0) + DISCOUNT * after2[trie.pair_of] * shorter) / c2[trie.pair_of]
+            self.word_arc, self.pair_arc, self.triple_arc = share, np.log10(two), np.log10(three)
+        self.has_word, self.has_pair, self.has_triple = c1 > 0, c2 > 0, c3 > 0
+
+    def traverse(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: the log10 probability, that by shares alone, and the known tokens, over tokens of this slice."""
+        trie, begins = self.trie, np.cumsum(s.sizes) - s.sizes
+        pair = np.where(trie.triple >= 0, trie.pair_of[trie.triple], -1)
+        word = np.where(trie.triple >= 0, trie.word_of[pair], -1)
+        # Stretches of texts: first token, tokens, and how many of these are read for the state alone.
+        lanes = -(-s.sizes // STRETCH)
+        text = np.repeat(np.arange(len(s.sizes)), lanes)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        low = number * STRETCH
+        warm = np.minimum(low, 2)
+        size = np.minimum(STRETCH, s.sizes[text] - low) + warm
+        first = begins[text] + low - warm
+        order = np.argsort(-size, kind="stable")
+        text, first, size, warm = text[order], first[order], size[order], warm[order]
+        active = np.searchsorted(-size, -np.arange(size.max(initial=0)), "left")
+        score, base = np.zeros(len(text)), np.zeros(len(text))
+        known = np.zeros(len(text), np.int64)
+        state = np.zeros(len(text), np.int64)  # how many words were read last
+        for step, n in enumerate(active.tolist()):
+            at = first[:n] + step
+            read = at < len(s.ids) - s.behind
+            w = word[at]
+            two = np.flatnonzero(state[:n] == 2)
+            weight = np.zeros(n)
+            level = state[:n].copy()
+            if len(two):
+                t = trie.triple[at[two] - 2]
+                found = self.has_triple[t]
+                weight[two] = np.where(found, self.triple_arc[t], self.pair_fails[pair[at[two] - 2]])
+                level[two] = np.where(found, 3, 1)
+            one = np.flatnonzero(level == 1)
+            if len(one):
+                p = pair[at[one] - 1]
+                found = self.has_pair[p]
+                weight[one] += np.where(found, self.pair_arc[p], self.word_fails[word[at[one] - 1]])
+                level[one] = np.where(found, 3, 0)
+            none = np.flatnonzero(level == 0)
+            weight[none] += self.word_arc[w[none]]
+            counted = read & (step >= warm[:n]) & (at - begins[text[:n]] >= s.before)
+            score[:n] += np.where(counted, weight, 0)
+            base[:n] += np.where(counted, self.word_arc[w], 0)
+            seen = self.has_word[w]
+            known[:n] += counted & seen
+            follows = np.zeros(n, bool)
+            if step:
+                follows = self.has_pair[pair[at - 1]]
+            state[:n] = np.where(follows & seen, 2, seen)
+        many = len(s.sizes)
+        whole = np.bincount(text, weights=known, minlength=many).astype(np.int64)
+        return np.bincount(text, weights=score, minlength=many), np.bincount(text, weights=base, minlength=many), whole
+
+
+def _answered(s: Slice, trie: Trie, bodies: dict[int, bytes], many: int, hot: tuple[np.ndarray, ...]) -> list[tuple]:
+    """The answers of all buckets, put to the nodes of the trie."""
+    hashes, spread, c1_all, after1_all = hot
+    words, pairs, c3 = np.zeros((2, len(trie.heads)), np.int64), np.zeros((2, len(trie.pairs)), np.int64), np.zeros(len(trie.triples), np.int64)
+    digest = trie.digest()
+    for b, p, t in trie.buckets(many, hashes, spread):
+        x1, y1, x2, y2, x3, said = _unpacked(bodies[b]) if b in bodies else [np.zeros(0, np.uint64)] * 6
+        if len(x3) != len(t) or len(x2) != len(p) or int(said[0]) != digest:
+            raise RuntimeError("the documents differ from those that were counted")
+        heads = trie.word_of[p]
+        heads = heads[np.concatenate(([True], heads[1:] != heads[:-1]))]
+        words[:, heads] = x1, y1
+        pairs[:, p] = x2, y2
+        c3[t] = x3
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, trie.head_hash), len(hashes) - 1)
+        frequent = hashes[at] == trie.head_hash
+        words[:, frequent] = c1_all[at[frequent]], after1_all[at[frequent]]
+    return [tuple(words), tuple(pairs), c3]
+
+
+def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words with more than half of ``BUCKET`` occurrences, and how many buckets each goes to.
+
+    There is one at most for each half bucket of tokens. A slice names the words that it has
+    often enough to matter; what it leaves out adds up to a quarter bucket. Results do not
+    depend on the choice.
+    """
+    least = max(1, BUCKET * SLICE // (4 * max(tokens, SLICE)))
 
-def weights(docs: DataFrame, folder: str) -> tuple[DataFrame, int]:
-    """Of every token's (context, pair): the weight, and the share and the count of its word; and all training tokens.
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices(batches, 0):
+            n = np.bincount(s.ids, minlength=len(s.words))
+            yield pa.record_batch({"word": s.words[n >= least].view(np.int64), "n": n[n >= least].astype(np.int64)})
 
-    ``docs`` has text and held_out, which is not null.
-    """
-    words = _counted(docs, ("word",), 0).groupBy("word").agg(F.sum("n").alias("n"))
-    words = stored(words, folder, "words")
-    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    # The end goes on to nothing, so a pair's count is that of the triples it begins.
-    pairs = (
-        _counted(docs, ("before", "word", "pair"), 1)
-        .groupBy("before", "word")
-        .agg(F.first("pair").alias("pair"), F.sum("n").alias("n2"))
-    )
-    pairs = stored(pairs, folder, "pairs")
-    after = pairs.where("n2 > 0").groupBy("before").agg(F.sum("n2").alias("c1"), F.count("*").alias("after1"))
-    share = (F.col("n") + ADDED) / (total + ADDED * (kinds + 1))
-    pairs = (
-        pairs.join(words.select("word", "n", share.alias("share")), "word")
-        .join(after, "before", "left")
-        .select("pair", "n", "share", _interpolated("n2", "c1", "after1", "share").alias("shorter"))
-    )
-    # A context's rows are its different words from each task, not its occurrences.
-    own = Window.partitionBy("context")
-    triples = (
-        _counted(docs, ("context", "pair"), 2)
-        .repartition("context")
-        .groupBy("context", "pair")
-        .agg(F.sum("n").alias("n3"))
-        .withColumn("c2", F.sum("n3").over(own))
-        .withColumn("after2", F.sum((F.col("n3") > 0).cast("long")).over(own))
-    )
-    weight = _interpolated("n3", "c2", "after2", "shorter").alias("weight")
-    return triples.join(pairs, "pair").select("context", "pair", weight, "share", "n"), total
+    found = docs.mapInArrow(often, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > BUCKET // 2).toArrow()
+    hashes = found["word"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], 1 + found["n"].to_numpy()[order] * 2 // BUCKET
 
 
 def scored(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    folder = shared_dir(docs.sparkSession)
+    spark = docs.sparkSession
+    folder = shared_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held, F.lit(False)).alias("held_out"))
-    model, total = weights(docs, folder)
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What names the weight of each token, once in each text, with how often it stands there."""
-        for batch, texts in pieces(batches):
-            grams = _Grams(texts)
-            order = np.lexsort((grams.pair, grams.context, grams.owner))
-            whose, context, pair = grams.owner[order], grams.context[order], grams.pair[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (whose[1:] != whose[:-1]) | (context[1:] != context[:-1]) | (pair[1:] != pair[:-1])
-            first = np.flatnonzero(new)
-            rows = pa.array(whose[first])
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = stored(docs, folder, "documents")  # what comes out of a shuffle may come in another order next time
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count("*")).first()[0]
+    tokens = size // TOKEN_BYTES
+    many = 1 + 2 * tokens // BUCKET
+    none = np.zeros(0, np.uint64)
+    hashes, spread = _frequent(docs, tokens) if size > BUCKET // 2 else (none, none.astype(np.int64))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices(batches, TaskContext.get().partitionId()):
+            trie = Trie(s)
+            sent = [(bucket, trie.message(pairs, triples)) for bucket, pairs, triples in trie.buckets(many, hashes, spread)]
+            numbers, told = zip(*sent)
+            yield pa.record_batch({"bucket": numbers, "slice": [s.number] * len(sent), "body": told})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(k, pa.binary() if kind == "binary" else pa.int64()) for k, kind in (c.split() for c in _COLUMNS.split(", "))])
+        for bucket, rows in _by_key(batches, "bucket"):
+            found = _bucket_answers(bucket, [(r["slice"], r["body"]) for r in rows], hashes)
+            yield pa.RecordBatch.from_pylist(list(found), schema)
+
+    asked = docs.mapInArrow(ask, "bucket long, slice long, body binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket", "slice").mapInArrow(answer, _COLUMNS)
+    answers = stored(answers, folder, "answers")
+    total, kinds = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    whole = answers.where("word is not null").groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("after1").alias("after1")).toArrow()
+    by_hash = np.argsort(whole["word"].to_numpy().view(np.uint64))
+    c1_all, after1_all = (whole[c].to_numpy()[by_hash] for c in ("c1", "after1"))
+    kinds += int((c1_all > 0).sum())
+    frequent = (hashes, spread, c1_all, after1_all)
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices(batches, TaskContext.get().partitionId()):
+            ids = pa.array([s.doc_ids], pa.list_(pa.int64()))
+            yield pa.record_batch({"slice": [s.number], "bucket": [-1], "body": [s.body()], "doc_ids": ids})
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in _by_key(batches, "slice"):
+            if rows[0]["bucket"] != -1:
+                raise RuntimeError("the documents differ from those that were counted")
+            s = Slice.of(number, rows[0]["doc_ids"], rows[0]["body"])
+            trie = Trie(s)
+            found = _answered(s, trie, {r["bucket"]: r["body"] for r in rows[1:]}, many, frequent)
+            scores, base, known = Automaton(trie, found, total, kinds, len(s.words)).traverse(s)
             yield pa.record_batch(
                 {
-                    **{k: batch.column(k).take(rows) for k in ("row", "doc_id", "held_out")},
-                    "context": context[first].view(np.int64),
-                    "pair": pair[first].view(np.int64),
-                    "times": np.diff(np.append(first, len(order))).astype(np.int64),
+                    "row": s.rows,
+                    "doc_id": pa.array(s.doc_ids, pa.int64()),
+                    "held_out": s.held,
+                    "n_tokens": s.sizes - s.before - s.behind if len(s.sizes) == 1 else s.sizes,
+                    "n_known": known,
+                    "base_score": base,
+                    "score": scores,
                 }
             )
 
-    schema = "row long, doc_id long, held_out boolean, context long, pair long, times long"
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    found = numbered.mapInArrow(places, schema).join(model, ["context", "pair"])
+    said = answers.where("slice >= 0").select("slice", "bucket", "body", F.lit(None).cast("array<long>").alias("doc_ids"))
+    both = docs.mapInArrow(bodies, "slice long, bucket long, body binary, doc_ids array<long>").union(said)
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    parts = both.repartition("slice").sortWithinPartitions("slice", "bucket").mapInArrow(score, schema)
+    # A text that was cut has a row for each part.
     return (
-        found.groupBy("row", "doc_id", "held_out")
-        .agg(
-            F.sum("times").alias("n_tokens"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            F.sum(F.col("times") * F.log10("share")).alias("base_score"),
-            F.sum(F.col("times") * F.log10("weight")).alias("score"),
-        )
-        .drop("row")
+        parts.groupBy("row", "doc_id", "held_out")
+        .agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
+        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
     )
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import ODD, documents, prose
 from tokenizers import Tokenizer
@@ -14,6 +15,7 @@ import corpus_pipeline
 from stateloom.llm import backoff, license_scan, mixing, quality, token_counts, token_files, toxicity
 from stateloom.llm.queries import tokenizer
 from stateloom.llm.storage import stored
+from stateloom.llm.words import Words
 from stateloom.sources.files import shared_dir
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -161,6 +163,64 @@ def test_language_model_keeps_rare_ngrams_of_a_large_corpus(spark, rng, docs):
         assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9), r
 
 
+@pytest.mark.parametrize("most, stretch, many, frequent", [(1 << 20, 4096, 1, []), (50, 7, 5, []), (40, 3, 4, ["the", "a"]), (3, 1 << 12, 3, ["the"])])
+def test_automaton_of_cut_texts_and_split_words(rng, monkeypatch, most, stretch, many, frequent):
+    """Slices, buckets, answers and traversal in one process, with bounds so small that all of them matter."""
+    monkeypatch.setattr(backoff, "SLICE", most)
+    monkeypatch.setattr(backoff, "STRETCH", stretch)
+    monkeypatch.setattr("stateloom.llm.words.PIECE_BYTES", 4 * most)
+    words = ["the", "a", *(f"w{k}" for k in range(12))]
+    rows = [(k, " ".join(rng.choices(words, [9, 5] + [1] * 12, k=rng.choice([0, 1, 2, 5, 30, 200])))) for k in range(60)]
+    batches = [
+        pa.record_batch({"doc_id": [d for d, _ in part], "text": [t for _, t in part], "held_out": [HELD(d, 10) == 0 for d, _ in part]})
+        for part in (rows[:25], rows[25:])
+    ]
+    cut = list(backoff.slices(batches, 3))
+    assert (len(cut) > 2) == (most < 1000) and len({s.number for s in cut}) == len(cut)
+    hot = np.sort(Words([w.encode() for w in frequent]).hashes())
+    spread = np.full(len(hot), 3)
+    sent = {}
+    for s in cut:
+        trie = backoff.Trie(s)
+        for b, pairs, triples in trie.buckets(many, hot, spread):
+            sent.setdefault(b, []).append((s.number, trie.message(pairs, triples)))
+    back, total, kinds, whole = {}, 0, 0, {}
+    for b, messages in sent.items():
+        for row in backoff._bucket_answers(b, messages, hot):
+            if row["n"] is not None:
+                total, kinds = total + row["n"], kinds + row["v"]
+            elif row["word"] is not None:
+                c, after = whole.get(row["word"], (0, 0))
+                whole[row["word"]] = c + row["c1"], after + row["after1"]
+            else:
+                back.setdefault(row["slice"], {})[row["bucket"]] = row["body"]
+    kinds += sum(c > 0 for c, _ in whole.values())
+    sums = [np.array([whole[w][k] for w in hot.view(np.int64).tolist()], np.int64) for k in (0, 1)]
+    scores, tokens = Counter(), Counter()
+    for s in cut:
+        s = backoff.Slice.of(s.number, s.doc_ids, s.body())
+        trie = backoff.Trie(s)
+        found = backoff._answered(s, trie, back[s.number], many, (hot, spread, *sums))
+        for d, x, n in zip(s.doc_ids, backoff.Automaton(trie, found, total, kinds, len(s.words)).traverse(s)[0], s.sizes):
+            scores[d] += x
+            tokens[d] += int(n) - (s.before + s.behind if len(s.sizes) == 1 else 0)
+    want, trained = interpolated(rows)
+    assert total == trained
+    assert tokens == Counter({d: len(t.split()) + 1 for d, t in rows})
+    assert all(math.isclose(scores[d], want[d], rel_tol=1e-9, abs_tol=1e-9) for d, _ in rows)
+
+
+def test_a_slice_of_other_documents_is_refused():
+    batch = lambda text: pa.record_batch({"doc_id": [1], "text": [text], "held_out": [False]})
+    (one,), (other,) = (list(backoff.slices([batch(t)], 0)) for t in ("a b c", "a b d"))
+    trie, none = backoff.Trie(one), np.zeros(0, np.uint64)
+    sent = [(one.number, trie.message(p, t)) for _, p, t in trie.buckets(1, none, none)]
+    back = {r["bucket"]: r["body"] for r in backoff._bucket_answers(0, sent, none) if r["body"]}
+    assert backoff._answered(one, trie, back, 1, (none,) * 4)
+    with pytest.raises(RuntimeError, match="differ"):
+        backoff._answered(other, backoff.Trie(other), back, 1, (none,) * 4)
+
+
 NOTICE = "Released under the MIT License"
 
 
