@@ -11,8 +11,9 @@ fingerprint within the radius. Each one found is then compared exactly, by the
 weighted Jaccard similarity of both sets.
 
 Windows with too few shingles of items of their size to be similar to any are never
-fingerprinted. Of the others, some similar ones have fingerprints beyond any radius,
-so each is also compared with all items that share enough of its shingles. The items
+fingerprinted. Fingerprints of similar sets are within the radius but for chance: at a
+similarity of 0.8 they differ in ten bits of 64 on average, in more than ``RADIUS`` in about
+one of a thousand copies (one word replaced: fewer), whatever the size of the item. The items
 are sent to all tasks in blocks of at most ``ITEMS`` items and about ``ITEM_BYTES``
 bytes, whatever the size of the table; how they are divided does not change a result.
 
@@ -74,13 +75,6 @@ class _Sized:
         flat = np.concatenate(sets)
         starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
         self.prints = _fingerprints(flat, starts, np.array([len(s) for s in sets]))
-        # The items of each shingle, and how often it stands there.
-        pair, often = np.unique(
-            np.searchsorted(self.shingles, flat) * len(sets) + np.repeat(np.arange(len(sets)), [len(s) for s in sets]),
-            return_counts=True,
-        )
-        shingle, self.holder = np.divmod(pair, len(sets))
-        self.often, self.bounds = often, np.searchsorted(shingle, np.arange(len(self.shingles) + 1))
         blocks = self.prints.view(np.uint8).reshape(-1, _BLOCKS)
         self.tables = []
         for b in range(_BLOCKS):
@@ -101,17 +95,6 @@ class _Sized:
         near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
         return window[near], item[near]
 
-    def sharing(self, window: np.ndarray, least: int) -> np.ndarray:
-        """The items that share at least so many shingles with a window, a shingle as often as it stands in both."""
-        own, times = np.unique(window, return_counts=True)
-        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
-        known = self.shingles[at] == own
-        at, times = at[known], times[known]
-        n = self.bounds[at + 1] - self.bounds[at]
-        places = np.repeat(self.bounds[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        both = np.bincount(self.holder[places], np.minimum(self.often[places], np.repeat(times, n)), len(self.items))
-        return np.flatnonzero(both >= least)
-
 
 def _least_shared(sizes: np.ndarray | int) -> np.ndarray | int:
     """Shingles that two sets of so many together share at least if they are similar: four ninths."""
@@ -176,10 +159,7 @@ class Index:
         starts, counts = starts[enough], counts[enough]
         if not len(starts):
             return
-        pairs = set(zip(*(x.tolist() for x in sized.within(_fingerprints(g, starts, counts)))))
-        for w, (start, count) in enumerate(zip(starts.tolist(), counts.tolist())):
-            pairs.update((w, i) for i in sized.sharing(g[start : start + count], int(_least_shared(count + m))).tolist())
-        for w, i in sorted(pairs):
+        for w, i in zip(*(x.tolist() for x in sized.within(_fingerprints(g, starts, counts)))):
             start, count = int(starts[w]), int(counts[w])
             similarity = self.similarity(g[start : start + count], sized.sets[i])
             text = int(owner[start])
