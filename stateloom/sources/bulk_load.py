@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 
 ROWS_PER_FILE = 1_000_000
 ATTEMPTS = 3
+#: Content of a file without rows that a task reads to see whether it announces any.
+SUSPECT_BYTES = 64 << 20
 _REPORT = "path string, file string, rows long, status string, error string"
 
 
@@ -50,34 +52,56 @@ def _rows(spark: SparkSession, schema: StructType, paths: list[str], skip_unread
     return _options(spark.read.schema(schema), skip_unreadable).parquet(*paths)
 
 
-def _footer_problem(spark: SparkSession, path: str) -> str | None:
-    """Why a file that yielded no row is broken, or None if it announces none. Reads its footer only."""
-    parquet = spark._jvm.org.apache.parquet.hadoop
-    try:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        reader = parquet.ParquetFileReader.open(
-            parquet.util.HadoopInputFile.fromPath(target, spark._jsc.hadoopConfiguration())
-        )
-        try:
-            rows = reader.getRecordCount()
-        finally:
-            reader.close()
-    except SPARK_ERRORS as error:
-        return f"unreadable footer: {str(error).splitlines()[-1] if str(error) else type(error).__name__}"
-    return None if rows == 0 else "no row could be read"
-
-
-def _examine(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
-    """One row per file under the paths: path, file, rows, status and error."""
-    # Files are told apart by their full path, in the one form that all scans have.
-    listing = _options(spark.read.format("binaryFile")).load(paths).select(
+def _listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every file under the paths; files are told apart by their full path, in the one form that all scans have."""
+    return _options(spark.read.format("binaryFile")).load(paths).select(
         F.col("_metadata.file_path").alias("uri"),
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file"),
     )
+
+
+def _announced(rows: DataFrame) -> DataFrame:
+    """Rows per file by its footer: a scan of no column."""
+    return rows.groupBy("uri").agg(F.count(F.lit(1)).alias("announced"))
+
+
+def _footer_problems(spark: SparkSession, paths: list[str], suspects: DataFrame) -> DataFrame:
+    """Why files that yielded no row are broken: path and problem, without a row for those that announce none.
+
+    Footers are read in tasks, by content. A file beyond ``SUSPECT_BYTES`` from which no row
+    can be read counts as broken.
+    """
+
+    def problems(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for content in batch.column("content").to_pylist():
+                try:
+                    announced = pq.read_metadata(pa.BufferReader(content)).num_rows
+                    found.append("no row could be read" if announced else None)
+                except (pa.ArrowException, OSError, ValueError) as error:
+                    found.append(f"unreadable footer: {str(error).splitlines()[0] if str(error) else type(error).__name__}")
+            yield pa.record_batch({"path": batch.column("path").cast(pa.string()), "problem": pa.array(found, pa.string())})
+
+    small = F.col("length") <= SUSPECT_BYTES
+    content = _options(spark.read.format("binaryFile")).load(paths).where(small).select("path", "content")
+    read = content.join(suspects, "path", "left_semi").mapInArrow(problems, "path string, problem string")
+    # What was not read was too large.
+    large = F.coalesce("problem", F.when(F.col("seen").isNull(), "no row could be read"))
+    known = suspects.join(read.withColumn("seen", F.lit(True)), "path", "left").select("path", large.alias("problem"))
+    return known.where("problem is not null")
+
+
+def _examine(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """One row per file under the paths: path, file, rows, status and error."""
+    listing = _listing(spark, paths)
     columns = [F.col(name) for name in schema.fieldNames()]
     rows = _rows(spark, schema, paths, True).select("*", F.col("_metadata.file_path").alias("uri"))
-    announced = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("announced"))
+    announced = _announced(rows)
     # The digest is used, so the columns have to be decoded to count a row.
     decoded = (
         rows.groupBy("uri")
@@ -92,9 +116,11 @@ def _examine(spark: SparkSession, paths: list[str], schema: StructType) -> DataF
     counted.write.parquet(target)
     counted = spark.read.schema(counted.schema).parquet(target)
     # Files without any row are empty or broken; of these alone the footers are opened.
-    suspects = [r["path"] for r in counted.where("announced = 0").select("path").toLocalIterator()]
-    problems = [(p, problem) for p in suspects if (problem := _footer_problem(spark, p))]
-    known = spark.createDataFrame(problems, "path string, problem string")
+    suspects = counted.where("announced = 0").select("path")
+    if suspects.isEmpty():
+        known = spark.createDataFrame([], "path string, problem string")
+    else:
+        known = _footer_problems(spark, paths, suspects)
     short = F.when(
         F.col("decoded") < F.col("announced"),
         F.format_string("read %d of %d rows", "decoded", "announced"),
@@ -158,6 +184,22 @@ def _write(rows: DataFrame, target: str, mode: str) -> int:
     return seen.get["rows"]
 
 
+def _sound_report(spark: SparkSession, folder: str, schema: StructType, written: int) -> DataFrame | None:
+    """The report of a strict load, by footers alone; None if they do not add up to the rows written."""
+    rows = _rows(spark, schema, [folder], False).select(F.col("_metadata.file_path").alias("uri"))
+    report = _listing(spark, [folder]).join(_announced(rows), "uri", "left").select(
+        "path",
+        "file",
+        F.coalesce("announced", F.lit(0)).cast("long").alias("rows"),
+        F.lit("loaded").alias("status"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    target = f"{shared_dir(spark)}/report"
+    report.write.parquet(target)
+    report = spark.read.schema(_REPORT).parquet(target)
+    return report if report.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] == written else None
+
+
 def load_parquet_folder(
     spark: SparkSession,
     folder: str,
@@ -170,8 +212,9 @@ def load_parquet_folder(
 ) -> Loaded:
     """Copy all rows of a folder's Parquet files into a table; returns it with a report.
 
-    One strict job does it when every file is sound; passing errors are tried
-    again. If it keeps failing, the files are examined. Broken ones raise
+    One strict job does it when every file is sound, since it fails at any row that
+    cannot be decoded: the report then takes the rows of each file from its footer, and
+    their sum has to be what was written. Passing errors are tried again. If it keeps failing, the files are examined. Broken ones raise
     ``PartialLoad`` before anything is written, unless partial loads are allowed:
     then the sound files are loaded, a broken file contributes no row at all, and
     the rows that arrive must be those of the report.
@@ -179,13 +222,17 @@ def load_parquet_folder(
     failure = None
     for attempt in range(attempts):
         try:
-            _write(_rows(spark, schema, [folder], False), target, mode)
-            return Loaded(spark.read.schema(schema).parquet(target), load_report(spark, folder, schema))
+            written = _write(_rows(spark, schema, [folder], False), target, mode)
         except SPARK_ERRORS as error:
             failure = error
             if not is_transient(error) or attempt + 1 == attempts:
                 break
             time.sleep(delay)
+            continue
+        report = _sound_report(spark, folder, schema, written)
+        if report is None:
+            report = load_report(spark, folder, schema)
+        return Loaded(spark.read.schema(schema).parquet(target), report)
     if "PATH_NOT_FOUND" in str(failure):
         raise failure
     report = load_report(spark, folder, schema, attempts, delay)

@@ -203,6 +203,33 @@ def test_broken_files_contribute_nothing(spark, folder, tmp_path):
     assert again.table.count() == 76
 
 
+def test_a_sound_folder_is_decoded_once(spark, tmp_path, monkeypatch):
+    spark.range(50).selectExpr("cast(id AS string) AS address").repartition(4).write.parquet(str(tmp_path / "in"))
+    pq.write_table(pa.schema([("address", pa.string())]).empty_table(), tmp_path / "in" / "empty.parquet")
+
+    def examined(*args):
+        raise AssertionError("a sound folder needs no second look")
+
+    monkeypatch.setattr(bulk_load, "load_report", examined)
+    got = bulk_load.load_parquet_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), delay=0)
+    assert got.table.count() == 50
+    assert rows(bulk_load.load_summary(got.report)) == [(5, 5, 0, 100.0, 50)]
+
+
+def test_many_files_without_rows_are_told_apart_in_tasks(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    empty = pa.schema([("address", pa.string())]).empty_table()
+    for k in range(40):
+        pq.write_table(empty, tmp_path / "in" / f"empty-{k}.parquet")
+        (tmp_path / "in" / f"broken-{k}.parquet").write_bytes(b"PAR1" + bytes(k) + b"PAR1")
+    report = bulk_load.load_report(spark, str(tmp_path / "in"), delay=0)
+    assert rows(bulk_load.load_summary(report)) == [(80, 40, 40, 50.0, 0)]
+    assert {r["error"].split(":")[0] for r in report.where("status = 'failed'").collect()} == {"unreadable footer"}
+    monkeypatch.setattr(bulk_load, "SUSPECT_BYTES", 4)
+    report = bulk_load.load_report(spark, str(tmp_path / "in"), delay=0)
+    assert rows(bulk_load.load_summary(report)) == [(80, 0, 80, 0.0, 0)]
+
+
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         bulk_load.load_parquet_folder(spark, str(tmp_path / "none"), str(tmp_path / "out"), delay=0)
