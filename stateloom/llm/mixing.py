@@ -5,17 +5,17 @@ cut into blocks of ``BLOCK_WORDS`` words. Sources by code point, null last, weig
 ``WEIGHTS`` in turn and share ``SHARE`` of all words; none takes more than ``TWICE``
 times what it has, and what is beyond is shared anew by weight.
 
-The mix has output shards of equal size. Each draws its sources' counts from a
-multinomial of the targets; then, from the last shard on, slots of sources that drew
-too many are handed to those that drew too few, so that every source ends within
-half a block of its target. The slots of a source, numbered over all shards, go
+The mix has output shards of ``SHARD_SLOTS`` slots. Each draws its sources' counts from a
+multinomial of the targets, in a task of its own; then, from the last shard on, slots of
+sources that drew too many are handed to those that drew too few, so that every source
+ends within half a block of its target. The slots of a source, numbered over all shards, go
 through a pseudorandom permutation of its block indexes, another one for every pass
 over the source, and are joined with the blocks by index. A block, and so a word, is
-taken at most as often as there are passes. All draws follow from ``SEED``.
+taken at most as often as there are passes. All draws follow from ``SEED`` and the shard.
 
 Words are separated by ASCII white space. A null or empty text has no words and is
-never taken. Repeated rows are packed one by one. The driver holds one number for each source and shard,
-``PLAN_CELLS`` at most.
+never taken. Repeated rows are packed one by one. The driver holds a row for each source,
+and nothing for a shard. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stateloom.llm.storage import stored
@@ -36,11 +36,12 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 TWICE = 2
 SEED = 20_261_201
-#: Buckets that a source's documents are numbered in, each by one task.
+#: Buckets that a source's documents, and its shards, are numbered in, each by one task.
 BUCKETS = 1024
-#: Slots of an output shard, at least; and cells of the table of shards and sources, at most.
+#: Slots of an output shard; the last one may have fewer.
 SHARD_SLOTS = 1024
-PLAN_CELLS = 4_000_000
+#: Slots that a task makes, about.
+TASK_SLOTS = 250_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,27 +62,62 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, share: float =
     return out.tolist()
 
 
-def draw(slots: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """Slots of each source (columns) in each output shard (rows), summing to those given."""
+def _ahead(cells: DataFrame, shards: int, last_first: bool) -> DataFrame:
+    """The cells of each source with the slots in its shards before (or behind) as ``before``, summed in two steps."""
+    width = -(-shards // BUCKETS) or 1
+    order = (lambda c: F.desc(c)) if last_first else F.asc
+    cells = cells.withColumn("bucket", F.expr(f"shard div {width}"))
+    outer = Window.partitionBy("source_no").orderBy(order("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source_no", "bucket").orderBy(order("shard")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = cells.groupBy("source_no", "bucket").agg(F.sum("n").alias("all"))
+    buckets = buckets.select("source_no", "bucket", F.coalesce(F.sum("all").over(outer), F.lit(0)).alias("outer"))
+    cells = cells.withColumn("inner", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(buckets, ["source_no", "bucket"])
+    return cells.withColumn("before", F.col("outer") + F.col("inner")).drop("outer", "inner", "bucket")
+
+
+def plan(spark: SparkSession, slots: np.ndarray, folder: str, seed: int = SEED) -> DataFrame:
+    """shard, source_no and n: slots of each source in each output shard, summing to those given by source."""
     total = int(slots.sum())
-    per_shard = max(SHARD_SLOTS, -(-total * max(1, len(slots)) // PLAN_CELLS))
-    full, rest = divmod(total, per_shard)
-    rows = [per_shard] * full + [rest] * (rest > 0)
-    if not rows:
-        return np.zeros((0, len(slots)), np.int64)
-    rng = np.random.default_rng(seed)
-    p = slots / total
-    drawn = np.stack([rng.multinomial(n, p) for n in rows]).astype(np.int64)
-    over = drawn.sum(axis=0) - slots
-    for row in drawn[::-1]:
-        give = np.minimum(row, np.maximum(over, 0))
-        lack = np.maximum(-over, 0)
-        # Filled in order: no more than is given, no more than is lacking.
-        take = np.diff(np.concatenate(([0], np.minimum(np.cumsum(lack), give.sum()))))
-        row += take - give
-        over += take - give
-        if not over.any():
-            break
+    shards = -(-total // SHARD_SLOTS)
+    share = slots / max(total, 1)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = batch.column("id").to_numpy()
+            sizes = np.minimum(SHARD_SLOTS, total - shard * SHARD_SLOTS)
+            n = [np.random.default_rng((seed, k)).multinomial(size, share) for k, size in zip(shard.tolist(), sizes.tolist())]
+            n = np.stack(n) if n else np.zeros((0, len(slots)), np.int64)
+            row, source = np.nonzero(n)
+            yield pa.record_batch({"shard": shard[row], "source_no": source.astype(np.int32), "n": n[row, source].astype(np.int64)})
+
+    cells = "shard long, source_no int, n long"
+    parts = 1 + total // TASK_SLOTS
+    drawn = stored(spark.range(0, shards, 1, parts).mapInArrow(draw, cells), folder, "drawn")
+    over = -slots.copy()
+    for row in drawn.groupBy("source_no").agg(F.sum("n").alias("n")).collect():
+        over[row["source_no"]] += row["n"]
+    # The slots that are given, in one row over all sources, meet those that are lacking in another.
+    give, lack = np.maximum(over, 0), np.maximum(-over, 0)
+    givers = [(int(k), int(give[k]), int(give[:k].sum())) for k in np.flatnonzero(give)]
+    if givers:
+        ends = np.cumsum(lack)
+        given = drawn.join(spark.createDataFrame(givers, "source_no int, give long, start long"), "source_no")
+        given = _ahead(given, shards, True).withColumn("taken", F.least("n", F.greatest(F.col("give") - F.col("before"), F.lit(0))))
+        given = stored(given.where("taken > 0").select("shard", "source_no", "taken", (F.col("start") + F.col("before")).alias("at")), folder, "given")
+
+        def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                shard, taken, at = (batch.column(c).to_numpy() for c in ("shard", "taken", "at"))
+                first, last = np.searchsorted(ends, at, "right"), np.searchsorted(ends, at + taken, "left")
+                row = np.repeat(np.arange(len(at)), last - first + 1)
+                source = first[row] + np.arange(len(row)) - np.searchsorted(row, row)
+                low, high = np.maximum(at[row], ends[source] - lack[source]), np.minimum((at + taken)[row], ends[source])
+                yield pa.record_batch({"shard": shard[row], "source_no": source.astype(np.int32), "n": high - low})
+
+        taken = given.select("shard", "source_no", (-F.col("taken")).alias("n"))
+        drawn = drawn.union(taken).union(given.mapInArrow(receive, cells))
+        drawn = drawn.groupBy("shard", "source_no").agg(F.sum("n").alias("n")).where("n > 0")
+        drawn = stored(drawn, folder, "plan")
     return drawn
 
 
@@ -125,12 +161,13 @@ def mixture(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     blocks = np.array([-(-n // BLOCK_WORDS) for n in sizes], np.int64)
     # In words, so that a short last block does not count as a full one.
     slots = np.array([min(TWICE * b, round(t * b / n)) if n else 0 for t, b, n in zip(target, blocks.tolist(), sizes)], np.int64)
-    plan = draw(slots)
+    total = int(slots.sum())
+    shards = -(-total // SHARD_SLOTS)
     sources = spark.createDataFrame(
         [(i, r[0], r[1], t) for i, (r, t) in enumerate(zip(rows, target))],
         "source_no int, named string, source_size long, target double",
     )
-    numbered = sized.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("named"))).drop("named")
+    numbered = sized.join(sources, F.col("source").eqNullSafe(F.col("named"))).drop("named")
     ahead = numbered.groupBy("source_no", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ahead = ahead.select("source_no", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
@@ -143,18 +180,15 @@ def mixture(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     placed = stored(placed, folder, "placed")
 
-    shard, source = np.nonzero(plan)
-    offsets = (np.cumsum(plan, axis=0) - plan)[shard, source]
     # The slots of a shard are numbered in a random order.
-    table = pa.table(
-        {
-            "shard": shard.astype(np.int64), "source_no": source.astype(np.int32), "offset": offsets,
-            "n": plan[shard, source], "ahead": (np.cumsum(plan, axis=1) - plan)[shard, source],
-            "wide": plan.sum(axis=1)[shard], "blocks": blocks[source],
-        }
-    )
-    drawn = spark.createDataFrame(table)
-    drawn = drawn.repartition("shard", "source_no").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    in_shard = Window.partitionBy("shard").orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
+    wide = F.least(F.lit(SHARD_SLOTS).cast("long"), F.lit(total).cast("long") - F.col("shard") * SHARD_SLOTS)
+    kinds = spark.createDataFrame([(i, int(n)) for i, n in enumerate(blocks)], "source_no int, blocks long")
+    cells = _ahead(plan(spark, slots, folder), shards, False).withColumnRenamed("before", "offset")
+    cells = cells.withColumns({"ahead": F.coalesce(F.sum("n").over(in_shard), F.lit(0)), "wide": wide}).join(kinds, "source_no")
+    # A number of partitions is stated, so that rows are not brought together before they become slots.
+    drawn = cells.repartition(1 + total // TASK_SLOTS, "shard", "source_no")
+    drawn = drawn.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,15 +244,19 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.flatten(F.collect_list("taken"))).alias("taken"))
     )
     names = docs.columns
-    keyed = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("d"), F.col("source").alias("s"), F.xxhash64("text").alias("h"))
+    # Columns are numbered while pieces stand beside them, so that no name can clash.
+    numbers = [f"column_{k}" for k in range(len(names))]
+    numbered = docs.toDF(*numbers)
+    of = dict(zip(names, numbers))
+    keyed = numbered.select("*", F.col(of["doc_id"]).cast("long").alias("d"), F.col(of["source"]).alias("s"), F.xxhash64(of["text"]).alias("h"))
     match = keyed["d"].eqNullSafe(whole["doc_id"]) & keyed["s"].eqNullSafe(whole["source"]) & (keyed["h"] == whole["text_hash"])
-    pieced = keyed.join(whole, match).dropDuplicates(["d", "s", "h"]).select("row.*", F.col("taken").alias("mix_pieces"))
+    pieced = keyed.join(whole, match).dropDuplicates(["d", "s", "h"]).select(*numbers, F.col("taken").alias("pieces"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, of["text"]):
             words = Words(texts, TOKEN, lower=False)
             out = []
-            for i, (text, rows) in enumerate(zip(texts, batch.column("mix_pieces").to_pylist())):
+            for i, (text, rows) in enumerate(zip(texts, batch.column("pieces").to_pylist())):
                 at = np.append(words.starts[words.first[i] : words.first[i + 1]] - words.text_starts[i], len(text))
                 at[0] = 0
                 spans: list[list[int]] = []
@@ -239,9 +277,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
                 if name == "text":
                     columns.append(pa.array(out, pa.string()))
                 elif name == "n_chars":
-                    columns.append(pa.array([len(t) for t in out], pa.int64()).cast(batch.schema.field(name).type))
+                    columns.append(pa.array([len(t) for t in out], pa.int64()).cast(batch.schema.field(of[name]).type))
                 else:
-                    columns.append(batch.column(batch.schema.get_field_index(name)))
+                    columns.append(batch.column(of[name]))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return pieced.mapInArrow(cut, docs.schema)

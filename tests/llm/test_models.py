@@ -332,9 +332,44 @@ def test_permutations(size):
     assert size < 64 or first.tolist() != other.tolist()
 
 
+@pytest.mark.parametrize("slots", [[3000, 2000, 1], [1], [5000], [700, 0, 900, 2, 1, 30], [0, 0], []])
+def test_plan_gives_every_shard_and_source_its_slots(spark, slots):
+    got = [Counter(map(tuple, mixing.plan(spark, np.array(slots, np.int64), shared_dir(spark)).collect())) for _ in range(2)]
+    assert got[0] == got[1] and set(got[0].values()) <= {1}
+    by_source, by_shard = Counter(), Counter()
+    for shard, source, n in got[0]:
+        assert n > 0
+        by_source[source] += n
+        by_shard[shard] += n
+    total = sum(slots)
+    assert [by_source[k] for k in range(len(slots))] == slots
+    full, rest = divmod(total, mixing.SHARD_SLOTS)
+    assert [by_shard[k] for k in sorted(by_shard)] == [mixing.SHARD_SLOTS] * full + [rest] * (rest > 0)
+    if len(slots) > 1 and slots[0] == 3000:
+        first = [n for shard, source, n in got[0] if source == 0 and shard < 3]
+        assert len(set(first)) > 1 and all(abs(n - 614) < 90 for n in first)
+
+
+def test_slots_and_blocks_of_a_mix(spark, rng, monkeypatch):
+    """Every place of a shard is filled once, and a pass over a source takes no word twice."""
+    rows = [(i, prose(rng, rng.randint(1, 900)), f"s{i % 3}") for i in range(300)]
+    placed, taken = mixing.mixture(documents(spark, rows))
+    size = {(r["source_no"], r["begin"]): r["size"] for r in placed.where("size > 0").collect()}
+    pieces = taken.collect()
+    by_shard = {}
+    for r in pieces:
+        by_shard.setdefault(r["shard"], set()).add(r["slot"])
+    last = max(by_shard)
+    assert sorted(by_shard) == list(range(last + 1))
+    assert all(places == set(range(mixing.SHARD_SLOTS if k < last else len(places))) for k, places in by_shard.items())
+    words = Counter((r["source_no"], r["begin"], r["pass"], w) for r in pieces for w in range(r["first_word"], r["first_word"] + r["n_words"]))
+    assert set(words.values()) == {1}
+    assert all(w < size[source, begin] for source, begin, _, w in words)
+
+
 def test_mix_meets_its_targets(spark, rng):
     rows = ODD + [(20 + i, prose(rng, rng.randint(1, 200)), f"s{i % 4}" if i % 7 else None) for i in range(120)]
-    docs = documents(spark, rows).withColumn("size", docs_size())
+    docs = documents(spark, rows).selectExpr("*", *(f"'a clashing name' AS {c}" for c in ("size", "mix_pieces", "pieces", "taken", "d", "h", "column_3")))
     got = mixing.contract(docs).collect()
     again = mixing.contract(docs).collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
@@ -360,12 +395,6 @@ def test_mix_meets_its_targets(spark, rng):
     assert all(r["n_chars"] == len(r["text"]) for r in mixed.collect())
 
 
-def docs_size():
-    from pyspark.sql import functions as F
-
-    return F.lit("a clashing name")
-
-
 def test_mix_of_nothing(spark):
     assert mixing.contract(documents(spark, [])).collect() == []
     assert mixing.mixed_documents(documents(spark, [(1, None), (2, " ")])).collect() == []
