@@ -79,13 +79,14 @@ def _bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
 def _plan(k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Groups, parts of a group, and signatures left out, for sets that differ in k shingles at most.
 
-    Of the subsets without one part, a group without differences has all equal, one with a
-    single part that differs has one, others none. Where k is from the number of groups to
-    twice that, 2 * groups - k subsets are equal at least; with two parts also below.
+    Of a group's subsets without one part all are equal where nothing differs, one where a
+    single part does, and none else. The fewest are equal in all where differences hit as many
+    groups as there are, and behind that one group after the other a second time.
     """
     parts = np.where(k == 0, 1, np.where(k < FEW, 3, 2))
     groups = np.where(k == 0, 1, np.where(k < FEW, (3 * k + 3) // 4 + 1, (7 * (k + 1) + 9) // 10))
-    return groups, parts, np.where(k == 0, 0, 2 * groups - k - 1)
+    equal = np.where(k <= groups, parts * groups - (parts - 1) * k, 2 * groups - k)
+    return groups, parts, np.where(k == 0, 0, equal - 1)
 
 
 def signatures(f: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +97,8 @@ def signatures(f: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int
         instance = band[sizes] + step
         # |a| + |b| <= 2r and 100 |a & b| >= percent |a | b| leave this many differences at most.
         k = 2 * ends[instance] * (100 - percent) // (100 + percent)
+        # One shingle more or less is too much for a small set, which then has one signature.
+        k = np.where(100 * sizes < percent * (sizes + 1), 0, k)
         groups, parts, left_out = _plan(k)
         width = np.where(sizes > 0, groups * parts, 0)
         base = np.concatenate(([0], np.cumsum(width)))

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import ODD, documents, prose
 from pyspark.sql import functions as F
@@ -15,20 +16,21 @@ from stateloom.llm import decontamination
 from stateloom.llm.components import components
 from stateloom.llm.content_sort import exact_duplicates
 from stateloom.llm.decontamination import Index, contamination, without_contamination
-from stateloom.llm.jaccard import distinct_shingles, jaccard_components, signatures
+from stateloom.llm.jaccard import distinct_shingles, jaccard_components, signatures, without_near_copies
+from stateloom.llm.words import pieces
 from stateloom.sources.files import shared_dir
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def shingle_set(text):
+def shingle_set(text, n=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-    return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set())
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
 
 
-def linked(rows):
+def linked(rows, n=3, percent=90):
     """Smallest reachable id of every id, from all pairs."""
-    sets = [(d, shingle_set(t)) for d, t in rows if d is not None]
+    sets = [(d, shingle_set(t, n)) for d, t in rows if d is not None]
     parent = {d: d for d, _ in sets}
 
     def root(x):
@@ -38,7 +40,7 @@ def linked(rows):
 
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
-            if x and y and 100 * len(x & y) >= 90 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 lo, hi = sorted((root(a), root(b)))
                 parent[hi] = lo
     return {d: root(d) for d in parent}
@@ -63,15 +65,16 @@ def near_copies(rng):
     return rows
 
 
-def test_components_match_all_pairs(spark, rng):
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_components_match_all_pairs(spark, rng, n, percent):
     rows = ODD + near_copies(rng)
-    got = jaccard_components(documents(spark, rows)).collect()
+    got = jaccard_components(documents(spark, rows), n, percent).collect()
     assert len(got) == len(rows)
-    want = linked(rows)
+    want = linked(rows, n, percent)
     for r in got:
         assert r["component_id"] == want.get(r["doc_id"], r["doc_id"]), r
     sizes = Counter((r["doc_id"], r["n_shingles"]) for r in got)
-    assert sizes == Counter((d, len(shingle_set(t))) for d, t in rows)
+    assert sizes == Counter((d, len(shingle_set(t, n))) for d, t in rows)
     assert max(Counter(r["component_id"] for r in got).values()) > 5
 
 
@@ -113,6 +116,52 @@ def test_no_documents(spark):
     assert exact_duplicates(documents(spark, [])).collect() == []
 
 
+def test_columns_of_any_name_stay(spark, rng):
+    base = prose(rng, 60)
+    docs = documents(spark, [(1, base), (2, base + " end"), (None, base), (3, None), (3, prose(rng, 60))])
+    docs = docs.selectExpr("*", *(f"'x' AS {c}" for c in ("set_a", "set_b", "among", "key", "node", "column_0", "stays", "u")))
+    kept = without_near_copies(docs, 5, 80)
+    assert kept.schema == docs.schema
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "3", "None"]
+
+
+def test_many_short_texts_in_one_batch():
+    """As many texts as 16 bits cannot name: each keeps its own set."""
+    texts = [f"word{k}" for k in range(70_000)]
+    batch = pa.record_batch({"text": texts})
+    sets = [distinct_shingles(slice_, 3) for _, slice_ in pieces([batch])]
+    assert all(np.bincount(owner).tolist() == [1] * len(owner) for _, owner in sets)
+    assert len(np.unique(np.concatenate([f for f, _ in sets]))) == 70_000
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_foreign_sets_share_no_signature(percent):
+    """Signatures are not of empty parts, at any size, but for a few of the smallest sets."""
+    rng = np.random.default_rng(percent)
+    sizes = rng.integers(1, 600, 1500)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    f = rng.integers(0, 2**48, len(owner), dtype=np.uint64)
+    sig, whose = signatures(f, owner, sizes, percent)
+    once = np.unique(np.stack((sig, whose.astype(np.uint64))), axis=1)
+    assert once.shape[1] - len(np.unique(once[0])) <= once.shape[1] // 50_000
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_within_the_bound_share_a_signature(percent):
+    """Pairs that differ in as much as the threshold allows, in one set or in both."""
+    rng = np.random.default_rng(percent)
+    for size in (*range(2, 60, 3), 90, 200, 500):
+        for _ in range(20):
+            both = rng.integers(0, 2**48, size, dtype=np.uint64)
+            room = size * (100 - percent) // percent
+            own = int(rng.integers(0, room + 1))
+            a = np.concatenate((both, rng.integers(0, 2**48, own, dtype=np.uint64)))
+            b = np.concatenate((both, rng.integers(0, 2**48, room - own, dtype=np.uint64)))
+            owner = np.repeat([0, 1], [len(a), len(b)])
+            sig, whose = signatures(np.concatenate((a, b)), owner, np.array([len(a), len(b)]), percent)
+            assert set(sig[whose == 0].tolist()) & set(sig[whose == 1].tolist()), (size, own, room)
+
+
 def test_similar_sets_share_a_signature():
     rng = random.Random(1)
     for size in (*range(1, 40), 75, 150, 400):
