@@ -402,6 +402,18 @@ for _name in ("refresh_tables", "refresh_pipeline", "refresh_after_failure"):
         + _BOUND.format(_last_blocks([n for n, _ in _DIFFS] + ["traces", "transaction"]))
         + " GROUP BY address",
     )
+_RIGHT = f"FROM accesses WHERE {_SUCCEEDED} AND " + _BOUND.format(
+    _last_blocks([n for n, _ in _DIFFS] + [n for n, _ in _READS] + ["transaction"])
+)
+_add(
+    "refresh_after_correction",
+    " UNION ALL ".join(
+        f"SELECT {folded} AS folded, 'address_{state}_access' AS state, address, {pick}(block_number) AS block_number"
+        f" {_RIGHT} GROUP BY address"
+        for folded in ("true", "false")
+        for state, pick in (("first", "min"), ("last", "max"))
+    ),
+)
 _add(
     "retry_failed_chunks",
     _ledger(

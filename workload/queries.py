@@ -579,6 +579,32 @@ def _(i: Inputs) -> DataFrame:
     return warehouse.read("accounts_alive")
 
 
+@query("refresh_after_correction")
+def _(i: Inputs) -> DataFrame:
+    """States whose source held accesses that are taken out again: blocks run anew in other chunks,
+    once with a fold behind every range and once without any."""
+    step = _step(i)
+    lower, upper = step // 2, step + step // 2
+    right = i.table("balance_diffs")
+    shifted = F.translate("address", "123456789", "234567891").alias("address")
+    wrong = right.where(F.col("block_number").between(lower, upper)).select(shifted, *(c for c in right.columns if c != "address"))
+    found = []
+    for ranges_before_fold in (1, 1_000):
+        warehouse = _warehouse(i.with_tables({"balance_diffs": right.unionByName(wrong)}), step)
+        warehouse.ranges_before_fold = ranges_before_fold
+        for key in ("address_first_access", "address_last_access"):
+            warehouse.run_incremental(key, step=step)
+            warehouse.inputs = i
+            warehouse.run_incremental(key, lower, min(upper, warehouse.coverage(key)), step // 3 + 1)
+            warehouse.inputs = i.with_tables({"balance_diffs": right.unionByName(wrong)})
+            found.append(
+                warehouse.read(key).select(
+                    F.lit(ranges_before_fold == 1).alias("folded"), F.lit(key).alias("state"), "address", "block_number"
+                )
+            )
+    return union_all(*found)
+
+
 READS_PER_BLOCK = StructType(
     [
         StructField("block_number", LongType()),
