@@ -49,6 +49,8 @@ SKETCH = 16
 PIVOT_ROUNDS = 2
 #: Below this many differences groups have three parts, else two.
 FEW = 8
+#: Bytes of text handled at once: signatures take more room than words.
+PIECE = 1 << 20
 #: Sets that a task remembers, so that it passes on the signatures of copies once.
 REMEMBERED = 200_000
 #: Bits of a shingle's hash that count.
@@ -156,7 +158,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
     """The size, the hashes and the sketch of each row's set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, most=PIECE):
             f, owner = distinct_shingles(texts, n)
             count = len(texts)
             set_a, set_b = _identities(f, owner, count)
@@ -180,7 +182,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, most=PIECE):
             f, owner = distinct_shingles(texts, n)
             set_a, _ = _identities(f, owner, len(texts))
             fresh = np.zeros(len(texts), bool)
@@ -239,7 +241,7 @@ def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
         pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, left in pieces(batches, "text_u"):
+        for batch, left in pieces(batches, "text_u", PIECE):
             right = column_bytes(batch.column(batch.schema.get_field_index("text_v")))
             a, b = (np.unique((o.astype(np.uint64) << _BITS) | f) for f, o in (distinct_shingles(t, n) for t in (left, right)))
             sizes = [np.bincount((x >> _BITS).astype(np.int64), minlength=len(left)) for x in (a, b)]
@@ -258,7 +260,7 @@ def _with_sets(docs: DataFrame, n: int, bits: Broadcast) -> DataFrame:
     """The same rows with the hashes of each text's set, and whether the row's key may be among those of the bitmap."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, most=PIECE):
             set_a, set_b = _identities(*distinct_shingles(texts, n), len(texts))
             among = may_hold(bits.value, _keys(batch.column("doc_id"), set_a))
             for name, column in (("set_a", set_a), ("set_b", set_b), ("among", among)):

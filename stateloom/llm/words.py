@@ -30,22 +30,35 @@ _VALUE = _RANDOM[:256]
 #: One odd factor for each place in an n-gram.
 _PLACE = _RANDOM[256:] | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_LOW_BITS = 12
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n of each."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(max(n, PIECE_BYTES + (1 << 18)), base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers
+def _steps(base: int, n: int) -> np.ndarray:
+    """The first n powers of a base modulo 2**64."""
+    out = np.full(n, base & (2**64 - 1), np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+_INVERSE = pow(_BASE, -1, 2**64)
+#: Powers of the base and of its inverse with exponents below 2 ** _LOW_BITS; larger ones are products.
+_SMALL, _SMALL_INVERSE = (_steps(b, 1 << _LOW_BITS) for b in (_BASE, _INVERSE))
+
+
+def _scaled(values: np.ndarray) -> np.ndarray:
+    """Values times the power of the base of their place, with zeros behind them up to a full row of powers."""
+    rows = -(-len(values) >> _LOW_BITS) or 1
+    out = np.zeros(rows << _LOW_BITS, np.uint64)
+    out[: len(values)] = values
+    table = out.reshape(rows, -1)
+    table *= _SMALL
+    table *= _steps(pow(_BASE, 1 << _LOW_BITS, 2**64), rows)[:, None]
+    return out
 
 
 def powers(n: int) -> np.ndarray:
     """The first n powers of the base modulo 2**64."""
-    return _power_tables(n)[0]
+    return _scaled(np.ones(n, np.uint64))[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -84,12 +97,11 @@ class Words:
         """A 64-bit hash of each word; equal words have equal hashes."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        power, inverse = _power_tables(len(self.bytes) + 1)
-        sums = _VALUE[self.bytes]
-        sums *= power[: len(sums)]
+        sums = _scaled(_VALUE[self.bytes])
         np.cumsum(sums, out=sums)
         h = sums[self.ends - 1] - sums[self.starts - 1]
-        h *= inverse[self.starts]
+        h *= _SMALL_INVERSE[self.starts & ((1 << _LOW_BITS) - 1)]
+        h *= _steps(pow(_INVERSE, 1 << _LOW_BITS, 2**64), (len(sums) >> _LOW_BITS) + 1)[self.starts >> _LOW_BITS]
         return mix(h + (self.ends - self.starts).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
@@ -132,14 +144,17 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.large_binary()).to_pylist()]
 
 
-def pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts, of ``PIECE_BYTES`` and ``PIECE_ROWS`` at most, or of one longer text."""
+def pieces(
+    batches: Iterable[pa.RecordBatch], text: str = "text", most: int | None = None
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with their texts, of ``most`` bytes and ``PIECE_ROWS`` at most, or of one longer text."""
+    most = most or PIECE_BYTES
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         begin = size = 0
         for i, n in enumerate(sizes.tolist()):
-            if size and (size + n > PIECE_BYTES or i - begin >= PIECE_ROWS):
+            if size and (size + n > most or i - begin >= PIECE_ROWS):
                 yield batch.slice(begin, i - begin), column_bytes(column.slice(begin, i - begin))
                 begin, size = i, 0
             size += n + 1
