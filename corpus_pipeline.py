@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,23 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_files.contract(docs, tokenizer("word_bpe_49k.json"))
 
 
+#: Bytes of an Arrow batch between Spark and Python: batches of long texts take several times as much in buffers.
+BATCH_BYTES = 16 << 20
+
+
+def _in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """The stage, with Arrow batches of the session bounded where it leaves them at Spark's own 64 MB."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxBytesPerBatch"
+        if spark.conf.get(name).rstrip("b") == str(64 << 20):
+            spark.conf.set(name, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("ngram_jaccard_join", drop_near_copies),
@@ -57,6 +75,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mix_sources),
     ("token_files", write_tokens),
 ]
+STAGES = [(name, _in_small_batches(stage)) for name, stage in STAGES]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
