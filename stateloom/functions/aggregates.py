@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def tx_count(transaction_hash: str = "transaction_hash") -> Column:
-    """Exact number of distinct transactions."""
-    return F.count_distinct(transaction_hash)
-
-
 def slots_set(transition: str = "transition") -> Column:
     return F.count_if(F.col(transition) == 1)
 
@@ -23,16 +18,11 @@ def has_relationship(kind: str) -> Column:
     return F.bool_or(F.col("relationship") == kind)
 
 
-def value_at_first(value: str, *position: str) -> Column:
-    """Value at the smallest position; equal positions are settled by the value."""
-    return F.min_by(value, F.struct(*position, value))
-
-
-def value_at_last(value: str, *position: str) -> Column:
-    """Value at the largest position; equal positions are settled by the value."""
-    return F.max_by(value, F.struct(*position, value))
+def earliest(*position_and_value: str | Column) -> Column:
+    """The smallest position with the value found there; equal positions are settled by the value."""
+    return F.min(F.struct(*position_and_value))
 
 
-def alive_at_last(is_alive: str, *position: str) -> Column:
-    """Status at the largest position; at equal positions the account is dead."""
-    return F.max_by(is_alive, F.struct(*position, (~F.col(is_alive)).alias("is_dead")))
+def latest(*position_and_value: str | Column) -> Column:
+    """The largest position with the value found there; equal positions are settled by the value."""
+    return F.max(F.struct(*position_and_value))

@@ -21,6 +21,11 @@ from stateloom.schemas import MAINNET, Forks
 from stateloom.sources.inputs import Inputs
 
 
+def transactions_once(events: DataFrame) -> DataFrame:
+    """Each transaction of an address and block once: counting these rows equals a distinct count."""
+    return events.select("address", "block_number", "transaction_hash").distinct()
+
+
 def _transactions_per_block(events: DataFrame, tx_index: DataFrame) -> DataFrame:
     """Distinct transactions and the last index per address and block.
 
@@ -29,9 +34,8 @@ def _transactions_per_block(events: DataFrame, tx_index: DataFrame) -> DataFrame
     share of all rows shrinks inside the map tasks. What is left is unique, and
     counting it equals a distinct count.
     """
-    once = events.select("address", "block_number", "transaction_hash").distinct()
     return (
-        join_tx_index(once, tx_index)
+        join_tx_index(transactions_once(events), tx_index)
         .groupBy("address", "block_number")
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
@@ -101,7 +105,7 @@ def slot_first_access_ordered(
     return (
         _positioned_accesses(inputs, start, end, first=True)
         .groupBy("address", "slot_key")
-        .agg(F.min(F.struct(*_POSITION, newest_first, "value")).alias("at"))
+        .agg(agg.earliest(*_POSITION, newest_first, "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
         .withColumn("version", ex.inverse_version())
     )
@@ -114,7 +118,7 @@ def slot_last_access_ordered(
     return (
         _positioned_accesses(inputs, start, end, first=False)
         .groupBy("address", "slot_key")
-        .agg(F.max(F.struct(*_POSITION, "recency", "value")).alias("at"))
+        .agg(agg.latest(*_POSITION, "recency", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
     )
 
@@ -132,7 +136,7 @@ def slot_first_access_success(
     return (
         _successful_slot_accesses(inputs, start, end)
         .groupBy("address", "slot_key")
-        .agg(F.min(F.struct("block_number", "value")).alias("at"))
+        .agg(agg.earliest("block_number", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
         .withColumn("version", ex.inverse_version())
     )
@@ -145,7 +149,7 @@ def slot_last_access_success(
     return (
         _successful_slot_accesses(inputs, start, end)
         .groupBy("address", "slot_key")
-        .agg(F.max(F.struct("block_number", "value")).alias("at"))
+        .agg(agg.latest("block_number", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
     )
 
@@ -298,11 +302,11 @@ def union_life_events(inputs: Inputs, start: Block = None, end: Block = None) ->
     )
 
 
+def life_codes(events: DataFrame) -> DataFrame:
+    """Latest status of every address as packed numbers."""
+    return events.groupBy("address").agg(F.max(ex.life_code()).alias("code"), F.max(ex.wide_life_code()).alias("wide"))
+
+
 def accounts_alive(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
     """Latest life status of every address; dead wins a tie."""
-    return (
-        union_life_events(inputs, start, end)
-        .groupBy("address")
-        .agg(F.max(ex.life_code()).alias("code"), F.max(ex.wide_life_code()).alias("wide"))
-        .select("address", *ex.decoded_life("code", "wide"))
-    )
+    return life_codes(union_life_events(inputs, start, end)).select("address", *ex.decoded_life("code", "wide"))

@@ -319,9 +319,8 @@ def _(i: Inputs) -> DataFrame:
 
 @query("agg_count_distinct")
 def _(i: Inputs) -> DataFrame:
-    return ev.union_diffs(i, None, None).groupBy("address", "block_number").agg(
-        agg.tx_count().alias("tx_count")
-    )
+    once = tables.transactions_once(ev.union_diffs(i, None, None))
+    return once.groupBy("address", "block_number").agg(F.count(F.lit(1)).alias("tx_count"))
 
 
 @query("agg_max")
@@ -388,39 +387,34 @@ def _writes(i: Inputs) -> DataFrame:
 
 @query("agg_argmin_tuple")
 def _(i: Inputs) -> DataFrame:
-    position = ("block_number", "transaction_index", "internal_index")
-    return _writes(i).groupBy("address", "slot").agg(
-        agg.value_at_first("to_value", *position).alias("value")
-    )
+    found = agg.earliest("block_number", "transaction_index", "internal_index", "to_value").alias("at")
+    return _writes(i).groupBy("address", "slot").agg(found).select("address", "slot", F.col("at.to_value").alias("value"))
 
 
 @query("agg_argmax_tuple")
 def _(i: Inputs) -> DataFrame:
-    position = ("block_number", "transaction_index", "internal_index")
-    return _writes(i).groupBy("address", "slot").agg(
-        agg.value_at_last("to_value", *position).alias("value")
-    )
+    found = agg.latest("block_number", "transaction_index", "internal_index", "to_value").alias("at")
+    return _writes(i).groupBy("address", "slot").agg(found).select("address", "slot", F.col("at.to_value").alias("value"))
 
 
 @query("agg_argmin_block")
 def _(i: Inputs) -> DataFrame:
-    return ev.union_storage_accesses(i, None, None).groupBy("address", "slot_key").agg(
-        agg.value_at_first("value", "block_number").alias("value")
-    )
+    accesses = ev.union_storage_accesses(i, None, None)
+    found = agg.earliest("block_number", "value").alias("at")
+    return accesses.groupBy("address", "slot_key").agg(found).select("address", "slot_key", "at.value")
 
 
 @query("agg_argmax_block")
 def _(i: Inputs) -> DataFrame:
-    return ev.union_storage_accesses(i, None, None).groupBy("address", "slot_key").agg(
-        agg.value_at_last("value", "block_number").alias("value")
-    )
+    accesses = ev.union_storage_accesses(i, None, None)
+    found = agg.latest("block_number", "value").alias("at")
+    return accesses.groupBy("address", "slot_key").agg(found).select("address", "slot_key", "at.value")
 
 
 @query("agg_argmax_pessimistic")
 def _(i: Inputs) -> DataFrame:
-    return tables.union_life_events(_with_life_sources(i)).groupBy("address").agg(
-        agg.alive_at_last("is_alive", "block_number", "transaction_index").alias("is_alive")
-    )
+    codes = tables.life_codes(tables.union_life_events(_with_life_sources(i)))
+    return codes.select("address", *ex.decoded_life("code", "wide")).select("address", "is_alive")
 
 
 @query("agg_mergeable")
