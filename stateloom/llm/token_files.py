@@ -24,7 +24,6 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -56,12 +55,6 @@ _SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xA
 _BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a worker."""
-    return WordEncoder(path)
-
-
 class _Places(dict):
     """The place of each word; a word not met before gets the next one and is noted."""
 
@@ -232,8 +225,9 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n and ids (two bytes each) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = WordEncoder(path)  # one for each task: it goes with it, and so do the words it remembers
         for batch, texts in pieces(batches):
-            ids = encoder(path).encode(texts)
+            ids = encoder.encode(texts)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id").cast(pa.int64()),

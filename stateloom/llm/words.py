@@ -8,6 +8,8 @@ at least 0x80 and belongs to a word, which makes byte and character classes agre
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -139,6 +141,14 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, owner
 
 
+def _give_back() -> None:
+    """Return unused memory to the system: workers live on between tasks, several on a machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
 def column_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 of each text; a null is empty."""
     return [v or b"" for v in column.cast(pa.large_binary()).to_pylist()]
@@ -160,3 +170,5 @@ def pieces(
             size += n + 1
         if batch.num_rows:
             yield batch.slice(begin), column_bytes(column.slice(begin))
+        del batch, column
+    _give_back()
