@@ -13,6 +13,28 @@ def normalize_hex(column: str | Column) -> Column:
     return F.lower(column)
 
 
+def spread(*columns: str | Column) -> Column:
+    """A number that is equal for equal keys and nearly always different for others.
+
+    In front of keys it settles nearly every comparison of a sort; the keys behind it decide.
+    """
+    return F.xxhash64(*columns)
+
+
+def digest(*columns: str | Column) -> tuple[Column, Column]:
+    """128 bits that stand for some columns where only their identity matters; a null differs from all values."""
+    values = [F.col(c) if isinstance(c, str) else c for c in columns]
+    marked = [*values, *(v.isNull() for v in values)]
+    return F.xxhash64(*marked), F.xxhash64(F.lit(1), *marked)
+
+
+def transaction_id(transaction_hash: str | Column = "transaction_hash") -> tuple[Column, Column]:
+    """128 bits that stand for a transaction, spelled in any case; null without a hash, so that it joins nothing."""
+    spelled = normalize_hex(transaction_hash)
+    first, second = digest(spelled)
+    return F.when(spelled.isNotNull(), first).alias("tx_1"), F.when(spelled.isNotNull(), second).alias("tx_2")
+
+
 def slot_transition(from_value: str = "from_value", to_value: str = "to_value") -> Column:
     """1 when a write fills an empty slot, -1 when it empties one, else 0."""
     was_empty = F.col(from_value) == ZERO_WORD

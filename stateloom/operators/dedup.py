@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.operators.grouping import per_key
+
 
 def latest_per_key(
     df: DataFrame,
@@ -25,8 +27,8 @@ def latest_per_key(
     if values is None:
         values = [c for c in df.columns if c not in keys and c not in versions]
     if not values:
-        return df.select(*keys).distinct()
-    newest = df.groupBy(*keys).agg(F.max(F.struct(*versions, *values)).alias("newest"))
+        return per_key(df, keys)
+    newest = per_key(df, keys, F.max(F.struct(*versions, *values)).alias("newest"))
     return newest.select(*keys, *(F.col(f"newest.{c}").alias(c) for c in values))
 
 
@@ -36,9 +38,11 @@ def merge_state(
     """Merge new rows into one-row-per-key state; the highest version wins."""
     versions = [version] if isinstance(version, str) else list(version)
     merged = state.unionByName(new)
-    newest = merged.groupBy(*keys).agg(
+    newest = per_key(
+        merged,
+        keys,
         F.max(F.struct(*versions, *(c for c in state.columns if c not in keys and c not in versions)))
-        .alias("newest")
+        .alias("newest"),
     )
     return newest.select(
         *(c if c in keys else F.col(f"newest.{c}").alias(c) for c in state.columns)

@@ -8,10 +8,22 @@ where adaptive execution splits the partitions of a hot hash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stateloom.functions.expressions import normalize_hex
+from stateloom.functions.expressions import normalize_hex, spread
+
+
+def _same(left: Column, right: str) -> Column:
+    """Equal hashes. The number of each leads, so that the sorts of a shuffle join compare numbers."""
+    return (spread(left) == spread(right)) & (left == F.col(right))
+
+
+def join_tx(events: DataFrame, transactions: DataFrame, how: str = "inner") -> DataFrame:
+    """Events of the given transactions, both with the numbers of ``transaction_id`` and without words."""
+    renamed = transactions.withColumnsRenamed({"tx_1": "successful_1", "tx_2": "successful_2"})
+    same = (F.col("tx_1") == F.col("successful_1")) & (F.col("tx_2") == F.col("successful_2"))
+    return events.join(renamed, same, how).drop("successful_1", "successful_2")
 
 
 def join_tx_index(events: DataFrame, tx_index: DataFrame) -> DataFrame:
@@ -19,7 +31,8 @@ def join_tx_index(events: DataFrame, tx_index: DataFrame) -> DataFrame:
 
     ``tx_index`` must hold each hash once.
     """
-    return events.join(tx_index, "transaction_hash")
+    indexed = tx_index.withColumnRenamed("transaction_hash", "successful")
+    return events.join(indexed, _same(F.col("transaction_hash"), "successful")).drop("successful")
 
 
 def semi_tx_success(events: DataFrame, tx_hashes: DataFrame, raw: bool = False) -> DataFrame:
@@ -28,12 +41,9 @@ def semi_tx_success(events: DataFrame, tx_hashes: DataFrame, raw: bool = False)
     ``raw`` events still carry the hash as stored. Comparing it normalised here,
     on a stored column, is what lets Spark move the join below a grouping by it.
     """
-    if not raw:
-        return events.join(tx_hashes, "transaction_hash", "left_semi")
     successful = tx_hashes.select(F.col("transaction_hash").alias("successful"))
-    return events.join(
-        successful, normalize_hex("transaction_hash") == F.col("successful"), "left_semi"
-    )
+    stored = F.col("transaction_hash")
+    return events.join(successful, _same(normalize_hex(stored) if raw else stored, "successful"), "left_semi")
 
 
 def left_join_creation(destructs: DataFrame, creations: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stateloom.functions.expressions import is_destruct, moved_nothing, normalize_hex, read_position
+from stateloom.functions.expressions import is_destruct, moved_nothing, normalize_hex, read_position, transaction_id
 from stateloom.operators.blocks import fork_window
 from stateloom.operators.dedup import latest_per_key
+from stateloom.operators.grouping import per_key
+from stateloom.operators.joins import semi_tx_success
 from stateloom.operators.unions import union_all
 from stateloom.schemas import Forks
 from stateloom.sources.inputs import Inputs
@@ -42,18 +44,28 @@ def tx_hashes(inputs: Inputs, start: Block, end: Block) -> DataFrame:
 def tx_index(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     """Index per hash, each hash once, so that an inner join never repeats an event.
 
-    The second grouping key follows from the first. It keeps the partitioning of
-    this step from being taken over by a shuffle join: only a join side that is
-    shuffled for the join can be cut up when one hash has most of the events.
+    The number that leads the hash in this grouping keeps its partitioning from being
+    taken over by a shuffle join: only a join side that is shuffled for the join can be
+    cut up when one hash has most of the events.
     """
-    return (
-        filter_tx_success(inputs, start, end)
-        .groupBy("transaction_hash", F.xxhash64("transaction_hash").alias("spread"))
-        .agg(F.max("transaction_index").alias("transaction_index"))
-        .drop("spread")
+    return per_key(
+        filter_tx_success(inputs, start, end),
+        ["transaction_hash"],
+        F.max("transaction_index").alias("transaction_index"),
     )
 
 
+def tx_ids(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+    """The successful transactions by their numbers, for a semi join."""
+    return filter_tx_success(inputs, start, end).select(*transaction_id())
+
+
+def tx_id_index(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+    """``tx_index`` by numbers in place of hashes."""
+    found = filter_tx_success(inputs, start, end).select(*transaction_id(), "transaction_index")
+    return per_key(found, ["tx_1", "tx_2"], F.max("transaction_index").alias("transaction_index"))
+
+
 def address_events(
     inputs: Inputs, name: str, start: Block, end: Block, address: str = "address", merged: bool = False
 ) -> DataFrame:
@@ -126,6 +138,23 @@ def union_storage_accesses(inputs: Inputs, start: Block, end: Block) -> DataFram
     return union_all(slot_writes(inputs, start, end), slot_reads(inputs, start, end))
 
 
+def successful_storage_accesses(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+    """Slot accesses of successful transactions.
+
+    Where the key of a log holds the hash, all copies of a row are of one transaction: the
+    others leave before copies are merged, which then sorts fewer rows.
+    """
+    hashes = tx_hashes(inputs, start, end)
+
+    def kept(name: str, accesses) -> DataFrame:
+        if name in inputs.versions and "transaction_hash" in inputs.keys[name]:
+            rows = semi_tx_success(inputs.scan(name, start, end), hashes, raw=True)
+            return accesses(inputs.with_tables({name: rows}), start, end)
+        return semi_tx_success(accesses(inputs, start, end), hashes)
+
+    return union_all(kept("storage_diffs", slot_writes), kept("storage_reads", slot_reads))
+
+
 def positioned_writes(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     """Storage writes with their position in the block.
 

@@ -13,7 +13,8 @@ from stateloom import schemas
 from stateloom.functions import aggregates as agg
 from stateloom.functions import expressions as ex
 from stateloom.operators.blocks import fork_window
-from stateloom.operators.joins import join_tx_index, left_join_creation, semi_tx_success
+from stateloom.operators.grouping import per_key
+from stateloom.operators.joins import join_tx, join_tx_index, left_join_creation, semi_tx_success
 from stateloom.operators.unions import union_all
 from stateloom.plans import events as ev
 from stateloom.plans.events import Block
@@ -23,38 +24,45 @@ from stateloom.sources.inputs import Inputs
 
 def transactions_once(events: DataFrame) -> DataFrame:
     """Each transaction of an address and block once: counting these rows equals a distinct count."""
-    return events.select("address", "block_number", "transaction_hash").distinct()
+    return per_key(events, ["address", "block_number", "transaction_hash"])
 
 
-def _transactions_per_block(events: DataFrame, tx_index: DataFrame) -> DataFrame:
+def _identified(events: DataFrame) -> DataFrame:
+    """Events by the numbers of their transactions, which lead: a sort by them settles at the first."""
+    return events.select(*ex.transaction_id(), "address", "block_number")
+
+
+def _transactions_per_block(events: DataFrame, tx_id_index: DataFrame) -> DataFrame:
     """Distinct transactions and the last index per address and block.
 
-    Repeats are dropped before the join: one transaction writes many slots of
-    one address, so far fewer rows travel, and a hash or an address with a large
-    share of all rows shrinks inside the map tasks. What is left is unique, and
-    counting it equals a distinct count.
+    A transaction is 128 bits here and not a word of text: rows that are nearly all
+    different fill the memory of an aggregate, and half of it is spared. Repeats are
+    dropped before the join: one transaction writes many slots of one address, so far
+    fewer rows travel, and a hash or an address with a large share of all rows shrinks
+    inside the map tasks. What is left is unique, and counting it equals a distinct count.
     """
     return (
-        join_tx_index(transactions_once(events), tx_index)
-        .groupBy("address", "block_number")
+        join_tx(_identified(events).distinct(), tx_id_index)
+        .groupBy("block_number", "address")
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
             F.max("transaction_index").alias("last_tx_index"),
         )
+        .select(*schemas.ADDRESS_DIFFS.fieldNames())
     )
 
 
 def address_diffs(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
     """Transactions that changed an address, per block."""
     return _transactions_per_block(
-        ev.union_diffs(inputs, start, end), ev.tx_index(inputs, start, end)
+        ev.union_diffs(inputs, start, end), ev.tx_id_index(inputs, start, end)
     )
 
 
 def address_reads(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
     """Transactions that read an address, per block."""
     return _transactions_per_block(
-        ev.union_reads(inputs, start, end), ev.tx_index(inputs, start, end)
+        ev.union_reads(inputs, start, end), ev.tx_id_index(inputs, start, end)
     )
 
 
@@ -66,10 +74,10 @@ def _block_per_address(inputs: Inputs, start: Block, end: Block, pick) -> DataFr
     that step exactly when the transactions are small enough to broadcast; then it
     filters every log where it is read.
     """
-    events = ev.union_accesses(inputs, start, end)
+    events = _identified(ev.union_accesses(inputs, start, end))
     block = pick("block_number").alias("block_number")
-    once = events.groupBy("address", "transaction_hash").agg(block)
-    return semi_tx_success(once, ev.tx_hashes(inputs, start, end)).groupBy("address").agg(block)
+    once = events.groupBy("tx_1", "tx_2", "address").agg(block)
+    return per_key(join_tx(once, ev.tx_ids(inputs, start, end), "left_semi"), ["address"], block)
 
 
 def address_first_access(
@@ -94,6 +102,7 @@ def _positioned_accesses(inputs: Inputs, start: Block, end: Block, first: bool)
     )
 
 
+_SLOT = ("address", "slot_key")
 _POSITION = ("block_number", "transaction_index", "internal_index")
 
 
@@ -102,10 +111,9 @@ def slot_first_access_ordered(
 ) -> DataFrame:
     """First access of a slot in execution order; a write beats a read of its block."""
     newest_first = (-F.col("recency")).alias("age")
+    accesses = _positioned_accesses(inputs, start, end, first=True)
     return (
-        _positioned_accesses(inputs, start, end, first=True)
-        .groupBy("address", "slot_key")
-        .agg(agg.earliest(*_POSITION, newest_first, "value").alias("at"))
+        per_key(accesses, _SLOT, agg.earliest(*_POSITION, newest_first, "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
         .withColumn("version", ex.inverse_version())
     )
@@ -115,28 +123,20 @@ def slot_last_access_ordered(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """Last access of a slot in execution order; a write beats a read of its block."""
+    accesses = _positioned_accesses(inputs, start, end, first=False)
     return (
-        _positioned_accesses(inputs, start, end, first=False)
-        .groupBy("address", "slot_key")
-        .agg(agg.latest(*_POSITION, "recency", "value").alias("at"))
+        per_key(accesses, _SLOT, agg.latest(*_POSITION, "recency", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
     )
 
 
-def _successful_slot_accesses(inputs: Inputs, start: Block, end: Block) -> DataFrame:
-    return semi_tx_success(
-        ev.union_storage_accesses(inputs, start, end), ev.tx_hashes(inputs, start, end)
-    )
-
-
 def slot_first_access_success(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """First access of a slot by a successful transaction, in block order."""
+    accesses = ev.successful_storage_accesses(inputs, start, end)
     return (
-        _successful_slot_accesses(inputs, start, end)
-        .groupBy("address", "slot_key")
-        .agg(agg.earliest("block_number", "value").alias("at"))
+        per_key(accesses, _SLOT, agg.earliest("block_number", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
         .withColumn("version", ex.inverse_version())
     )
@@ -146,10 +146,9 @@ def slot_last_access_success(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """Last access of a slot by a successful transaction, in block order."""
+    accesses = ev.successful_storage_accesses(inputs, start, end)
     return (
-        _successful_slot_accesses(inputs, start, end)
-        .groupBy("address", "slot_key")
-        .agg(agg.latest("block_number", "value").alias("at"))
+        per_key(accesses, _SLOT, agg.latest("block_number", "value").alias("at"))
         .select("address", "slot_key", "at.block_number", "at.value")
     )
 
@@ -159,24 +158,33 @@ def slot_changes(inputs: Inputs, start: Block = None, end: Block = None) -> Data
 
     The newest copy of a write decides. Only the newest version of each outcome
     travels through the merge, not the two words of text, and plain maxima of
-    numbers keep it a hash aggregate. The semi join comes after the merge: Spark
+    numbers keep it a hash aggregate. Nor do the words of its key travel, but for
+    the address: 128 bits stand for the key and 128 for the transaction, since the
+    merge holds nearly every row apart. The semi join comes after the merge: Spark
     moves it below exactly when the transactions are small enough to broadcast.
     """
+    return _slot_changes(inputs, start, end, "address", "block_number")
+
+
+def _slot_changes(inputs: Inputs, start: Block, end: Block, *columns: str) -> DataFrame:
+    keys = inputs.keys["storage_diffs"]
     version = inputs.versions.get("storage_diffs")
-    copies = inputs.scan("storage_diffs", start, end).withColumns(
-        {
-            "transition": ex.slot_transition(),
-            "copy": F.col(version) if version else F.lit(0),
-        }
+    first, second = ex.digest(*keys)
+    copies = inputs.scan("storage_diffs", start, end).select(
+        first.alias(f"{keys[0]}_digest_1"),
+        second.alias(f"{keys[0]}_digest_2"),
+        *ex.transaction_id(),
+        *(ex.normalize_hex(c).alias(c) if c == "address" else F.col(c) for c in columns),
+        ex.slot_transition().alias("transition"),
+        (F.col(version) if version else F.lit(0)).alias("copy"),
     )
-    writes = copies.groupBy(*inputs.keys["storage_diffs"]).agg(
+    writes = copies.groupBy(*(c for c in copies.columns if c not in ("transition", "copy"))).agg(
         F.max("copy").alias("newest"),
         F.max(F.when(F.col("transition") == 1, F.col("copy"))).alias("newest_set"),
         F.max(F.when(F.col("transition") == -1, F.col("copy"))).alias("newest_cleared"),
     )
-    return semi_tx_success(writes, ev.tx_hashes(inputs, start, end), raw=True).select(
-        ex.normalize_hex("address").alias("address"),
-        "block_number",
+    return join_tx(writes, ev.tx_ids(inputs, start, end), "left_semi").select(
+        *columns,
         F.when(F.col("newest_set") == F.col("newest"), 1)
         .when(F.col("newest_cleared") == F.col("newest"), -1)
         .otherwise(0)
@@ -196,15 +204,16 @@ def address_slots_stat_per_block(
     """Slots set, cleared and net, per address and block."""
     return _with_net(
         slot_changes(inputs, start, end)
-        .groupBy("address", "block_number")
+        .groupBy("block_number", "address")
         .agg(agg.slots_cleared().alias("slots_cleared"), agg.slots_set().alias("slots_set"))
+        .select("address", "block_number", "slots_cleared", "slots_set")
     )
 
 
 def block_slots_stat(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
     """Slots set, cleared and net, per block, from the raw writes."""
     return _with_net(
-        slot_changes(inputs, start, end)
+        _slot_changes(inputs, start, end, "block_number")
         .groupBy("block_number")
         .agg(agg.slots_cleared().alias("slots_cleared"), agg.slots_set().alias("slots_set"))
     )
@@ -225,7 +234,7 @@ def block_slots_stat_rollup(
 
 
 def _destruct_keys(events: DataFrame) -> DataFrame:
-    return events.select("address", "block_number", "transaction_hash").distinct()
+    return per_key(events, ["address", "block_number", "transaction_hash"])
 
 
 def pre_fork_destructs(
@@ -304,7 +313,7 @@ def union_life_events(inputs: Inputs, start: Block = None, end: Block = None) ->
 
 def life_codes(events: DataFrame) -> DataFrame:
     """Latest status of every address as packed numbers."""
-    return events.groupBy("address").agg(F.max(ex.life_code()).alias("code"), F.max(ex.wide_life_code()).alias("wide"))
+    return per_key(events, ["address"], F.max(ex.life_code()).alias("code"), F.max(ex.wide_life_code()).alias("wide"))
 
 
 def accounts_alive(inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET) -> DataFrame:
