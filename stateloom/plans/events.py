@@ -60,6 +60,11 @@ def tx_ids(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     return filter_tx_success(inputs, start, end).select(*transaction_id())
 
 
+def tx_ids_once(inputs: Inputs, start: Block, end: Block) -> DataFrame:
+    """``tx_ids`` without repeats, for an inner join, which Spark does not take apart over a union as it does a semi join."""
+    return per_key(tx_ids(inputs, start, end), ["tx_1", "tx_2"])
+
+
 def tx_id_index(inputs: Inputs, start: Block, end: Block) -> DataFrame:
     """``tx_index`` by numbers in place of hashes."""
     found = filter_tx_success(inputs, start, end).select(*transaction_id(), "transaction_index")

@@ -36,13 +36,14 @@ def _transactions_per_block(events: DataFrame, tx_id_index: DataFrame) -> DataFr
     """Distinct transactions and the last index per address and block.
 
     A transaction is 128 bits here and not a word of text: rows that are nearly all
-    different fill the memory of an aggregate, and half of it is spared. Repeats are
-    dropped before the join: one transaction writes many slots of one address, so far
-    fewer rows travel, and a hash or an address with a large share of all rows shrinks
-    inside the map tasks. What is left is unique, and counting it equals a distinct count.
+    different fill the memory of an aggregate, and half of it is spared. Events travel
+    twice: to their transactions, and what is left of them to their address and block,
+    where repeats are dropped and the rest is counted without another shuffle.
     """
     return (
-        join_tx(_identified(events).distinct(), tx_id_index)
+        join_tx(_identified(events), tx_id_index)
+        .repartition("block_number", "address")
+        .distinct()
         .groupBy("block_number", "address")
         .agg(
             F.count(F.lit(1)).alias("tx_count"),
@@ -69,15 +70,13 @@ def address_reads(inputs: Inputs, start: Block = None, end: Block = None, forks:
 def _block_per_address(inputs: Inputs, start: Block, end: Block, pick) -> DataFrame:
     """The first or last block of every address over the successful transactions.
 
-    The logs are first reduced to one row per address and transaction, so that this
-    and not every single access travels to the join. Spark moves the semi join below
-    that step exactly when the transactions are small enough to broadcast; then it
-    filters every log where it is read.
+    Events travel to their transactions as they are, and behind the join an address
+    leaves every task as one row. The first and the last blocks of one range have that
+    shuffle in common, which Spark then runs once for both.
     """
     events = _identified(ev.union_accesses(inputs, start, end))
     block = pick("block_number").alias("block_number")
-    once = events.groupBy("tx_1", "tx_2", "address").agg(block)
-    return per_key(join_tx(once, ev.tx_ids(inputs, start, end), "left_semi"), ["address"], block)
+    return per_key(join_tx(events, ev.tx_ids_once(inputs, start, end)), ["address"], block)
 
 
 def address_first_access(
