@@ -15,20 +15,21 @@ def latest_per_key(
     keys: Sequence[str],
     version: str | Sequence[str] | None = None,
     values: Sequence[str] | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Keep the newest row of every key.
 
     Without a version all copies of a key count as equally new. Ties are settled
     by the remaining columns, so the result does not depend on task order. The
     maximum is combined on the map side: a key holding a large share of all rows
-    leaves every task as one row.
+    leaves every task as one row. ``few`` says that no key has many, and spares that.
     """
     versions = [version] if isinstance(version, str) else list(version or [])
     if values is None:
         values = [c for c in df.columns if c not in keys and c not in versions]
     if not values:
         return per_key(df, keys)
-    newest = per_key(df, keys, F.max(F.struct(*versions, *values)).alias("newest"))
+    newest = per_key(df, keys, F.max(F.struct(*versions, *values)).alias("newest"), few=few)
     return newest.select(*keys, *(F.col(f"newest.{c}").alias(c) for c in values))
 
 

@@ -111,7 +111,7 @@ class Inputs:
         """The newest copy of every row of a range: its keys and the named columns."""
         keys = self.keys[name]
         values = [c for c in columns or self.table(name).columns if c not in keys]
-        return latest_per_key(self.scan(name, start, end), keys, self.versions.get(name), values)
+        return latest_per_key(self.scan(name, start, end), keys, self.versions.get(name), values, few=True)
 
     def current(
         self, name: str, start: int | None = None, end: int | None = None, *columns: str

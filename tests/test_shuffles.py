@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from micro import diff, make, rows, tx
+from micro import diff, make, rows, tx, write
 from test_plans import conf, no_broadcast, plan
 
 from stateloom.operators.unions import union_all
+from stateloom.plans import events as ev
 from stateloom.plans import tables
 
 
@@ -52,3 +53,13 @@ def test_repeats_of_a_transaction_count_once(spark):
     assert rows(tables.address_diffs(i)) == want
     with no_broadcast(spark):
         assert rows(tables.address_diffs(i)) == want
+
+
+def test_copies_are_sorted_once_behind_their_shuffle(spark):
+    writes = [write("0xa", "s", 5, v=1), write("0xa", "s", 5, v=2, new="0x2"), write("0xa", "s", 6, v=1), write(None, None, 7, v=1)]
+    i = make(spark, versions={"storage_diffs": "v"}, transaction=[tx(5, 0), tx(6, 0, success=False), tx(7, 0)], storage_diffs=writes)
+    text = plan(i.latest("storage_diffs", None, None, "to_value"))
+    assert text.count("Sort [") == 1 and text.index("Sort [") < text.index("Exchange hashpartitioning(address_spread")
+    got = rows(i.latest("storage_diffs", None, None, "to_value"), "block_number", "to_value")
+    assert len(got) == 3 and (5, "0x2") in got
+    assert rows(ev.successful_storage_accesses(i, None, None), "block_number")
