@@ -55,7 +55,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.contract(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return token_files.contract(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=True)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

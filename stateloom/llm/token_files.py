@@ -117,6 +117,8 @@ class WordEncoder:
             self._forget(KEPT_WORDS // 2)
         words: list[str] = []
         counts, whole = [], {}
+        if len(self.place) != len(self.sizes):  # a batch broke off behind noting its words
+            self._forget()
         for i, raw in enumerate(texts):
             text = raw.decode()
             if any(s in text for s in _WHOLE) or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
@@ -221,11 +223,24 @@ class Code:
         return out.T[np.arange(STEP) < sizes[:, None]]
 
 
-def _encoded(docs: DataFrame, path: str) -> DataFrame:
+#: Encoders that a worker keeps between tasks, with the words they remember.
+_KEPT: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str, keep: bool) -> WordEncoder:
+    if not keep:  # it goes with the task, and so do its words
+        return WordEncoder(path)
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = WordEncoder(path)
+    return _KEPT[path]
+
+
+def _encoded(docs: DataFrame, path: str, keep: bool) -> DataFrame:
     """doc_id, n and ids (two bytes each) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)  # one for each task: it goes with it, and so do the words it remembers
+        encoder = _encoder(path, keep)
         for batch, texts in pieces(batches):
             ids = encoder.encode(texts)
             yield pa.record_batch(
@@ -256,15 +271,19 @@ def _counts(encoded: DataFrame, vocabulary: int) -> np.ndarray:
 _BLOCKS = "shard int, block int, start long, doc_ids array<long>, lengths array<long>, checkpoints array<long>, payload binary"
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
-    """Encode all texts and write them as a set of files under ``path``, ordered by doc_id."""
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, keep: bool = False) -> None:
+    """Encode all texts and write them as a set of files under ``path``, ordered by doc_id.
+
+    ``keep`` has workers keep their encoder between tasks: words are learned once a worker
+    and not once a task, for the memory of ``KEPT_WORDS`` words as long as the worker lives.
+    """
     spark = docs.sparkSession
     folder = shared_dir(spark)
     vocabulary = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
     if vocabulary > 1 << 16:
         raise ValueError("ids of more than two bytes")
     # Stored once, since encoding costs more than reading back.
-    encoded = stored(_encoded(docs, tokenizer), folder, "ids")
+    encoded = stored(_encoded(docs, tokenizer, keep), folder, "ids")
     bits = code_lengths(_counts(encoded, vocabulary))
     sent = spark.sparkContext.broadcast(bits)
     spark.createDataFrame(pa.table({"id": np.arange(vocabulary), "bits": bits})).coalesce(1).write.parquet(f"{path}/codebook")
@@ -375,8 +394,8 @@ def _decoded(batches: Iterator[pa.RecordBatch], code: Code, most: int = 1 << 20)
             yield some(rows)
 
 
-def contract(docs: DataFrame, tokenizer: str) -> DataFrame:
+def contract(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFrame:
     """Write all documents as token files and read back doc_id, start, n_tokens and ids_crc32."""
     path = f"{shared_dir(docs.sparkSession)}/tokens"
-    write_token_files(docs, path, tokenizer)
+    write_token_files(docs, path, tokenizer, keep)
     return digest(docs.sparkSession, path)
