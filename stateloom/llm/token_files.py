@@ -21,6 +21,7 @@ other; rows of a null id come first.
 
 from __future__ import annotations
 
+import codecs
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -43,6 +44,10 @@ STEP = 256
 BLOCK_IDS = 1 << 16
 #: Different words whose ids a worker keeps, about.
 KEPT_WORDS = 250_000
+#: As many where it keeps its encoder between tasks.
+KEPT_LONG = 500_000
+#: Different runs of marks whose ids an encoder keeps.
+KEPT_MARKS = 10_000
 #: The tokenizer's own pattern of words (a fixed value of its file).
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Texts with one of these go to the library whole: special strings, a letter whose lower
@@ -52,7 +57,10 @@ _WHOLE = ("<|startoftext|>", "<|endoftext|>", "Σ", "\x1c", "\x1d", "\x1e", "\x1
 
 #: The printable letter that stands for each byte in the model (byte-level BPE's own order).
 _SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
-_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_HIDDEN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_BYTE_LETTERS = "".join(chr(_HIDDEN.get(b, b)) for b in range(256))
+#: What often stands behind a word, as one pre-token if it holds no letter and no digit.
+_MARKS = "".join(chr(b) for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
 class _Places(dict):
@@ -74,9 +82,11 @@ class WordEncoder:
     white space has the same ids in any text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.kept = kept
+        self.marks: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self, keep: int = 0) -> None:
@@ -90,18 +100,34 @@ class WordEncoder:
             n = self.sizes[kept]
             ends = np.cumsum(n)
             self.flat = self.flat[np.repeat(self.starts[kept] - ends + n, n) + np.arange(int(n.sum()))]
-            self.sizes, self.uses = n, self.uses[kept]
+            self.sizes, self.uses, self.starts = n, self.uses[kept], ends - n
         else:
             self.flat, self.sizes, self.uses = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _part(self, part: str) -> list[int]:
+        """Ids of a pre-token by the library's model, which takes it in its byte letters."""
+        if not (part.isascii() and part.isprintable()):
+            part = codecs.charmap_decode(part.encode(), "strict", _BYTE_LETTERS)[0]
+        return [token.id for token in self.model.tokenize(part)]
+
     def _ids(self, word: str) -> list[int]:
-        """Ids of a word by the library's model, which takes pre-tokens in its byte letters."""
-        out: list[int] = []
-        for part in (word,) if word.isalpha() else _WORDS.findall(word):
-            if not (part.isascii() and part.isprintable()):
-                part = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            out += [token.id for token in self.model.tokenize(part)]
-        return out
+        """Ids of a word. Letters with marks behind them are two pre-tokens, often known each."""
+        if word.isalpha():
+            return self._part(word)
+        stem = word.rstrip(_MARKS)
+        if not stem.isalpha():
+            return [i for part in _WORDS.findall(word) for i in self._part(part)]
+        marks = word[len(stem) :]
+        behind = self.marks.get(marks)
+        if behind is None:
+            if len(self.marks) >= KEPT_MARKS:
+                self.marks.clear()
+            behind = self.marks[marks] = self._part(marks)
+        at = self.place.get(stem, len(self.sizes))
+        if at < len(self.sizes):
+            begin = self.starts[at]
+            return self.flat[begin : begin + self.sizes[at]].tolist() + behind
+        return self._part(stem) + behind
 
     def _learn(self) -> None:
         """Ids of the words noted."""
@@ -113,8 +139,8 @@ class WordEncoder:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.place) > KEPT_WORDS:
-            self._forget(KEPT_WORDS // 2)
+        if len(self.place) > self.kept:
+            self._forget(self.kept // 2)
         words: list[str] = []
         counts, whole = [], {}
         if len(self.place) != len(self.sizes):  # a batch broke off behind noting its words
@@ -232,7 +258,7 @@ def _encoder(path: str, keep: bool) -> WordEncoder:
         return WordEncoder(path)
     if path not in _KEPT:
         _KEPT.clear()
-        _KEPT[path] = WordEncoder(path)
+        _KEPT[path] = WordEncoder(path, KEPT_LONG)
     return _KEPT[path]
 
 
