@@ -52,7 +52,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 #: Bytes of an Arrow batch between Spark and Python: batches of long texts take several times as much in buffers.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def _in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):

@@ -70,8 +70,6 @@ class _Sized:
         self.items = np.array(items)
         self.shingles = np.unique(np.concatenate(sets))
         self.sets = [Counter(s.tolist()) for s in sets]
-        self.prefix = np.zeros(1 << _PREFIX, bool)
-        self.prefix[self.shingles >> np.uint64(64 - _PREFIX)] = True
         flat = np.concatenate(sets)
         starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
         self.prints = _fingerprints(flat, starts, np.array([len(s) for s in sets]))
@@ -139,8 +137,7 @@ class Index:
             hit = np.flatnonzero(whole & self.prefix[g >> np.uint64(64 - _PREFIX)])
             hit = hit[np.isin(g[hit], self.known)]
             for sized in (s for s in self.sized if s.order == order) if len(hit) else ():
-                own = hit[sized.prefix[g[hit] >> np.uint64(64 - _PREFIX)]]
-                own = own[np.isin(g[own], sized.shingles)]
+                own = hit[np.isin(g[hit], sized.shingles)]
                 if len(own):
                     self._compare(sized, g, words, owner, own, best)
         return [(t, i, *found) for (t, i), found in best.items()]
