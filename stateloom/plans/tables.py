@@ -67,30 +67,40 @@ def address_reads(inputs: Inputs, start: Block = None, end: Block = None, forks:
     )
 
 
-def _block_per_address(inputs: Inputs, start: Block, end: Block, pick) -> DataFrame:
-    """The first or last block of every address over the successful transactions.
+def successful_accesses(inputs: Inputs, start: Block = None, end: Block = None) -> DataFrame:
+    """Address and block of every access by a successful transaction, in any number of copies.
 
-    Events travel to their transactions as they are, and behind the join an address
-    leaves every task as one row. The first and the last blocks of one range have that
-    shuffle in common, which Spark then runs once for both.
+    Events travel to their transactions as they are. The first and the last blocks of one
+    range have that shuffle in common, which Spark then runs once for both.
     """
     events = _identified(ev.union_accesses(inputs, start, end))
-    block = pick("block_number").alias("block_number")
-    return per_key(join_tx(events, ev.tx_ids_once(inputs, start, end)), ["address"], block)
+    return join_tx(events, ev.tx_ids_once(inputs, start, end)).select("address", "block_number")
+
+
+def first_blocks(accesses: DataFrame) -> DataFrame:
+    """The first block of every address; an address leaves every task as one row."""
+    found = per_key(accesses, ["address"], F.min("block_number").alias("block_number"))
+    return found.withColumn("version", ex.inverse_version())
+
+
+def last_blocks(accesses: DataFrame) -> DataFrame:
+    """The last block of every address; an address leaves every task as one row."""
+    found = per_key(accesses, ["address"], F.max("block_number").alias("block_number"))
+    return found.withColumn("is_deleted", F.lit(False))
 
 
 def address_first_access(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """First block in which a successful transaction touched an address."""
-    return _block_per_address(inputs, start, end, F.min).withColumn("version", ex.inverse_version())
+    return first_blocks(successful_accesses(inputs, start, end))
 
 
 def address_last_access(
     inputs: Inputs, start: Block = None, end: Block = None, forks: Forks = MAINNET
 ) -> DataFrame:
     """Last block in which a successful transaction touched an address."""
-    return _block_per_address(inputs, start, end, F.max).withColumn("is_deleted", F.lit(False))
+    return last_blocks(successful_accesses(inputs, start, end))
 
 
 def _positioned_accesses(inputs: Inputs, start: Block, end: Block, first: bool) -> DataFrame:
