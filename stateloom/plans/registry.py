@@ -55,6 +55,7 @@ class TableSpec:
     how far it can be built (all inputs unless stated). Facts are stored by
     buckets of ``bucket_width`` blocks, state by ``keys`` with the highest
     ``version`` winning. ``window`` is the part of a range that has any rows.
+    ``spread_out`` says that the plan ends behind a shuffle by several columns.
     """
 
     key: str
@@ -70,6 +71,7 @@ class TableSpec:
     note: Callable[[int, int, Forks], str] = _no_note
     window: Callable[[int, int, Forks], tuple | None] = _whole_range
     info: Mapping[str, Any] = field(default_factory=dict)
+    spread_out: bool = False
 
     def __post_init__(self):
         if self.kind not in (FACTS, STATE):
@@ -85,7 +87,7 @@ class TableSpec:
 _DIFFS = ("balance_diffs", "storage_diffs", "nonce_diffs", "contracts")
 _READS = ("balance_reads", "nonce_reads", "storage_reads")
 _SLOTS = ("storage_diffs", "storage_reads", "transaction")
-_ADDRESS_FACT = dict(kind=FACTS, keys=("address", "block_number"))
+_ADDRESS_FACT = dict(kind=FACTS, keys=("address", "block_number"), spread_out=True)
 _ADDRESS_STATE = dict(kind=STATE, keys=("address",))
 _SLOT_STATE = dict(kind=STATE, keys=("address", "slot_key"))
 _DESTRUCT_FACT = dict(kind=FACTS, keys=("address", "block_number", "transaction_hash"))

@@ -41,12 +41,15 @@ def read_block_facts(spark: SparkSession, path: str, schema: StructType) -> Data
 
 
 def write_block_facts(
-    df: DataFrame, path: str, start: int, end: int, width: int, sort_by: Sequence[str]
+    df: DataFrame, path: str, start: int, end: int, width: int, sort_by: Sequence[str], spread_out: bool = False
 ) -> int:
     """Replace the buckets of a block range by the given rows; returns their number.
 
     The range must cover whole buckets (the last one may end early when nothing
-    beyond it was ever written): a replaced bucket holds exactly these rows.
+    beyond it was ever written): a replaced bucket holds exactly these rows. Rows that
+    are ``spread_out``, as those behind a grouping by several columns, are written by the
+    tasks that have them where all are of one bucket: dealing them out by it would bring
+    them together again.
     """
     if start % width:
         raise ValueError(f"range {start}-{end} does not begin at a bucket of {width} blocks")
@@ -56,7 +59,12 @@ def write_block_facts(
     touched = [f"{path}/{BUCKET}={b}" for b in sorted(present) if first <= b <= last]
     before = {bucket: files.children(spark, bucket) for bucket in touched}
 
-    rows, seen = _counted(block_bucket_layout(in_range(df, start, end), width, sort_by))
+    cut = in_range(df, start, end)
+    if spread_out and first == last:
+        placed = cut.sortWithinPartitions(*sort_by).withColumn(BUCKET, F.lit(first).cast("long"))
+    else:
+        placed = block_bucket_layout(cut, width, sort_by)
+    rows, seen = _counted(placed)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -262,7 +262,7 @@ class Warehouse:
         rows = spec.build(self._inputs_of(spec), *window, self.forks)
         if spec.kind == FACTS:
             return write_block_facts(
-                rows, self.path(spec.key), lower, upper, spec.bucket_width, spec.keys
+                rows, self.path(spec.key), lower, upper, spec.bucket_width, spec.keys, spec.spread_out
             )
         return self._state(spec).append(rows, lower, upper, run_id)
 
