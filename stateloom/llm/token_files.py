@@ -22,6 +22,7 @@ other; rows of a null id come first.
 from __future__ import annotations
 
 import codecs
+import functools
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,15 +36,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stateloom.llm.storage import stored
-from stateloom.llm.words import pieces
+from stateloom.llm.words import give_back, pieces
 from stateloom.sources.files import shared_dir
 
 END_ID = 1
 MAX_BITS = 20
 STEP = 256
 BLOCK_IDS = 1 << 16
-#: Different words whose ids a worker keeps, about.
-KEPT_WORDS = 250_000
+#: Different words whose ids an encoder keeps, about, where it goes with its task, and bytes of text that it takes
+#: at once: words and batches of a task are what its worker holds beside the session's other memory.
+KEPT_WORDS = 64_000
+SHORT_PIECE = 512 << 10
 #: As many where it keeps its encoder between tasks.
 KEPT_LONG = 500_000
 #: Different runs of marks whose ids an encoder keeps.
@@ -75,6 +78,12 @@ class _Places(dict):
         return place
 
 
+@functools.lru_cache(maxsize=1)
+def _tokenizer(path: str) -> Tokenizer:
+    """The tokenizer of a file. A worker reads it once: reading takes several times the memory of what is read."""
+    return Tokenizer.from_file(path)
+
+
 class WordEncoder:
     """Ids of whole texts, by a memory of the ids of their words.
 
@@ -83,7 +92,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
         self.kept = kept
         self.marks: dict[str, list[int]] = {}
@@ -267,7 +276,7 @@ def _encoded(docs: DataFrame, path: str, keep: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, keep)
-        for batch, texts in pieces(batches):
+        for batch, texts in pieces(batches, most=None if keep else SHORT_PIECE):
             ids = encoder.encode(texts)
             yield pa.record_batch(
                 {
@@ -276,6 +285,10 @@ def _encoded(docs: DataFrame, path: str, keep: bool) -> DataFrame:
                     "ids": pa.array([i.astype("<u2").tobytes() for i in ids], pa.binary()),
                 }
             )
+            del batch, texts, ids
+        if not keep:
+            del encoder
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary")
 
@@ -301,7 +314,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, keep: bool = F
     """Encode all texts and write them as a set of files under ``path``, ordered by doc_id.
 
     ``keep`` has workers keep their encoder between tasks: words are learned once a worker
-    and not once a task, for the memory of ``KEPT_WORDS`` words as long as the worker lives.
+    and not once a task, for the memory of ``KEPT_LONG`` words as long as the worker lives.
     """
     spark = docs.sparkSession
     folder = shared_dir(spark)

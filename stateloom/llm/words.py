@@ -141,7 +141,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, owner
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return unused memory to the system: workers live on between tasks, several on a machine."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -171,4 +171,4 @@ def pieces(
         if batch.num_rows:
             yield batch.slice(begin), column_bytes(column.slice(begin))
         del batch, column
-    _give_back()
+    give_back()
