@@ -32,7 +32,8 @@ has the share 1. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import functools
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,27 +70,55 @@ _COLUMNS = "bucket long, slice long, body binary, n long, v long, word long, c1
 
 def _packed(*arrays: np.ndarray) -> bytes:
     """Whole numbers by planes of bytes, as many as the largest needs, compressed together."""
-    out = [len(arrays).to_bytes(1, "little")]
+    return next(_packed_parts(arrays, [[len(a)] for a in arrays]))
+
+
+def _packed_parts(arrays: Sequence[np.ndarray], sizes: Sequence[Sequence[int]]) -> Iterator[bytes]:
+    """Each part packed alone; ``sizes`` has for each array how many of its numbers each part takes, in order.
+
+    There are as many parts as slices times buckets, so that what is done for each has to be little.
+    """
+    packer, planes = zstandard.ZstdCompressor(level=1), []
     for a in arrays:
         a = np.ascontiguousarray(a).astype(np.uint64)
         width = (int(a.max(initial=0)).bit_length() + 7) // 8
-        out.append(len(a).to_bytes(8, "little") + width.to_bytes(1, "little"))
-        out.append(a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+        planes.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T))
+    widths = [len(x).to_bytes(1, "little") for x in planes]
+    begins = [0] * len(planes)
+    for part in zip(*(np.asarray(n).tolist() for n in sizes), strict=True):
+        out = [len(planes).to_bytes(1, "little")]
+        for k, n in enumerate(part):
+            out += n.to_bytes(8, "little"), widths[k], planes[k][:, begins[k] : begins[k] + n].tobytes()
+            begins[k] += n
+        yield packer.compress(b"".join(out))
 
 
 def _unpacked(body: bytes) -> list[np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(body)
-    out, at = [], 1
-    for _ in range(data[0]):
-        n, width = int.from_bytes(data[at : at + 8], "little"), data[at + 8]
-        at += 9
-        full = np.zeros((n, 8), np.uint8)
-        if n * width:
-            full[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
+    return _unpacked_parts([body])[0]
+
+
+def _unpacked_parts(bodies: Sequence[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The arrays of all parts, one part behind the other; and of each array, how many numbers each part has."""
+    unpacker = zstandard.ZstdDecompressor()
+    data = [unpacker.decompress(body) for body in bodies]
+    sizes = np.zeros((data[0][0], len(data)), np.int64)
+    found: list[list[tuple[int, int, int]]] = [[] for _ in sizes]  # of each array and part: where it is, its numbers, bytes of one
+    for part in data:
+        at = 1
+        for places in found:
+            n, width = int.from_bytes(part[at : at + 8], "little"), part[at + 8]
+            places.append((at + 9, n, width))
+            at += 9 + n * width
+    out = []
+    for places, size in zip(found, sizes):
+        size[:] = [n for _, n, _ in places]
+        full, begin = np.zeros((int(size.sum()), 8), np.uint8), 0
+        for part, (at, n, width) in zip(data, places):
+            if n * width:
+                full[begin : begin + n, :width] = np.frombuffer(part, np.uint8, n * width, at).reshape(width, n).T
+            begin += n
         out.append(full.reshape(-1).view(np.uint64))
-        at += n * width
-    return out
+    return out, sizes
 
 
 @dataclass
@@ -130,6 +159,16 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, sizes
 
 
+def _numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of words, sorted, and the place of each hash among them; only what differs is sorted."""
+    coded = pa.array(h).dictionary_encode()
+    words = coded.dictionary.to_numpy()
+    order = np.argsort(words)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    return words[order], place[coded.indices.to_numpy()]
+
+
 def slices(batches: Iterable[pa.RecordBatch], partition: int) -> Iterator[Slice]:
     """The slices of a partition, in order."""
     number, row = partition << 33, partition << 33
@@ -139,7 +178,7 @@ def slices(batches: Iterable[pa.RecordBatch], partition: int) -> Iterator[Slice]
     def made(parts: list[tuple], before: int = 0, behind: int = 0) -> Slice:
         nonlocal number
         rows, doc_ids, held, h, sizes = zip(*parts)
-        words, ids = np.unique(np.concatenate(h), return_inverse=True)
+        words, ids = _numbered(np.concatenate(h))
         out = Slice(number, np.concatenate(rows), sum(doc_ids, []), np.concatenate(held), np.concatenate(sizes), before, behind, words, ids)
         number += 1
         return out
@@ -198,6 +237,7 @@ class Trie:
         self.second = short(self.pairs & _NONE)
         self.third = short(self.triples & _NONE)
 
+    @functools.cached_property
     def digest(self) -> int:
         return int(mix(self.head_hash).sum(dtype=np.uint64) ^ mix(self.triples.view(np.uint64) + np.uint64(len(self.pairs))).sum(dtype=np.uint64)) >> 1
 
@@ -214,7 +254,8 @@ class Trie:
             parts = np.ones(len(home), np.uint64)
         # Parts of a word beyond the number of buckets would meet again.
         further = mix(self.second) % np.minimum(parts, np.uint64(many))[self.word_of]
-        bucket = ((home[self.word_of] + further) % np.uint64(many)).astype(np.int64)
+        bucket = (home[self.word_of] + further) % np.uint64(many)
+        bucket = bucket.astype(np.min_scalar_type(many))  # numbers of 16 bits are sorted by counting
         by_pair = np.argsort(bucket, kind="stable")
         of_triple = bucket[self.pair_of]
         by_triple = np.argsort(of_triple, kind="stable")
@@ -224,16 +265,30 @@ class Trie:
         for k, b in enumerate(numbers.tolist()):
             yield b, by_pair[p[k] : p[k + 1]], by_triple[t[k] : t[k + 1]]
 
-    def message(self, pairs: np.ndarray, triples: np.ndarray) -> bytes:
-        """What a bucket has to know: hashes of words, pairs and triples, children of each, and counts of triples."""
-        word = self.word_of[pairs]
+    def heads_of(self, pairs: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Where a word begins among the pairs of some buckets, one bucket behind the other, and the words of these places."""
+        word = self.word_of[np.concatenate(pairs)]
         first = np.concatenate(([True], word[1:] != word[:-1]))
+        first[np.cumsum([0, *map(len, pairs[:-1])])] = True
         starts = np.flatnonzero(first)
-        pairs_each = np.diff(np.append(starts, len(pairs)))
-        triples_each = np.bincount(np.searchsorted(pairs, self.pair_of[triples]), minlength=len(pairs))
-        return _packed(
-            self.head_hash[word[first]], pairs_each, self.second[pairs], triples_each, self.third[triples], self.count[triples],
-            np.array([self.digest()]),
+        return starts, word[starts]
+
+    def message(self, pairs: np.ndarray, triples: np.ndarray) -> bytes:
+        """What a bucket has to know: hashes of words, pairs and triples, children of each, and counts of triples."""
+        return next(self.messages([pairs], [triples]))
+
+    def messages(self, pairs: Sequence[np.ndarray], triples: Sequence[np.ndarray]) -> Iterator[bytes]:
+        """The message to each bucket, given the pairs and the triples of each; all triples of a pair go where it goes."""
+        starts, words = self.heads_of(pairs)
+        of_pairs, of_triples = [len(p) for p in pairs], [len(t) for t in triples]
+        of_words = np.diff(np.searchsorted(starts, np.cumsum([0, *of_pairs])))
+        p, t = np.concatenate(pairs), np.concatenate(triples)
+        return _packed_parts(
+            [
+                self.head_hash[words], np.diff(np.append(starts, len(p))), self.second[p], np.bincount(self.pair_of)[p],
+                self.third[t], self.count[t], np.full(len(pairs), self.digest),
+            ],
+            [of_words, of_words, of_pairs, of_pairs, of_triples, of_triples, [1] * len(pairs)],
         )
 
 
@@ -244,16 +299,13 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _bucket_answers(bucket: int, messages: list[tuple[int, bytes]], hot: np.ndarray) -> Iterator[dict]:
     """Sums over all slices, for each slice in its own order; the bucket's totals; and parts of frequent words."""
-    read = [(number, _unpacked(body)) for number, body in messages]
-    heads, head = _groups(np.concatenate([m[0] for _, m in read]))
-    pair_head = np.repeat(head, np.concatenate([m[1] for _, m in read]).astype(np.int64)).astype(np.uint64)
-    second = np.concatenate([m[2] for _, m in read])
-    triples_each = np.concatenate([m[3] for _, m in read]).astype(np.int64)
+    (word, pairs_each, second, triples_each, third, count, said), sizes = _unpacked_parts([body for _, body in messages])
+    heads, head = _numbered(word)
+    pair_head = np.repeat(head, pairs_each.astype(np.int64)).astype(np.uint64)
     # Hashes of 40 bits below the 24 bits of what they follow.
     pairs, pair = _groups((pair_head << np.uint64(40)) | second)
-    third = np.concatenate([m[4] for _, m in read])
-    triples, triple = _groups((np.repeat(pair, triples_each).astype(np.uint64) << np.uint64(40)) | third)
-    c3 = np.bincount(triple, weights=np.concatenate([m[5] for _, m in read]).astype(np.float64), minlength=len(triples)).astype(np.int64)
+    triples, triple = _groups((np.repeat(pair, triples_each.astype(np.int64)).astype(np.uint64) << np.uint64(40)) | third)
+    c3 = np.bincount(triple, weights=count.astype(np.float64), minlength=len(triples)).astype(np.int64)
     above = (triples >> np.uint64(40)).astype(np.int64)
     follows = (c3 > 0) & (triples & np.uint64(_NO_HASH) != np.uint64(_NO_HASH))
     c2 = np.bincount(above, weights=c3, minlength=len(pairs)).astype(np.int64)
@@ -267,11 +319,9 @@ def _bucket_answers(bucket: int, messages: list[tuple[int, bytes]], hot: np.ndar
     yield empty | {"n": int(c1.sum()), "v": int((c1[~split] > 0).sum())}
     for k in np.flatnonzero(split):
         yield empty | {"word": int(heads[k : k + 1].view(np.int64)[0]), "c1": int(c1[k]), "after1": int(after1[k])}
-    a = b = c = 0
-    for number, m in read:
-        x, y, z = head[a : a + len(m[0])], pair[b : b + len(m[2])], triple[c : c + len(m[4])]
-        a, b, c = a + len(x), b + len(y), c + len(z)
-        yield empty | {"slice": number, "body": _packed(c1[x], after1[x], c2[y], after2[y], c3[z], m[6])}
+    told = _packed_parts([c1[head], after1[head], c2[pair], after2[pair], c3[triple], said], sizes[[0, 0, 2, 2, 4, 6]])
+    for (number, _), body in zip(messages, told):
+        yield empty | {"slice": number, "body": body}
 
 
 def _by_key(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
@@ -306,9 +356,10 @@ class Automaton:
         place = np.append(place, -1)
         # The word and the pair that a pair and a triple end with; none behind an end.
         last_word = place[np.minimum(trie.pairs & _NONE, ends)]
-        end_pair = trie.triples & ((1 << (2 * _BITS)) - 1)
-        at = np.minimum(np.searchsorted(trie.pairs, end_pair), len(trie.pairs) - 1)
-        last_pair = np.where(trie.pairs[at] == end_pair, at, -1)
+        begins = np.flatnonzero((trie.triple[:-1] >= 0) & (trie.triple[1:] >= 0))
+        last_pair = np.full(len(trie.triples), -1)
+        last_pair[trie.triple[begins]] = trie.pair_of[trie.triple[begins + 1]]
+        last_pair[(trie.triples >> _BITS) & _NONE == _NONE] = -1
         with np.errstate(divide="ignore", invalid="ignore"):
             self.word_fails = np.log10(DISCOUNT * after1 / c1)
             self.pair_fails = np.log10(DISCOUNT * after2 / c2)
@@ -376,16 +427,16 @@ def _answered(s: Slice, trie: Trie, bodies: dict[int, bytes], many: int, hot: tu
     """The answers of all buckets, put to the nodes of the trie."""
     hashes, spread, c1_all, after1_all = hot
     words, pairs, c3 = np.zeros((2, len(trie.heads)), np.int64), np.zeros((2, len(trie.pairs)), np.int64), np.zeros(len(trie.triples), np.int64)
-    digest = trie.digest()
-    for b, p, t in trie.buckets(many, hashes, spread):
-        x1, y1, x2, y2, x3, said = _unpacked(bodies[b]) if b in bodies else [np.zeros(0, np.uint64)] * 6
-        if len(x3) != len(t) or len(x2) != len(p) or int(said[0]) != digest:
-            raise RuntimeError("the documents differ from those that were counted")
-        heads = trie.word_of[p]
-        heads = heads[np.concatenate(([True], heads[1:] != heads[:-1]))]
-        words[:, heads] = x1, y1
-        pairs[:, p] = x2, y2
-        c3[t] = x3
+    numbers, of_pairs, of_triples = zip(*trie.buckets(many, hashes, spread))
+    differ = RuntimeError("the documents differ from those that were counted")
+    if not all(b in bodies for b in numbers):
+        raise differ
+    (x1, y1, x2, y2, x3, said), sizes = _unpacked_parts([bodies[b] for b in numbers])
+    if [*map(len, of_triples)] != sizes[4].tolist() or [*map(len, of_pairs)] != sizes[2].tolist() or (said != trie.digest).any():
+        raise differ
+    words[:, trie.heads_of(of_pairs)[1]] = x1, y1
+    pairs[:, np.concatenate(of_pairs)] = x2, y2
+    c3[np.concatenate(of_triples)] = x3
     if len(hashes):
         at = np.minimum(np.searchsorted(hashes, trie.head_hash), len(hashes) - 1)
         frequent = hashes[at] == trie.head_hash
@@ -393,6 +444,20 @@ def _answered(s: Slice, trie: Trie, bodies: dict[int, bytes], many: int, hot: tu
     return [tuple(words), tuple(pairs), c3]
 
 
+def _as_long_as_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Hashes of the tokens of a partition, about ``SLICE`` at a time."""
+    parts, n = [], 0
+    for _, texts in pieces(batches):
+        h, _ = _tokens(texts)
+        if parts and n + len(h) > SLICE:
+            yield np.concatenate(parts)
+            parts, n = [], 0
+        parts.append(h)
+        n += len(h)
+    if parts:
+        yield np.concatenate(parts)
+
+
 def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of words with more than half of ``BUCKET`` occurrences, and how many buckets each goes to.
 
@@ -403,9 +468,11 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     least = max(1, BUCKET * SLICE // (4 * max(tokens, SLICE)))
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches, 0):
-            n = np.bincount(s.ids, minlength=len(s.words))
-            yield pa.record_batch({"word": s.words[n >= least].view(np.int64), "n": n[n >= least].astype(np.int64)})
+        for h in _as_long_as_slices(batches):
+            h.sort()
+            starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            n = np.diff(np.append(starts, len(h)))
+            yield pa.record_batch({"word": h[starts[n >= least]].view(np.int64), "n": n[n >= least].astype(np.int64)})
 
     found = docs.mapInArrow(often, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > BUCKET // 2).toArrow()
     hashes = found["word"].to_numpy().view(np.uint64)
@@ -429,9 +496,9 @@ def scored(docs: DataFrame, held: Column) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches, TaskContext.get().partitionId()):
             trie = Trie(s)
-            sent = [(bucket, trie.message(pairs, triples)) for bucket, pairs, triples in trie.buckets(many, hashes, spread)]
-            numbers, told = zip(*sent)
-            yield pa.record_batch({"bucket": numbers, "slice": [s.number] * len(sent), "body": told})
+            numbers, pairs, triples = zip(*trie.buckets(many, hashes, spread))
+            told = list(trie.messages(pairs, triples))
+            yield pa.record_batch({"bucket": numbers, "slice": [s.number] * len(told), "body": told})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(k, pa.binary() if kind == "binary" else pa.int64()) for k, kind in (c.split() for c in _COLUMNS.split(", "))])

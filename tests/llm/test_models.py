@@ -221,6 +221,45 @@ def test_a_slice_of_other_documents_is_refused():
         backoff._answered(other, backoff.Trie(other), back, 1, (none,) * 4)
 
 
+def one_slice(rng, words):
+    texts = [prose(rng, words) for _ in range(20)]
+    batch = pa.record_batch({"doc_id": range(20), "text": texts, "held_out": [d % 5 == 0 for d in range(20)]})
+    (out,) = backoff.slices([batch], 0)
+    return out
+
+
+def test_a_slice_is_hashed_once_however_many_buckets_it_asks(rng, monkeypatch):
+    """There are as many buckets as slices at every size, so work on the whole slice for each would grow with the square."""
+    s, none, hashed = one_slice(rng, 200), np.zeros(0, np.uint64), []
+    mix = backoff.mix
+    monkeypatch.setattr(backoff, "mix", lambda h: hashed.append(len(h)) or mix(h))
+    work = []
+    for many in (1, 5, 60):
+        hashed.clear()
+        trie = backoff.Trie(s)
+        sent = [trie.message(pairs, triples) for _, pairs, triples in trie.buckets(many, none, none)]
+        work.append(sum(hashed))
+        assert len(sent) > many // 2
+    assert len(set(work)) == 1
+
+
+def test_messages_made_together_are_those_made_one_by_one(rng):
+    s = one_slice(rng, 100)
+    hot, spread = np.sort(s.words[:9]), np.full(9, 4)
+    for many in (1, 7, 300):
+        trie = backoff.Trie(s)
+        _, pairs, triples = zip(*trie.buckets(many, hot, spread))
+        together = list(trie.messages(pairs, triples))
+        read, sizes = backoff._unpacked_parts(together)
+        begins = np.zeros(len(read), np.int64)
+        for k, (p, t) in enumerate(zip(pairs, triples)):
+            for part in (backoff._unpacked(together[k]), backoff._unpacked(trie.message(p, t))):
+                for i, (whole, a) in enumerate(zip(read, part, strict=True)):
+                    assert whole[begins[i] : begins[i] + sizes[i, k]].tolist() == a.tolist()
+            begins += sizes[:, k]
+        assert [len(a) for a in read] == begins.tolist() and begins[2] == len(trie.pairs) and begins[4] == len(trie.triples)
+
+
 NOTICE = "Released under the MIT License"
 
 
